@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -480,7 +480,3 @@ def columns_match_set(df: DataFrame, names: Sequence[str]) -> DataFrame:
         rows, "relation_column string, input_column string"
     )
 
-
-def any_of(violations: Sequence[Column]) -> Column:
-    """A row that breaks at least one of the rules."""
-    return reduce(or_, [F.coalesce(v, F.lit(False)) for v in violations])
