@@ -20,7 +20,10 @@ from tidemart.functions.text import slugify_name
 from tidemart.operators.neighbours import COPIES, repeat_rows, with_neighbour
 from tidemart.operators.reshape import columns_except, difference
 
-_COUNT = F.count(F.lit(1))
+
+def _n_rows() -> Column:
+    return F.count(F.lit(1))
+
 
 # --- rules on one row ------------------------------------------------------
 
@@ -106,14 +109,14 @@ def unique(df: DataFrame, name: str) -> DataFrame:
     return (
         df.filter(F.col(name).isNotNull())
         .groupBy(F.col(name).alias("unique_field"))
-        .agg(_COUNT.alias("n_records"))
+        .agg(_n_rows().alias("n_records"))
         .filter(F.col("n_records") > 1)
     )
 
 
 def unique_combination_of_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Combinations that occur more than once."""
-    return df.groupBy(*names).agg(_COUNT.alias("n")).filter("n > 1").drop("n")
+    return df.groupBy(*names).agg(_n_rows().alias("n")).filter("n > 1").drop("n")
 
 
 def accepted_values(df: DataFrame, name: str, values: Sequence) -> DataFrame:
@@ -121,7 +124,7 @@ def accepted_values(df: DataFrame, name: str, values: Sequence) -> DataFrame:
     return (
         df.filter(accepted_values_violation(name, values))
         .groupBy(F.col(name).alias("value_field"))
-        .agg(_COUNT.alias("n_records"))
+        .agg(_n_rows().alias("n_records"))
     )
 
 
@@ -172,7 +175,7 @@ def not_null_proportion(
 ) -> DataFrame:
     """Groups whose share of non-NULL rows is outside the bounds."""
     share = df.groupBy(*group_by).agg(
-        F.count(name).alias("__filled"), _COUNT.alias("__all")
+        F.count(name).alias("__filled"), _n_rows().alias("__all")
     )
     share = share.select(
         *group_by,
@@ -350,8 +353,8 @@ def _paired_counts(
     A group that only one table has gets NULL for the other; so does a NULL
     group, as NULL never equals NULL in a join.
     """
-    a = df.groupBy(*group_by).agg(_COUNT.alias(names[0])).alias("a")
-    b = other.groupBy(*group_by).agg(_COUNT.alias(names[1])).alias("b")
+    a = df.groupBy(*group_by).agg(_n_rows().alias(names[0])).alias("a")
+    b = other.groupBy(*group_by).agg(_n_rows().alias(names[1])).alias("b")
     if group_by:
         same = reduce(and_, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in group_by])
     else:
@@ -423,7 +426,7 @@ def equality(
 def equality_failures(differences: DataFrame) -> DataFrame:
     """Number of failures: all rows plus the imbalance of the two sides."""
     side = F.sum(F.when(F.col("which_diff") == "a_minus_b", 1).otherwise(-1))
-    return differences.agg((_COUNT + F.coalesce(F.abs(side), F.lit(0))).alias("failures"))
+    return differences.agg((_n_rows() + F.coalesce(F.abs(side), F.lit(0))).alias("failures"))
 
 
 def relationships_where(

@@ -33,7 +33,7 @@ class RowCheck:
 
     name: str
     table: str
-    violation: Column
+    violation: Callable[[], Column]
 
 
 @dataclass(frozen=True)
@@ -57,7 +57,7 @@ class Threshold:
 
 def _row_report(df: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
     counts = df.agg(
-        *[F.count_if(c.violation).alias(f"c{i}") for i, c in enumerate(checks)]
+        *[F.count_if(c.violation()).alias(f"c{i}") for i, c in enumerate(checks)]
     )
     entries = [
         F.struct(F.lit(c.name).alias("check_name"), F.col(f"c{i}").alias("failures"))
@@ -111,13 +111,16 @@ def quality_report(
 
 def not_null_checks(table: str, *names: str) -> list[RowCheck]:
     return [
-        RowCheck(f"{table}.{n}.not_null", table, q.null_violation(n)) for n in names
+        RowCheck(f"{table}.{n}.not_null", table, lambda n=n: q.null_violation(n))
+        for n in names
     ]
 
 
 def accepted_range_check(table: str, name: str, low=None, high=None) -> RowCheck:
     return RowCheck(
-        f"{table}.{name}.accepted_range", table, q.range_violation(name, low, high)
+        f"{table}.{name}.accepted_range",
+        table,
+        lambda: q.range_violation(name, low, high),
     )
 
 

@@ -54,8 +54,15 @@ def _increment(
     table: KeyedTable, batch: Callable[[datetime | None], DataFrame]
 ) -> DataFrame:
     """Upsert what is newer than the table; a missing or empty one takes all."""
-    table.upsert(batch(table.watermark(EMITTED_AT)), unique=True)
-    return table.read()
+    rows = batch(table.watermark(EMITTED_AT))
+    table.upsert(rows, unique=True)
+    return _current(table, rows)
+
+
+def _current(table: KeyedTable, batch: DataFrame) -> DataFrame:
+    """Rows of the table; none, with the right columns, before its first row."""
+    rows = table.read()
+    return batch.limit(0) if rows is None else rows
 
 
 def build_silver(w: Warehouse, run_time: datetime) -> dict[str, DataFrame]:
@@ -80,18 +87,21 @@ def build_silver(w: Warehouse, run_time: datetime) -> dict[str, DataFrame]:
     products = w.keyed("SILVER", "product_silver", silver.PRODUCT_KEY)
     translation = w.log("product_category_name_translation").drop(EMITTED_AT)
     # A category listed twice would give a product twice.
-    products.upsert(
-        silver.product_silver(
-            w.log("products", products.watermark(EMITTED_AT)), translation
-        )
+    rows = silver.product_silver(
+        w.log("products", products.watermark(EMITTED_AT)), translation
     )
-    t["product_silver"] = products.read()
-
-    points = silver.geolocation_points(
-        w.log("geolocation"), read_cities(w.spark, w.city_list)
+    products.upsert(rows)
+    t["product_silver"] = _current(products, rows)
+
+    # Matched once and read twice.
+    points = w.full("SILVER", "geolocation_points")
+    points.replace(
+        silver.geolocation_points(
+            w.log("geolocation"), read_cities(w.spark, w.city_list)
+        )
     )
     geolocation = w.full("SILVER", "geolocation_silver")
-    geolocation.replace(silver.geolocation_silver(points))
+    geolocation.replace(silver.geolocation_silver(points.read()))
     t["geolocation_silver"] = geolocation.read()
 
     for name, log, (key, check) in [
@@ -137,8 +147,9 @@ def build_gold(w: Warehouse, t: dict[str, DataFrame]) -> dict[str, DataFrame]:
         ("dim_seller", gold.dim_seller, "sellers_snapshot", gold.SELLER_DIM_KEY),
     ]:
         table = w.keyed("GOLD", name, keys)
-        table.upsert(model(t[source], table.watermark(VALID_FROM)), unique=True)
-        g[name] = table.read()
+        rows = model(t[source], table.watermark(VALID_FROM))
+        table.upsert(rows, unique=True)
+        g[name] = _current(table, rows)
 
     for name, rows in [
         ("dim_product", gold.dim_product(t["product_silver"])),

@@ -160,41 +160,39 @@ def geolocation_silver(
     is then its only row. A larger group has one row per part, with the same
     centroid: no row, task or array holds an unbounded group.
     """
-    centroids = geolocation_centroids(points)
-    parts = F.ceil(F.col("n_coordinates") / F.lit(per_row))
+    place = GEO_GROUP[:3]
     large = (
-        centroids.filter(F.col("n_coordinates") > per_row)
-        .select(*GEO_GROUP, parts.cast("bigint").alias("__parts"))
+        points.groupBy(*place)
+        .agg(F.ceil(F.count(F.lit(1)) / F.lit(per_row)).alias("__parts"))
+        .filter("__parts > 1")
     )
-    # Groups over the limit are few: rows / limit at most.
-    same = [points[c].eqNullSafe(large[c]) for c in GEO_GROUP]
-    spread = points.join(large, same, "left").select(
-        points["*"],
-        F.when(
-            F.col("__parts").isNotNull(),
-            F.pmod(F.xxhash64("geolocation_lat", "geolocation_lng"), F.col("__parts")),
-        )
-        .otherwise(F.lit(0))
-        .cast("int")
-        .alias("coordinates_part"),
-    )
-    lists = spread.groupBy(*GEO_GROUP, "coordinates_part").agg(
-        F.sort_array(
-            F.collect_list(
-                F.struct(
-                    F.col("geolocation_lat").alias("lat"),
-                    F.col("geolocation_lng").alias("lng"),
+    part = F.pmod(F.xxhash64("geolocation_lat", "geolocation_lng"), F.col("__parts"))
+    lists = (
+        salted_join(points, large, place, "left")
+        .withColumn("coordinates_part", F.coalesce(part, F.lit(0)).cast("int"))
+        .groupBy(*GEO_GROUP, "coordinates_part")
+        .agg(
+            F.sort_array(
+                F.collect_list(
+                    F.struct(
+                        F.col("geolocation_lat").alias("lat"),
+                        F.col("geolocation_lng").alias("lng"),
+                    )
                 )
-            )
-        ).alias("all_coordinates_in_prefix")
+            ).alias("all_coordinates_in_prefix")
+        )
     )
-    same = [lists[c].eqNullSafe(centroids[c]) for c in GEO_GROUP]
-    return lists.join(centroids, same).select(
-        *[lists[c] for c in GEO_GROUP],
-        "all_coordinates_in_prefix",
-        "centroid_lat",
-        "centroid_lng",
-        "coordinates_part",
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"c.{c}")) for c in GEO_GROUP]
+    return (
+        lists.alias("l")
+        .join(geolocation_centroids(points).alias("c"), same)
+        .select(
+            *[F.col(f"l.{c}") for c in GEO_GROUP],
+            "all_coordinates_in_prefix",
+            "centroid_lat",
+            "centroid_lng",
+            "coordinates_part",
+        )
     )
 
 
