@@ -1,5 +1,9 @@
 """All parts of the suite."""
 
+from suite.quality import quality
+from suite.reshape import reshape
+from suite.sources import sources
 from suite.star import star
+from suite.streams import streams
 
-ALL = [star]
+ALL = [star, reshape, quality, sources, streams]

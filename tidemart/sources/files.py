@@ -121,7 +121,17 @@ def raw_rows(
         )
     if spec.format == "json":
         return _json_rows(spec, reader, streaming)
-    return _scan(spec, reader.format(spec.format), streaming)
+    reader = reader.format(spec.format)
+    if streaming:
+        # A stream needs its schema up front: the declared one, or that of the
+        # files already there.
+        reader = reader.schema(_stored_schema(spec) or raw_rows(spark, spec).schema)
+    return _scan(spec, reader, streaming)
+
+
+def _stored_schema(spec: FileSource) -> StructType | None:
+    stored = [f"`{c.name}` {c.data_type}" for c in spec.columns if not c.expression]
+    return StructType.fromDDL(", ".join(stored)) if stored else None
 
 
 def _json_rows(spec: FileSource, reader, streaming: bool) -> DataFrame:

@@ -19,10 +19,12 @@ _SPLIT, _SEEN, _IN_SPLIT = "__split", "__seen", "__in_split"
 def numbered_rows(rows: DataFrame) -> DataFrame:
     """Add the position of each row in its file, starting at 1.
 
+    ``rows`` come straight from a file scan, with the file and its split.
     A split of a file is read in order by one task, so rows are ranked inside
     their split, which has a bounded size, and moved by the number of rows in
     the earlier splits of the file. No task ever holds a whole file.
     """
+    rows = rows.withColumn(_SEEN, F.monotonically_increasing_id())
     inside = Window.partitionBy(FILE_NAME, _SPLIT).orderBy(_SEEN)
     ranked = rows.withColumn(_IN_SPLIT, F.row_number().over(inside))
     sizes = rows.groupBy(FILE_NAME, _SPLIT).agg(F.count(F.lit(1)).alias("__n"))
@@ -52,11 +54,7 @@ def _file_columns(spec: FileSource) -> list[Column]:
     if spec.format == "parquet":
         row = F.col("_metadata.row_index") + 1
         return [*meta, row.cast("bigint").alias(FILE_ROW_NUMBER)]
-    return [
-        *meta,
-        F.col("_metadata.file_block_start").alias(_SPLIT),
-        F.monotonically_increasing_id().alias(_SEEN),
-    ]
+    return [*meta, F.col("_metadata.file_block_start").alias(_SPLIT)]
 
 
 def ingest_files(
