@@ -4,42 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _SALT = "__salt"
-_KEY = "__key"
+_HASH = "__hash"
 
 # Any key with a larger share of the rows than this is found; so at most
-# 1 / HOT_SHARE keys are ever held on the driver.
+# 1 / HOT_SHARE hashes are ever held on the driver.
 HOT_SHARE = 0.01
 DEFAULT_SALTS = 64
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list:
-    """Keys that may hold more than ``share`` of the rows.
+def _hash(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(f"`{k}`") for k in keys])
+
+
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE
+) -> list[int]:
+    """Hashes of the keys that may hold more than ``share`` of the rows.
 
     One pass over the key columns with a bounded sketch per task. No key above
     the share is missed; a key below it may be listed, which costs a little
     replication and never changes a result.
     """
-    found = df.select(F.struct(*keys).alias(_KEY)).filter(
-        " and ".join(f"{_KEY}.`{k}` is not null" for k in keys)
-    )
-    row = found.stat.freqItems([_KEY], share).first()
-    return [tuple(k) for k in (row[0] or [])] if row else []
-
-
-def _is_hot(keys: Sequence[str], hot: list, df: DataFrame):
-    types = {f.name: f.dataType for f in df.schema.fields}
-    tests = None
-    for values in hot:
-        test = None
-        for name, value in zip(keys, values):
-            part = F.col(f"`{name}`") == F.lit(value).cast(types[name])
-            test = part if test is None else test & part
-        tests = test if tests is None else tests | test
-    return tests
+    row = df.select(_hash(keys).alias(_HASH)).stat.freqItems([_HASH], share).first()
+    return sorted(row[0] or []) if row else []
 
 
 def salted_join(
@@ -47,7 +38,7 @@ def salted_join(
     right: DataFrame,
     keys: Sequence[str],
     how: str = "inner",
-    hot: list | None = None,
+    hot: Sequence[int] | None = None,
     salts: int = DEFAULT_SALTS,
 ) -> DataFrame:
     """Equi-join whose hot left keys are spread over ``salts`` partitions.
@@ -55,23 +46,25 @@ def salted_join(
     Only the right rows of the hot keys are repeated, once per salt. Meant for a
     right side that is already grouped or ranked by the key: the runtime skew
     handling of Spark splits plain shuffles only. ``how`` is ``inner``,
-    ``left``, ``left_semi`` or ``left_anti``.
+    ``left``, ``left_semi`` or ``left_anti``; ``hot`` comes from ``hot_keys``.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
+    for k in keys:
+        # Equal keys must have equal hashes.
+        if left.schema[k].dataType != right.schema[k].dataType:
+            raise ValueError(f"{k} has different types on the two sides")
     hot = hot_keys(left, keys) if hot is None else hot
     if not hot:
         return left.join(right, list(keys), how)
 
-    row_salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts))
+    is_hot = _hash(keys).isin(*hot)
     zero = F.lit(0).cast("bigint")
-    is_hot = _is_hot(keys, hot, left)
-    salted_left = left.withColumn(
-        _SALT, F.when(F.coalesce(is_hot, F.lit(False)), row_salt).otherwise(zero)
-    )
+    # The salt is a function of the row, so a repeated task gives the same one.
+    row_salt = F.pmod(_hash(left.columns), F.lit(salts).cast("bigint"))
+    salted_left = left.withColumn(_SALT, F.when(is_hot, row_salt).otherwise(zero))
     copies = F.when(
-        F.coalesce(_is_hot(keys, hot, right), F.lit(False)),
-        F.sequence(zero, F.lit(salts - 1).cast("bigint")),
+        is_hot, F.sequence(zero, F.lit(salts - 1).cast("bigint"))
     ).otherwise(F.array(zero))
     salted_right = right.withColumn(_SALT, F.explode(copies))
     return salted_left.join(salted_right, [*keys, _SALT], how).drop(_SALT)

@@ -204,11 +204,16 @@ class SnapshotTable:
         if current is None:
             self.open.upsert(open_versions(batch, valid_from))
             return
-        closed, opened = version_changes(
-            current, batch, self.key, self.check_cols, valid_from
-        )
         run = _next_version(self.spark, self.open.path)
         target = f"{self.path}/closed/v={run}"
-        closed.select(*current.columns).write.mode("overwrite").parquet(target)
-        _require_committed(self.spark, target)
-        self.open.upsert(opened.select(*current.columns))
+        # Compared once for the closed and once for the opened versions.
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            closed, opened = version_changes(
+                current, batch, self.key, self.check_cols, valid_from
+            )
+            closed.select(*current.columns).write.mode("overwrite").parquet(target)
+            _require_committed(self.spark, target)
+            self.open.upsert(opened.select(*current.columns))
+        finally:
+            batch.unpersist()
