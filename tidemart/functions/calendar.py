@@ -10,6 +10,12 @@ from tidemart.functions.scalar import ColumnOrName, column
 DATE_PARTS = ("second", "minute", "hour", "day", "week", "month", "quarter", "year")
 
 
+def clock_time(value) -> Column:
+    """A literal timestamp without a zone; a plain literal would be read in the
+    time zone of the session."""
+    return F.lit(str(value)).cast("timestamp_ntz")
+
+
 def date_id_text(c: ColumnOrName) -> Column:
     """``yyyymmdd`` as text."""
     return F.date_format(column(c).cast("date"), "yyyyMMdd")

@@ -7,7 +7,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.functions.calendar import calendar_columns, date_add, date_diff
+from tidemart.functions.calendar import calendar_columns, clock_time, date_add, date_diff
 
 # First day and length of the calendar.
 CALENDAR_START = date(2015, 1, 1)
@@ -32,7 +32,7 @@ def date_spine(
     The number of rows is the number of part boundaries between the bounds. The
     rows come from a range, so a long spine is made by many tasks.
     """
-    first, last = (F.lit(str(b)).cast("timestamp_ntz") for b in (start, end))
+    first, last = clock_time(start), clock_time(end)
     periods = spark.range(1).select(date_diff(part, first, last)).first()[0]
     if periods <= 0:
         raise ValueError("the end must lie after the start")

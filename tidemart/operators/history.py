@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.constants import HISTORY_START, OPEN_END, VALID_FROM, VALID_TO
+from tidemart.functions.calendar import clock_time
 
 
 def _timestamp(value) -> Column:
-    value = value if isinstance(value, Column) else F.lit(str(value))
-    return value.cast("timestamp_ntz")
+    if isinstance(value, Column):
+        return value.cast("timestamp_ntz")
+    return clock_time(value)
 
 
 def open_versions(batch: DataFrame, valid_from) -> DataFrame:

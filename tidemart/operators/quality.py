@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, FloatType
 
-from tidemart.functions.calendar import date_add
+from tidemart.functions.calendar import clock_time, date_add
 from tidemart.functions.scalar import ColumnOrName, column
 from tidemart.functions.text import slugify_name
 from tidemart.operators.neighbours import COPIES, repeat_rows, with_neighbour
@@ -196,7 +196,7 @@ def recency(
 ) -> DataFrame:
     """Groups whose newest value is older than ``now`` minus the interval."""
     kind = "date" if ignore_time_component else "timestamp_ntz"
-    now = now if isinstance(now, Column) else F.lit(str(now))
+    now = now if isinstance(now, Column) else clock_time(now)
     threshold = date_add(part, -interval, now).cast(kind)
     newest = df.groupBy(*group_by).agg(F.max(field).cast(kind).alias("most_recent"))
     return newest.select("*", threshold.alias("threshold")).filter(

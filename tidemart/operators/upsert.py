@@ -6,6 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
+
+from tidemart.functions.calendar import clock_time
 
 
 class DuplicateKeys(ValueError):
@@ -42,4 +45,7 @@ def newer_than(df: DataFrame, name: str, mark) -> DataFrame:
     The mark is a literal, so the filter reaches the file scan. Rows at or
     before it are left out for good, late ones too.
     """
-    return df if mark is None else df.filter(F.col(name) > F.lit(mark))
+    if mark is None:
+        return df
+    zoneless = df.schema[name].dataType == TimestampNTZType()
+    return df.filter(F.col(name) > (clock_time(mark) if zoneless else F.lit(mark)))

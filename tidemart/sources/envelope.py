@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemart.constants import EMITTED_AT, PAYLOAD, RECORD_ID
+from tidemart.functions.calendar import clock_time
 
 # Payload columns and types of each change log.
 _TEXT, _NUMBER, _FLOAT, _TIME = "string", "bigint", "double", "timestamp_ntz"
@@ -125,7 +126,7 @@ def extract(
         *[F.col(f"{PAYLOAD}.`{c}`").try_cast(t).alias(c) for c, t in payload.items()],
         emitted.try_cast(_TIME).alias(EMITTED_AT),
     )
-    return typed if since is None else typed.filter(F.col(EMITTED_AT) > F.lit(since))
+    return typed if since is None else typed.filter(F.col(EMITTED_AT) > clock_time(since))
 
 
 def read_bronze(
