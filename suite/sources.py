@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from suite.common import Registry, table
@@ -13,7 +15,7 @@ from tidemart.sources.catalog import (
     key_value,
     stage,
 )
-from tidemart.sources.envelope import extract, read_cities
+from tidemart.sources.envelope import envelope_schema, extract, read_cities
 from tidemart.sources.files import FileColumn, FilePartition, FileSource, load
 from tidemart.sources.filesystem import child_names
 from tidemart.sources.workspace import new_folder
@@ -285,8 +287,6 @@ def src_whole_row(spark, d):
 )
 def src_envelope(spark, d):
     """Typed columns out of change records, only those after a point in time."""
-    from datetime import datetime
-
     path = new_folder(spark, "envelope")
     stamp = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss.SSS")
     payload = F.struct(
@@ -307,8 +307,6 @@ def src_envelope(spark, d):
         "order_date": "timestamp_ntz",
         "carrier_date": "timestamp_ntz",
     }
-    from tidemart.sources.envelope import envelope_schema
-
     records = spark.read.schema(envelope_schema(columns)).parquet(path)
     return extract(records, columns, since=datetime(1997, 6, 1))
 

@@ -11,6 +11,8 @@ from tidemart.constants import EMITTED_AT, VALID_FROM, VALID_TO
 from tidemart.functions import calendar_columns, date_id
 from tidemart.operators.history import apply_snapshot, open_versions
 from tidemart.operators.latest import latest_per_key
+from tidemart.operators.skew import hot_keys
+from tidemart.operators.upsert import newer_than, upsert
 from tidemart.plans import gold, silver
 from tidemart.sources.tables import FullTable, KeyedTable, SnapshotTable
 from tidemart.sources.workspace import new_folder
@@ -31,7 +33,8 @@ FROM ({c.ITEMS_LATEST}) i JOIN ({c.ORDERS_LATEST}) o ON o.order_id = i.order_id"
 )
 def fact_sales(spark, d):
     items = silver.order_items_silver(c.items_log(spark, d))
-    return gold.fact_sales(items, orders_silver(spark, d))
+    hot = hot_keys(c.items_log(spark, d), gold.ORDER)
+    return gold.fact_sales(items, orders_silver(spark, d), hot)
 
 
 @star.add(c.ORDERS_LATEST)
@@ -81,7 +84,8 @@ FROM ({PAYMENTS}) p JOIN ({c.ORDERS_LATEST}) o ON p.order_id = o.order_id"""
 )
 def fact_payment(spark, d):
     payments = silver.order_payments_silver(c.payments_log(spark, d))
-    return gold.fact_payment(payments, orders_silver(spark, d))
+    hot = hot_keys(c.payments_log(spark, d), gold.ORDER)
+    return gold.fact_payment(payments, orders_silver(spark, d), hot)
 
 
 @star.add(
@@ -97,7 +101,8 @@ FROM ({c.REVIEWS_LATEST}) r JOIN ({c.ORDERS_LATEST}) o ON r.order_id = o.order_i
 )
 def fact_reviews(spark, d):
     reviews = silver.order_reviews_silver(c.reviews_log(spark, d))
-    return gold.fact_reviews(reviews, orders_silver(spark, d))
+    hot = hot_keys(c.reviews_log(spark, d), gold.ORDER)
+    return gold.fact_reviews(reviews, orders_silver(spark, d), hot)
 
 
 @star.add(
@@ -111,7 +116,8 @@ FROM ({c.REVIEWS_LATEST}) r JOIN ({c.ORDERS_LATEST}) o ON r.order_id = o.order_i
 )
 def feedback_profile(spark, d):
     reviews = silver.order_reviews_silver(c.reviews_log(spark, d))
-    return gold.dim_feedback_profile(reviews, orders_silver(spark, d))
+    hot = hot_keys(c.reviews_log(spark, d), gold.ORDER)
+    return gold.dim_feedback_profile(reviews, orders_silver(spark, d), hot)
 
 
 @star.add(
@@ -389,8 +395,6 @@ LAST_SHIPMENT = f"SELECT order_id, product_id, price, {EMITTED_AT} FROM ({c.ITEM
 )
 def upsert_single(spark, d):
     """Last shipped line per order, merged from two loads without a table."""
-    from tidemart.operators.upsert import upsert
-
     log = c.items_log(spark, d).select("order_id", "product_id", "price", EMITTED_AT)
     first, second = (
         latest_per_key(load, ["order_id"], EMITTED_AT) for load in _two_loads(log)
@@ -422,8 +426,6 @@ def incremental_watermark(spark, d):
 
     Cheap lines arrive late: those up to the watermark are left out for good.
     """
-    from tidemart.operators.upsert import newer_than
-
     log = c.items_log(spark, d)
     first, _ = _two_loads(log)
     items = KeyedTable(spark, new_folder(spark, "items"), silver.ORDER_ITEM_KEY)

@@ -86,7 +86,7 @@ def test_unpivot_and_pivot_are_inverse(people, rows):
 @pytest.fixture
 def unlike(spark):
     return {
-        "t1": spark.createDataFrame([(1, "drew", "pi"), (2, "bob", "e"), (3, "alice", "4")], "id int, name string, favorite_number string"),
+        "t1": spark.createDataFrame([(1, "dora", "pi"), (2, "bob", "e"), (3, "alice", "4")], "id int, name string, favorite_number string"),
         "t2": spark.createDataFrame([(1, "green", "7"), (2, "pink", "13")], "id int, favorite_color string, favorite_number string"),
     }
 
@@ -95,7 +95,7 @@ def test_union(unlike, rows):
     df = r.union_relations(unlike, source_column_name=None)
     assert df.columns == ["id", "name", "favorite_number", "favorite_color"]
     assert rows(df, "id", "name", "favorite_color", "favorite_number") == sorted(
-        [(1, "drew", None, "pi"), (2, "bob", None, "e"), (3, "alice", None, "4"), (1, None, "green", "7"), (2, None, "pink", "13")],
+        [(1, "dora", None, "pi"), (2, "bob", None, "e"), (3, "alice", None, "4"), (1, None, "green", "7"), (2, None, "pink", "13")],
         key=repr,
     )
 

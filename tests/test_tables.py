@@ -52,13 +52,45 @@ def test_keyed_table(spark, rows, home):
 def test_only_touched_buckets_are_rewritten(spark, home):
     t = KeyedTable(spark, f"{home}/t", ["k"], buckets=8)
     t.upsert(frame(spark, *[(k, "a", 1) for k in range(100)]))
-    before = t._newest()
+    _, before = t._state()
     t.upsert(frame(spark, (5, "b", 2)))
-    after = t._newest()
+    _, after = t._state()
     assert sum(before[b] != after[b] for b in before) == 1
     assert t.read().count() == 100
 
 
+def test_buckets_follow_the_first_load_and_can_be_changed(spark, rows, home, monkeypatch):
+    monkeypatch.setattr("tidemart.sources.tables.ROWS_PER_BUCKET", 30)
+    t = KeyedTable(spark, f"{home}/t", ["k"])
+    t.upsert(frame(spark, *[(k, "a", 1) for k in range(100)]))
+    assert t._state()[0] == 4
+    t.upsert(frame(spark, (1, "b", 2)))
+    t.rebucket(7)
+    assert t._state()[0] == 7
+    t.upsert(frame(spark, (2, "b", 2), (200, "b", 2)))
+    assert t.read().count() == 101
+    assert rows(t.read().filter("s = 'b'"), "k") == [(1,), (2,), (200,)]
+
+
+def test_expire_keeps_what_is_current(spark, home, tmp_path):
+    t = KeyedTable(spark, f"{home}/t", ["k"], buckets=2)
+    t.upsert(frame(spark, *[(k, "a", 1) for k in range(20)]))
+    for v in range(2, 6):
+        t.upsert(frame(spark, (1, "b", v)))
+    before = sorted(map(tuple, t.read().collect()))
+    t.expire(keep=1)
+    kept = {p.name for p in (tmp_path / "t").iterdir()}
+    # The first version still holds the other bucket.
+    assert kept == {"v=0", "v=4"}
+    assert sorted(map(tuple, t.read().collect())) == before
+    f = FullTable(spark, f"{home}/f")
+    for v in range(4):
+        f.replace(frame(spark, (1, "a", v)))
+    f.expire()
+    assert {p.name for p in (tmp_path / "f").iterdir()} == {"v=2", "v=3"}
+    assert f.read().first().v == 3
+
+
 def test_empty_batches(spark, rows, home):
     t = KeyedTable(spark, f"{home}/t", ["k"])
     t.upsert(frame(spark, (1, "a", 1)).limit(0))

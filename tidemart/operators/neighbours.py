@@ -7,7 +7,7 @@ range is ranked by its own task, and only the ends of the ranges meet again.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,13 +26,16 @@ def with_neighbour(
     value: str,
     out: str,
     direction: int,
+    keep: Callable[[Column], Column],
     ranges: int | None = None,
 ) -> DataFrame:
     """Distinct (groups, order) rows with the neighbouring ``value`` as ``out``.
 
     ``direction`` is +1 for the next row and -1 for the previous one, in
     ascending order with NULL last. Equal rows are united first and counted in
-    ``COPIES``: between copies the neighbour is the row itself.
+    ``COPIES``: between copies the neighbour is the row itself. ``out`` is a
+    struct, NULL where there is no neighbour. Only rows for which ``keep(out)``
+    holds are returned.
     """
     spark = df.sparkSession
     ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -57,6 +60,9 @@ def with_neighbour(
         F.lead(F.lit(1)).over(inside).isNull().alias("__last"),
     ).withColumn(_EDGE, F.col("__first") | F.col("__last"))
 
+    # Rows inside a range know their neighbour; those not wanted stop here.
+    near = near.filter(F.col(_EDGE) | keep(F.col(out)))
+
     # Second meeting: the two ends of each range together per group, all other
     # rows stay spread over their ranges.
     place = F.when(F.col(_EDGE), F.lit(-1)).otherwise(F.col(_RANGE))
@@ -69,12 +75,17 @@ def with_neighbour(
             out,
             F.when(F.col(_EDGE) & waiting, F.col("__far")).otherwise(F.col(out)),
         )
+        .filter(keep(F.col(out)))
         .drop("__far", "__first", "__last", _RANGE, _EDGE, _PLACE)
     )
 
 
 def repeat_rows(df: DataFrame, times: Column) -> DataFrame:
-    """Each row ``times`` times, built block by block."""
+    """Each row ``times`` times, built block by block.
+
+    The blocks of a row are spread over the tasks before they are filled.
+    """
+    names = df.columns
     blocks = F.sequence(F.lit(0), F.floor((times - 1) / REPEAT_BLOCK).cast("int"))
     in_block = F.least(
         F.lit(REPEAT_BLOCK).cast("bigint"),
@@ -83,6 +94,7 @@ def repeat_rows(df: DataFrame, times: Column) -> DataFrame:
     return (
         df.filter(times > 0)
         .withColumn(_BLOCK, F.explode(blocks))
+        .repartition(*[F.col(f"`{c}`") for c in names], _BLOCK)
         .withColumn(_BLOCK, F.explode(F.array_repeat(F.lit(True), in_block)))
         .drop(_BLOCK)
     )

@@ -213,6 +213,17 @@ def sequential_values(
 ) -> DataFrame:
     """Rows that do not follow the previous value by the fixed step."""
     previous = f"previous_{slugify_name(name)}"
+
+    def broken(before: Column) -> Column:
+        if part is None:
+            rule = F.col(name) == before + F.lit(interval)
+        else:
+            moved = date_add(part, interval, before)
+            rule = F.col(name).cast("timestamp_ntz") == moved
+        return F.coalesce(~rule, F.lit(False))
+
+    # Among equal rows all but the first follow the value itself.
+    repeats = F.col(COPIES) - 1
     # NULL sorts last and never breaks the rule, so it can be left out.
     rows = with_neighbour(
         df.filter(F.col(name).isNotNull()).select(*group_by, name),
@@ -221,27 +232,17 @@ def sequential_values(
         value=name,
         out="__before",
         direction=-1,
+        keep=lambda n: broken(n[name]) | ((repeats > 0) & broken(F.col(name))),
     )
 
-    def broken(before: Column) -> Column:
-        if part is None:
-            return ~(F.col(name) == before + F.lit(interval))
-        return ~(F.col(name).cast("timestamp_ntz") == date_add(part, interval, before))
+    def found(before: Column, times: Column) -> Column:
+        n = F.when(broken(before), times).otherwise(F.lit(0)).cast("bigint")
+        return F.struct(before.alias("p"), n.alias("n"))
 
-    before = F.col(f"__before.{name}")
-    # Among equal rows all but the first follow the value itself.
-    firsts = F.when(broken(before), F.lit(1)).otherwise(F.lit(0))
-    repeats = F.when(broken(F.col(name)), F.col(COPIES) - 1).otherwise(F.lit(0))
-    counted = rows.select(
-        *group_by,
-        name,
-        F.explode(
-            F.array(
-                F.struct(before.alias("p"), firsts.cast("bigint").alias("n")),
-                F.struct(F.col(name).alias("p"), repeats.cast("bigint").alias("n")),
-            )
-        ).alias("__row"),
+    both = F.array(
+        found(F.col(f"__before.{name}"), F.lit(1)), found(F.col(name), repeats)
     )
+    counted = rows.select(*group_by, name, F.explode(both).alias("__row"))
     return repeat_rows(counted, F.col("__row.n")).select(
         *group_by, name, F.col("__row.p").alias(previous)
     )
@@ -281,6 +282,17 @@ def mutually_exclusive_ranges(
         column(lower_bound).alias("lower_bound"),
         column(upper_bound).alias("upper_bound"),
     )
+    lower, upper = F.col("lower_bound"), F.col("upper_bound")
+    own_holds = F.coalesce(ordered(lower, upper), F.lit(False))
+    repeats = F.col(COPIES) - 1
+
+    def next_holds(next_lower: Column, is_last: Column) -> Column:
+        return F.coalesce(reaches(upper, next_lower), is_last)
+
+    def broken(next_lower: Column, is_last: Column) -> Column:
+        return ~(own_holds & next_holds(next_lower, is_last))
+
+    # Of equal ranges all but the last are followed by the range itself.
     rows = with_neighbour(
         bounds,
         groups=groups,
@@ -288,31 +300,28 @@ def mutually_exclusive_ranges(
         value="lower_bound",
         out="__next",
         direction=1,
+        keep=lambda n: broken(n["lower_bound"], n.isNull())
+        | ((repeats > 0) & broken(lower, F.lit(False))),
     )
-    lower, upper = F.col("lower_bound"), F.col("upper_bound")
 
-    def judged(next_lower: Column, is_last: Column, copies: Column) -> Column:
+    def judged(next_lower: Column, is_last: Column, times: Column) -> Column:
+        n = F.when(broken(next_lower, is_last), times).otherwise(F.lit(0))
         return F.struct(
             next_lower.alias("next_lower_bound"),
             is_last.alias("is_last_record"),
-            F.coalesce(ordered(lower, upper), F.lit(False)).alias(own_rule),
-            F.coalesce(reaches(upper, next_lower), is_last).alias(next_rule),
-            copies.alias("copies"),
+            own_holds.alias(own_rule),
+            next_holds(next_lower, is_last).alias(next_rule),
+            n.cast("bigint").alias("copies"),
         )
 
-    # Of equal ranges all but the last are followed by the range itself.
-    judgement = F.array(
-        judged(
-            F.col("__next.lower_bound"),
-            F.col("__next").isNull(),
-            F.lit(1).cast("bigint"),
-        ),
-        judged(lower, F.lit(False), F.col(COPIES) - 1),
+    both = F.array(
+        judged(F.col("__next.lower_bound"), F.col("__next").isNull(), F.lit(1)),
+        judged(lower, F.lit(False), repeats),
+    )
+    broken_rows = rows.select(
+        *groups, "lower_bound", "upper_bound", F.explode(both).alias("j")
     )
-    broken = rows.select(
-        *groups, "lower_bound", "upper_bound", F.explode(judgement).alias("j")
-    ).filter(~(F.col(f"j.{own_rule}") & F.col(f"j.{next_rule}")))
-    return repeat_rows(broken, F.col("j.copies")).select(
+    return repeat_rows(broken_rows, F.col("j.copies")).select(
         *groups,
         "lower_bound",
         "upper_bound",
@@ -437,12 +446,21 @@ def relationships_where(
     from_condition: str | None = None,
     to_condition: str | None = None,
 ) -> DataFrame:
-    """Keys without a partner; NULL keys are ignored."""
+    """Keys without a partner, once per row; NULL keys are ignored.
+
+    Keys are counted before they are looked up, so a frequent one crosses the
+    network once per task and not once per row.
+    """
     child = df.filter(from_condition) if from_condition else df
     parent = to.filter(to_condition) if to_condition else to
-    child = child.select(F.col(name).alias("id")).filter(F.col("id").isNotNull())
-    parent = parent.select(F.col(field).alias("id"))
-    return child.join(parent, "id", "left_anti")
+    keys = (
+        child.select(F.col(name).alias("id"))
+        .filter(F.col("id").isNotNull())
+        .groupBy("id")
+        .agg(_n_rows().alias(COPIES))
+    )
+    orphans = keys.join(parent.select(F.col(field).alias("id")), "id", "left_anti")
+    return repeat_rows(orphans, F.col(COPIES)).select("id")
 
 
 def relationships(df: DataFrame, name: str, to: DataFrame, field: str) -> DataFrame:
@@ -461,7 +479,9 @@ def delivered_before_purchase(orders: DataFrame) -> DataFrame:
 
 def sales_without_order(sales: DataFrame, orders: DataFrame) -> DataFrame:
     """Order ids of the fact table, NULL too, that no order has."""
-    return sales.select("order_id").join(orders.select("order_id"), "order_id", "left_anti")
+    ids = sales.groupBy("order_id").agg(_n_rows().alias(COPIES))
+    missing = ids.join(orders.select("order_id"), "order_id", "left_anti")
+    return repeat_rows(missing, F.col(COPIES)).select("order_id")
 
 
 def answered_before_creation(reviews: DataFrame) -> DataFrame:

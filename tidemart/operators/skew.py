@@ -23,14 +23,26 @@ def _hash(keys: Sequence[str]) -> Column:
 def hot_keys(
     df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE
 ) -> list[int]:
-    """Hashes of the keys that may hold more than ``share`` of the rows.
+    """Hashes of the keys that hold more than ``share`` of the rows.
 
-    One pass over the key columns with a bounded sketch per task. No key above
-    the share is missed; a key below it may be listed, which costs a little
-    replication and never changes a result.
+    A first pass over the key columns keeps a bounded sketch per task and misses
+    no such key; a second one counts the candidates exactly. At most
+    ``1 / share`` hashes come back.
     """
-    row = df.select(_hash(keys).alias(_HASH)).stat.freqItems([_HASH], share).first()
-    return sorted(row[0] or []) if row else []
+    hashes = df.select(_hash(keys).alias(_HASH))
+    row = hashes.stat.freqItems([_HASH], share).first()
+    candidates = list(row[0] or []) if row else []
+    if not candidates:
+        return []
+    candidate = F.when(F.col(_HASH).isin(*candidates), F.col(_HASH))
+    counts = {
+        r["h"]: r["n"]
+        for r in hashes.groupBy(candidate.alias("h"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .collect()
+    }
+    total = sum(counts.values())
+    return sorted(h for h, n in counts.items() if h is not None and n > share * total)
 
 
 def salted_join(

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemart.constants import EMITTED_AT, VALID_FROM
 from tidemart.operators.report import quality_report
+from tidemart.operators.skew import hot_keys
 from tidemart.operators.upsert import newer_than
 from tidemart.plans import gold, silver
 from tidemart.plans.checks import GOLD_CHECKS, SILVER_CHECKS
@@ -30,8 +31,8 @@ class Warehouse:
     bronze: str
     root: str
     city_list: str
-    # Parts of each keyed table; choose about one per GB of the largest table.
-    buckets: int = 16
+    # Buckets of each keyed table; by default as many as its first load needs.
+    buckets: int | None = None
 
     def _path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
@@ -135,12 +136,11 @@ def build_gold(w: Warehouse, t: dict[str, DataFrame]) -> dict[str, DataFrame]:
             gold.FEEDBACK_KEY,
         ),
     ]:
-        g[name] = _increment(
-            w.keyed("GOLD", name, keys),
-            lambda m, model=model, source=source: model(
-                newer_than(t[source], EMITTED_AT, m), orders
-            ),
-        )
+        table = w.keyed("GOLD", name, keys)
+        new = newer_than(t[source], EMITTED_AT, table.watermark(EMITTED_AT))
+        rows = model(new, orders, hot_keys(new, gold.ORDER))
+        table.upsert(rows, unique=True)
+        g[name] = _current(table, rows)
 
     for name, model, source, keys in [
         ("dim_customer", gold.dim_customer, "customers_snapshot", gold.CUSTOMER_DIM_KEY),

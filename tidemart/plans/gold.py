@@ -1,12 +1,14 @@
 """Star schema: facts and dimensions from the conformed tables.
 
-Facts join their new rows with all orders on the order key. The orders have one
-row per key and come straight from a table, so Spark can broadcast a small
-batch or split a dominant order by itself.
+Facts join their new rows with all orders, which have one row per key. ``hot``
+lists the orders that hold a large share of those rows (see ``hot_keys``); they
+are spread over several tasks.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,9 @@ from tidemart.functions.scalar import is_present
 from tidemart.operators.generate import calendar
 from tidemart.operators.history import closed_end, dimension_increment, is_current
 from tidemart.operators.reshape import distinct_values
+from tidemart.operators.skew import salted_join
+
+ORDER = ["order_id"]
 
 # Key columns of the facts and dimensions that are kept by upsert. The sales
 # fact has one row per order line.
@@ -28,11 +33,13 @@ CUSTOMER_DIM_KEY = ["customer_key"]
 SELLER_DIM_KEY = ["customer_pk"]
 
 
-def fact_sales(items: DataFrame, orders: DataFrame) -> DataFrame:
+def fact_sales(
+    items: DataFrame, orders: DataFrame, hot: Sequence[int] = ()
+) -> DataFrame:
     orders = orders.select(
         "order_id", "order_status", "customer_unique_id", "order_purchase_timestamp"
     )
-    return items.join(orders, "order_id").select(
+    return salted_join(items, orders, ORDER, hot=hot).select(
         "order_id",
         "order_item_id",
         "order_status",
@@ -46,11 +53,13 @@ def fact_sales(items: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def fact_payment(payments: DataFrame, orders: DataFrame) -> DataFrame:
+def fact_payment(
+    payments: DataFrame, orders: DataFrame, hot: Sequence[int] = ()
+) -> DataFrame:
     orders = orders.select(
         "order_id", "order_status", "customer_unique_id", "order_purchase_timestamp"
     )
-    return payments.join(orders, "order_id").select(
+    return salted_join(payments, orders, ORDER, hot=hot).select(
         "order_id",
         "payment_sequential",
         "customer_unique_id",
@@ -62,9 +71,11 @@ def fact_payment(payments: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def fact_reviews(reviews: DataFrame, orders: DataFrame) -> DataFrame:
+def fact_reviews(
+    reviews: DataFrame, orders: DataFrame, hot: Sequence[int] = ()
+) -> DataFrame:
     orders = orders.select("order_id", "customer_unique_id")
-    return reviews.join(orders, "order_id").select(
+    return salted_join(reviews, orders, ORDER, hot=hot).select(
         "review_id",
         "order_id",
         "customer_unique_id",
@@ -78,8 +89,11 @@ def fact_reviews(reviews: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def dim_feedback_profile(reviews: DataFrame, orders: DataFrame) -> DataFrame:
-    return reviews.join(orders.select("order_id"), "order_id").select(
+def dim_feedback_profile(
+    reviews: DataFrame, orders: DataFrame, hot: Sequence[int] = ()
+) -> DataFrame:
+    orders = orders.select("order_id")
+    return salted_join(reviews, orders, ORDER, hot=hot).select(
         surrogate_key(["review_id", "order_id"]).alias("feedback_id"),
         "review_comment_title",
         "review_comment_message",

@@ -199,14 +199,12 @@ def typed_columns(
 
 def _partition_columns(spec: FileSource) -> list[Column]:
     """Partition columns; a filter on them prunes files before they are opened."""
-    out = []
-    for p in spec.partitions:
-        if p.expression:
-            path = F.expr(p.expression.replace("filename", "_metadata.file_path"))
-            out.append(path.cast(p.data_type).alias(p.name))
-        else:
-            out.append(F.col(f"`{p.name}`").cast(p.data_type).alias(p.name))
-    return out
+    return [
+        (F.expr(p.expression) if p.expression else F.col(f"`{p.name}`"))
+        .cast(p.data_type)
+        .alias(p.name)
+        for p in spec.partitions
+    ]
 
 
 def load(spark: SparkSession, spec: FileSource) -> DataFrame:
@@ -217,25 +215,28 @@ def load(spark: SparkSession, spec: FileSource) -> DataFrame:
     if spec.pattern:
         rows = rows.filter(F.col("_metadata.file_path").rlike(spec.pattern))
     partitions = _partition_columns(spec)
+    stored = rows.columns
+    if any(p.expression for p in spec.partitions):
+        rows = rows.withColumn("filename", F.col("_metadata.file_path"))
     if spec.infer_schema:
         computed = {p.name for p in spec.partitions}
-        names = [c for c in rows.columns if c not in computed]
+        names = [c for c in stored if c not in computed]
         return rows.select(
             *[_clean(F.col(f"`{c}`"), False).alias(c) for c in names], *partitions
         )
     if not spec.columns:
-        return rows.select(whole_row(rows, spec), *partitions)
+        return rows.select(whole_row(stored, spec), *partitions)
     columns, sound = typed_columns(rows, spec)
     if spec.on_error == "skip":
         rows = rows.filter(sound)
     return rows.select(*columns, *partitions)
 
 
-def whole_row(rows: DataFrame, spec: FileSource) -> Column:
+def whole_row(stored: Sequence[str], spec: FileSource) -> Column:
     """The row as one variant, for a source without declared columns."""
     if spec.format == "json":
         return F.try_parse_json("value").alias("value")
-    names = [c for c in rows.columns if c not in {p.name for p in spec.partitions}]
+    names = [c for c in stored if c not in {p.name for p in spec.partitions}]
     return F.to_variant_object(F.struct(*[F.col(f"`{c}`") for c in names])).alias(
         "value"
     )

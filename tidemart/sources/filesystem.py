@@ -23,3 +23,8 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
         return []
     found = _file_system(spark, path).listStatus(_path(spark, path))
     return sorted(s.getPath().getName() for s in found)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a directory with everything in it."""
+    _file_system(spark, path).delete(_path(spark, path), True)

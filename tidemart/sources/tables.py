@@ -15,14 +15,16 @@ from functools import reduce
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tidemart.operators.history import open_versions, version_changes
 from tidemart.operators.upsert import high_watermark, require_unique, upsert
-from tidemart.sources.filesystem import child_names, exists
+from tidemart.sources.filesystem import child_names, delete, exists
 
 _VERSION = re.compile(r"v=(\d+)")
-_BUCKET = "__bucket"
+_OF, _BUCKET = "__of", "__bucket"
+
+# Size of a bucket when the number of buckets is chosen for a new table.
+ROWS_PER_BUCKET = 4_000_000
 
 
 def _numbers(spark: SparkSession, path: str) -> list[int]:
@@ -47,6 +49,15 @@ def _require_committed(spark: SparkSession, path: str) -> None:
         raise RuntimeError(f"{path} has no _SUCCESS marker; enable the markers")
 
 
+def _expire(spark: SparkSession, path: str, needed: set[int], keep: int) -> None:
+    """Delete versions that hold nothing current, but for the newest ``keep``."""
+    newest = next(_committed(spark, path), None)
+    old = [n for n in _numbers(spark, path) if newest is not None and n < newest]
+    for n in old[max(keep - 1, 0) :]:
+        if n not in needed:
+            delete(spark, f"{path}/v={n}")
+
+
 class FullTable:
     """A table replaced as a whole on every run."""
 
@@ -64,50 +75,61 @@ class FullTable:
         df.write.mode("overwrite").parquet(target)
         _require_committed(self.spark, target)
 
+    def expire(self, keep: int = 2) -> None:
+        """Delete all but the newest versions."""
+        _expire(self.spark, self.path, set(), keep)
+
 
 class KeyedTable:
     """A table with one row per key, kept current by upserts.
 
-    Rows live in ``buckets`` by the hash of their key. A version holds whole
+    Rows live in buckets by the hash of their key. A version holds whole
     buckets: those that a batch touches are rewritten, all others stay where
     they are, and a reader takes the newest copy of each bucket. Keys are unique
-    in the table, so buckets are even whatever the input looks like.
+    in the table, so buckets are even whatever the input looks like. Their
+    number is fixed by the first write: the one given, or enough for
+    ``ROWS_PER_BUCKET`` rows in each; ``rebucket`` changes it later.
     """
 
     def __init__(
-        self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 16
+        self,
+        spark: SparkSession,
+        path: str,
+        keys: Sequence[str],
+        buckets: int | None = None,
     ):
         self.spark, self.path = spark, path
         self.keys, self.buckets = list(keys), buckets
 
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-
-    def _newest(self) -> dict[int, str]:
-        """Path of the newest copy of each bucket."""
-        newest: dict[int, str] = {}
+    def _state(self) -> tuple[int | None, dict[int, str]]:
+        """Number of buckets, and the path of the newest copy of each."""
+        count, newest = None, {}
         for v in _committed(self.spark, self.path):
-            for name in child_names(self.spark, f"{self.path}/v={v}"):
-                if name.startswith(f"{_BUCKET}="):
+            version = f"{self.path}/v={v}"
+            for of in child_names(self.spark, version):
+                if not of.startswith(f"{_OF}="):
+                    continue
+                n = int(of.split("=")[1])
+                count = n if count is None else count
+                if n != count:
+                    # Older than the last change of the number.
+                    return count, newest
+                for name in child_names(self.spark, f"{version}/{of}"):
                     bucket = int(name.split("=")[1])
-                    newest.setdefault(bucket, f"{self.path}/v={v}/{name}")
-            if len(newest) == self.buckets:
+                    newest.setdefault(bucket, f"{version}/{of}/{name}")
+            if count is not None and len(newest) == count:
                 break
-        return newest
-
-    def _schema(self) -> StructType | None:
-        newest = self._newest()
-        if not newest:
-            return None
-        return self.spark.read.parquet(next(iter(newest.values()))).schema
+        return count, newest
 
-    def _read(self, paths: Sequence[str], schema: StructType) -> DataFrame:
+    def _read(self, paths: Sequence[str]) -> DataFrame:
+        # All files have the columns of the first write.
+        schema = self.spark.read.parquet(paths[0]).schema
         return self.spark.read.schema(schema).parquet(*paths)
 
     def read(self) -> DataFrame | None:
         """Current rows, None before the first non-empty write."""
-        newest = self._newest()
-        return self._read(list(newest.values()), self._schema()) if newest else None
+        _, newest = self._state()
+        return self._read(list(newest.values())) if newest else None
 
     def watermark(self, name: str):
         return high_watermark(self.read(), name)
@@ -121,42 +143,61 @@ class KeyedTable:
         late records do not undo newer ones and a repeated batch changes
         nothing. ``unique`` says the keys are known to be unique in the batch.
         """
-        # Read three times below; lost partitions are computed again.
+        # Read several times below; lost partitions are computed again.
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if not unique:
                 require_unique(batch, self.keys)
-            self._write(batch, newest_by)
+            count, newest = self._state()
+            if count is None:
+                wanted = -(-batch.count() // ROWS_PER_BUCKET)
+                count = self.buckets or max(wanted, 1)
+            # At most ``count`` numbers.
+            bucket = batch.select(self._bucket(count).alias("b")).distinct()
+            touched = [r.b for r in bucket.collect()]
+            stored = [newest[b] for b in touched if b in newest]
+            rows = batch
+            if stored:
+                target = self._read(stored)
+                if newest_by is not None:
+                    batch = self._without_late(batch, target, newest_by)
+                rows = upsert(target, batch, self.keys)
+            self._write(rows, count, len(touched))
         finally:
             batch.unpersist()
 
-    def _write(self, batch: DataFrame, newest_by: str | None) -> None:
-        newest = self._newest()
-        # At most ``buckets`` numbers.
-        touched = [
-            r[0] for r in batch.select(self._bucket().alias("b")).distinct().collect()
-        ]
-        stored = [newest[b] for b in touched if b in newest]
-        rows = batch
-        if stored:
-            target = self._read(stored, self._schema())
-            if newest_by is not None:
-                batch = self._without_late(batch, target, newest_by)
-            rows = upsert(target, batch, self.keys)
-        target_path = f"{self.path}/v={_next_version(self.spark, self.path)}"
-        (
-            rows.withColumn(_BUCKET, self._bucket())
-            .repartition(max(len(touched), 1), _BUCKET)
-            .write.mode("overwrite")
-            .partitionBy(_BUCKET)
-            .parquet(target_path)
-        )
-        _require_committed(self.spark, target_path)
+    def rebucket(self, buckets: int) -> None:
+        """Rewrite the whole table with another number of buckets."""
+        rows = self.read()
+        if rows is not None:
+            self._write(rows, buckets, buckets)
+
+    def expire(self, keep: int = 2) -> None:
+        """Delete versions that hold no current bucket, but for the newest."""
+        found = (re.search(r"/v=(\d+)/", p) for p in self._state()[1].values())
+        _expire(self.spark, self.path, {int(m[1]) for m in found}, keep)
+
+    def _bucket(self, count: int) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(count)).cast("int")
+
+    def _write(self, rows: DataFrame, count: int, touched: int) -> None:
+        rows = rows.withColumns({_OF: F.lit(count), _BUCKET: self._bucket(count)})
+        # One task and one file per bucket.
+        if touched == count:
+            rows = rows.repartitionById(count, F.col(_BUCKET))
+        else:
+            rows = rows.repartition(max(touched, 1), _BUCKET)
+        target = f"{self.path}/v={_next_version(self.spark, self.path)}"
+        rows.write.mode("overwrite").partitionBy(_OF, _BUCKET).parquet(target)
+        _require_committed(self.spark, target)
 
     def _without_late(
         self, batch: DataFrame, target: DataFrame, newest_by: str
     ) -> DataFrame:
+        # The stored rows are reduced to the keys of the batch first, so they
+        # are not shuffled for a small batch.
         stored = target.select(*self.keys, F.col(newest_by).alias("__stored"))
+        stored = stored.join(batch.select(*self.keys), self.keys, "left_semi")
         kept = batch.join(stored, self.keys, "left").filter(
             F.col("__stored").isNull() | (F.col(newest_by) >= F.col("__stored"))
         )
@@ -178,7 +219,7 @@ class SnapshotTable:
         path: str,
         key: str,
         check_cols: Sequence[str],
-        buckets: int = 16,
+        buckets: int | None = None,
     ):
         self.spark, self.path = spark, path
         self.key, self.check_cols = key, list(check_cols)

@@ -80,7 +80,7 @@ def ingest_files(
     if spec.columns:
         columns, sound = typed_columns(rows, spec, empty_as_null=True)
     else:
-        columns, sound = [whole_row(rows, spec)], F.lit(True)
+        columns, sound = [whole_row(rows.columns, spec)], F.lit(True)
     stream = rows.select(*columns, sound.alias("__sound"), *_file_columns(spec))
     names = [c.output for c in spec.columns] or ["value"]
 
