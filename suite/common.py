@@ -40,8 +40,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def orders_log(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders")
     return o.select(
-        F.col("o_orderkey").cast("string").alias("order_id"),
-        F.col("o_custkey").cast("string").alias("customer_id"),
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("customer_id"),
         F.col("o_orderstatus").alias("order_status"),
         F.col("o_orderdate").alias("order_purchase_timestamp"),
         F.col("o_orderdate").alias(EMITTED_AT),
@@ -49,8 +49,8 @@ def orders_log(spark: SparkSession, d: str) -> DataFrame:
 
 
 ORDERS_LOG = f"""
-SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
-       CAST(o_custkey AS VARCHAR) AS customer_id,
+SELECT o_orderkey AS order_id,
+       o_custkey AS customer_id,
        o_orderstatus AS order_status,
        o_orderdate AS order_purchase_timestamp,
        o_orderdate AS {EMITTED_AT}
@@ -60,7 +60,7 @@ FROM orders"""
 def customers_log(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer")
     return c.select(
-        F.col("c_custkey").cast("string").alias("customer_id"),
+        F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("customer_unique_id"),
         F.lit("1995-01-01").cast("timestamp_ntz").alias(EMITTED_AT),
     )
@@ -69,10 +69,10 @@ def customers_log(spark: SparkSession, d: str) -> DataFrame:
 def items_log(spark: SparkSession, d: str) -> DataFrame:
     line = table(spark, d, "lineitem")
     return line.select(
-        F.col("l_orderkey").cast("string").alias("order_id"),
+        F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").cast("bigint").alias("order_item_id"),
-        F.col("l_partkey").cast("string").alias("product_id"),
-        F.col("l_suppkey").cast("string").alias("seller_id"),
+        F.col("l_partkey").alias("product_id"),
+        F.col("l_suppkey").alias("seller_id"),
         F.col("l_shipdate").alias("shipping_limit_date"),
         F.col("l_extendedprice").alias("price"),
         F.col("l_tax").alias("freight_value"),
@@ -81,10 +81,10 @@ def items_log(spark: SparkSession, d: str) -> DataFrame:
 
 
 ITEMS_LOG = f"""
-SELECT CAST(l_orderkey AS VARCHAR) AS order_id,
+SELECT l_orderkey AS order_id,
        CAST(l_linenumber AS BIGINT) AS order_item_id,
-       CAST(l_partkey AS VARCHAR) AS product_id,
-       CAST(l_suppkey AS VARCHAR) AS seller_id,
+       l_partkey AS product_id,
+       l_suppkey AS seller_id,
        l_shipdate AS shipping_limit_date,
        l_extendedprice AS price,
        l_tax AS freight_value,
@@ -114,13 +114,13 @@ ORDERS_LATEST = f"""
 SELECT o.order_id, o.customer_id, c.c_name AS customer_unique_id, o.order_status,
        o.order_purchase_timestamp, o.{EMITTED_AT}
 FROM ({ORDERS_LOG}) o
-LEFT JOIN customer c ON o.customer_id = CAST(c.c_custkey AS VARCHAR)"""
+LEFT JOIN customer c ON o.customer_id = c.c_custkey"""
 
 
 def payments_log(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders")
     return o.select(
-        F.col("o_orderkey").cast("string").alias("order_id"),
+        F.col("o_orderkey").alias("order_id"),
         F.lit(1).cast("bigint").alias("payment_sequential"),
         F.col("o_orderpriority").alias("payment_type"),
         (F.col("o_orderkey") % 12).alias("payment_installments"),
@@ -130,7 +130,7 @@ def payments_log(spark: SparkSession, d: str) -> DataFrame:
 
 
 PAYMENTS_LOG = f"""
-SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
+SELECT o_orderkey AS order_id,
        CAST(1 AS BIGINT) AS payment_sequential,
        o_orderpriority AS payment_type,
        o_orderkey % 12 AS payment_installments,
@@ -144,7 +144,7 @@ def reviews_log(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events")
     return e.select(
         F.concat_ws("-", "user_id", "event_type").alias("review_id"),
-        F.col("user_id").cast("string").alias("order_id"),
+        F.col("user_id").alias("order_id"),
         (F.col("event_id") % 5 + 1).alias("review_score"),
         F.when(F.col("event_type") != "error", F.col("event_type")).alias(
             "review_comment_title"
@@ -160,7 +160,7 @@ def reviews_log(spark: SparkSession, d: str) -> DataFrame:
 
 REVIEWS_LOG = f"""
 SELECT concat_ws('-', user_id, event_type) AS review_id,
-       CAST(user_id AS VARCHAR) AS order_id,
+       user_id AS order_id,
        event_id % 5 + 1 AS review_score,
        CASE WHEN event_type <> 'error' THEN event_type END AS review_comment_title,
        CASE WHEN value > 20 THEN props END AS review_comment_message,

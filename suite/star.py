@@ -140,7 +140,7 @@ TRANSLATION = [("ECONOMY", "budget"), ("PROMO", "promotion"), ("SMALL", "compact
 def products_log(spark, d):
     p = table(spark, d, "part")
     return p.select(
-        F.col("p_partkey").cast("string").alias("product_id"),
+        F.col("p_partkey").alias("product_id"),
         F.col("p_type").alias("product_category_name"),
         F.length("p_name").cast("bigint").alias("product_name_lenght"),
         F.col("p_size").cast("bigint").alias("product_description_lenght"),
@@ -151,7 +151,7 @@ def products_log(spark, d):
 
 @star.add(
     f"""
-SELECT CAST(p_partkey AS VARCHAR) AS product_id,
+SELECT p_partkey AS product_id,
        coalesce(t.english, p_type) AS product_category_name,
        CAST(length(p_name) AS BIGINT) AS product_name_length,
        CAST(p_size AS BIGINT) AS product_description_length,
@@ -262,19 +262,19 @@ def batches(log: DataFrame, key: str):
 def customer_versions(spark, d):
     """Each order states its customer's region codes anew."""
     return table(spark, d, "orders").select(
-        F.col("o_custkey").cast("string").alias("customer_id"),
+        F.col("o_custkey").alias("customer_id"),
         F.col("o_orderstatus").alias("customer_city"),
         F.col("o_orderpriority").alias("customer_state"),
         F.lit("Z").alias("customer_zip_code_prefix"),
-        F.col("o_orderkey").cast("string").alias("customer_unique_id"),
+        F.col("o_orderkey").alias("customer_unique_id"),
         F.col("o_orderdate").alias("seen_at"),
     )
 
 
 CUSTOMER_HISTORY = history_sql(
-    """SELECT CAST(o_custkey AS VARCHAR) AS customer_id, o_orderstatus AS customer_city,
+    """SELECT o_custkey AS customer_id, o_orderstatus AS customer_city,
               o_orderpriority AS customer_state, 'Z' AS customer_zip_code_prefix,
-              CAST(o_orderkey AS VARCHAR) AS customer_unique_id, o_orderdate AS seen_at
+              o_orderkey AS customer_unique_id, o_orderdate AS seen_at
        FROM orders""",
     "customer_id",
     ["customer_city", "customer_state", "customer_zip_code_prefix"],
@@ -299,7 +299,7 @@ def scd2_customers(spark, d):
 
 
 SELLER_HISTORY = history_sql(
-    """SELECT CAST(l_suppkey AS VARCHAR) AS seller_id, l_returnflag AS seller_state,
+    """SELECT l_suppkey AS seller_id, l_returnflag AS seller_state,
               CAST(l_linenumber AS VARCHAR) AS seller_zip_code_prefix,
               l_linestatus AS seller_city, l_shipdate AS seen_at
        FROM lineitem""",
@@ -312,7 +312,7 @@ SELLER_HISTORY = history_sql(
 def seller_table(spark, d) -> SnapshotTable:
     """Seller history kept in a table, one run per batch."""
     log = table(spark, d, "lineitem").select(
-        F.col("l_suppkey").cast("string").alias("seller_id"),
+        F.col("l_suppkey").alias("seller_id"),
         F.col("l_returnflag").alias("seller_state"),
         F.col("l_linenumber").cast("string").alias("seller_zip_code_prefix"),
         F.col("l_linestatus").alias("seller_city"),
@@ -436,7 +436,7 @@ def incremental_watermark(spark, d):
 
 
 @star.add(
-    """SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_type AS product_category_name,
+    """SELECT p_partkey AS product_id, p_type AS product_category_name,
               p_retailprice AS product_weight_g FROM part"""
 )
 def full_refresh(spark, d):

@@ -129,6 +129,23 @@ def test_value_profile(spark):
     assert [x.value for x in by_name.collect()] == ["b", "a"]
 
 
+def test_column_values_of_a_missing_table(spark):
+    df = r.column_values(spark, "no.such_table", "x", default=["b", "a"])
+    assert [x.value for x in df.collect()] == ["b", "a"]
+    with pytest.raises(ValueError):
+        r.column_values(spark, "no.such_table", "x")
+    spark.range(3).withColumn("v", F.lit("same")).write.mode("overwrite").saveAsTable("some_values")
+    assert [x.value for x in r.column_values(spark, "some_values", "v").collect()] == ["same"]
+
+
+def test_union_does_not_tell_names_by_case(spark, rows):
+    a = spark.createDataFrame([(1, "x")], "Id int, name string")
+    b = spark.createDataFrame([(2, "y")], "ID int, Name string")
+    df = r.union_relations({"a": a, "b": b}, source_column_name=None)
+    assert df.columns == ["Id", "name"]
+    assert rows(df) == [(1, "x"), (2, "y")]
+
+
 def test_star(spark):
     df = spark.createDataFrame([("a", "b", "c")], "field_1 string, field_2 string, field_3 string")
     assert df.select(*r.star(df, ["FIELD_3"])).columns == ["field_1", "field_2"]

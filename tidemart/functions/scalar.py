@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import add, sub
+from operator import add, or_, sub
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -63,7 +63,7 @@ def installment_value(value: ColumnOrName, installments: ColumnOrName) -> Column
 
 def is_present(*fields: ColumnOrName) -> Column:
     """True if any of the fields is not NULL."""
-    return F.coalesce(*[column(f) for f in fields]).isNotNull()
+    return reduce(or_, [column(f).isNotNull() for f in fields])
 
 
 def not_blank(c: ColumnOrName) -> Column:

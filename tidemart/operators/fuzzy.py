@@ -63,9 +63,14 @@ def best_city_match(
     and only within a state. Losing candidates are dropped by an aggregate
     before the exchange.
     """
-    names = places.select(
-        F.lower("city").alias("city"), F.upper("state").alias("state")
-    ).distinct()
+    spark = places.sparkSession
+    names = (
+        places.select(F.lower("city").alias("city"), F.upper("state").alias("state"))
+        .distinct()
+        # Few bytes but much work per row: an explicit number keeps the names
+        # from being packed into a handful of tasks by size.
+        .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "city", "state")
+    )
     official = cities.select(
         F.upper("UF").alias("state"),
         F.lower("City").alias("standardized_city"),

@@ -85,6 +85,20 @@ def value_profile(
     return ordered if max_records is None else ordered.limit(max_records)
 
 
+def column_values(
+    spark: SparkSession, table: str, name: str, default: Sequence | None = None, **profile
+) -> DataFrame:
+    """Values of a catalog table's column, as ``value_profile`` orders them.
+
+    Without the table, the default values in their given order.
+    """
+    if spark.catalog.tableExists(table):
+        return value_profile(spark.table(table), name, **profile).select("value")
+    if default is None:
+        raise ValueError(f"{table} does not exist and no default was given")
+    return spark.createDataFrame([(v,) for v in default], ["value"])
+
+
 def group_by_first(df: DataFrame, n: int):
     """Group by the first ``n`` columns."""
     return df.groupBy(*[_quoted(c) for c in df.columns[:n]])
@@ -193,29 +207,27 @@ def union_relations(
     wanted, unwanted = _lower(include), _lower(exclude)
 
     types: dict[str, DataType] = {}
-    present: dict[str, set[str]] = {}
-    for name, df in relations.items():
-        chosen = [
-            f
+    for df in relations.values():
+        seen = _lower(types)
+        types.update(
+            (f.name, f.dataType)
             for f in df.schema.fields
-            if f.name.lower() not in unwanted
+            if f.name.lower() not in unwanted | seen
             and (not wanted or f.name.lower() in wanted)
-        ]
-        present[name] = {f.name for f in chosen}
-        for f in chosen:
-            types.setdefault(f.name, f.dataType)
+        )
     if not types:
         raise ValueError(f"no columns found to union for {list(relations)}")
 
     def aligned(name: str, df: DataFrame) -> DataFrame:
         rows = df.filter(where) if where else df
+        present = _lower(df.columns)
         label = (
             [] if source_column_name is None else [F.lit(name).alias(source_column_name)]
         )
         return rows.select(
             *label,
             *[
-                (_quoted(c) if c in present[name] else F.lit(None))
+                (_quoted(c) if c.lower() in present else F.lit(None))
                 .cast(override.get(c, kind))
                 .alias(c)
                 for c, kind in types.items()

@@ -71,7 +71,9 @@ def build_silver(w: Warehouse, run_time: datetime) -> dict[str, DataFrame]:
     t: dict[str, DataFrame] = {}
     t["orders_silver"] = _increment(
         w.keyed("SILVER", "orders_silver", silver.ORDER_KEY),
-        lambda m: silver.orders_silver(w.log("orders", m), w.log("customers")),
+        lambda m: silver.orders_silver(
+            w.log("orders", m), w.log("customers"), small=m is not None
+        ),
     )
     t["orders_items_silver"] = _increment(
         w.keyed("SILVER", "orders_items_silver", silver.ORDER_ITEM_KEY),

@@ -28,12 +28,19 @@ PRODUCT_KEY = ["product_id"]
 COORDINATES_PER_ROW = 50_000
 
 
-def orders_silver(orders: DataFrame, customers: DataFrame) -> DataFrame:
+def orders_silver(
+    orders: DataFrame, customers: DataFrame, small: bool = False
+) -> DataFrame:
     """Latest state of each order with the person behind its customer id.
 
     Both logs are reduced before they are joined, so several versions of a
-    customer neither multiply orders nor pick a random one.
+    customer neither multiply orders nor pick a random one. ``small`` says that
+    ``orders`` is an increment: then only its customers are reduced, and the
+    rest of their log is dropped before it is shuffled.
     """
+    if small:
+        wanted = orders.select("customer_id").distinct()
+        customers = customers.join(wanted, "customer_id", "left_semi")
     people = latest_per_key(
         customers.select("customer_id", "customer_unique_id", EMITTED_AT),
         ["customer_id"],
