@@ -456,7 +456,7 @@ def full_refresh(spark, d):
 # out, so its spelling has to be matched against the segment names of the state.
 CUSTOMER_PLACES = """
 SELECT CAST(c_custkey % 50 AS VARCHAR) AS zip,
-       floor(c_acctbal) / 200 AS lat, CAST(c_nationkey AS DOUBLE) AS lng,
+       floor(c_acctbal) / 130 AS lat, CAST(c_nationkey AS DOUBLE) AS lng,
        substr(c_mktsegment, 1, CAST(c_custkey % 9 AS INT))
          || substr(c_mktsegment, CAST(c_custkey % 9 AS INT) + 2) AS city,
        CAST(c_nationkey AS VARCHAR) AS state
@@ -471,7 +471,7 @@ def places(spark, d):
     segment = F.col("c_mktsegment")
     return table(spark, d, "customer").select(
         (F.col("c_custkey") % 50).cast("string").alias("geolocation_zip_code_prefix"),
-        (F.floor("c_acctbal") / 200).alias("geolocation_lat"),
+        (F.floor("c_acctbal") / 130).alias("geolocation_lat"),
         F.col("c_nationkey").cast("double").alias("geolocation_lng"),
         F.concat(
             F.substr(segment, F.lit(1), cut), F.substr(segment, cut + 2)
