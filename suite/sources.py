@@ -18,7 +18,7 @@ from tidemart.sources.catalog import (
 from tidemart.sources.envelope import envelope_schema, extract, read_cities
 from tidemart.sources.files import FileColumn, FilePartition, FileSource, load
 from tidemart.sources.filesystem import child_names
-from tidemart.sources.workspace import new_folder
+from tidemart.sources.workspace import new_folder, shared_folder
 from tidemart.streaming.ingest import ingest_files, read_ingested
 
 sources = Registry()
@@ -49,6 +49,12 @@ def _orders(spark, d):
     )
 
 
+def _database(spark, name):
+    """A database whose own folder is shared as well."""
+    folder = f"{shared_folder(spark)}/{name}.db"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{folder}'")
+
+
 @sources.add("SELECT * FROM customer")
 def src_csv(spark, d):
     """CSV with a header of other names: columns are taken by position."""
@@ -173,7 +179,7 @@ def src_listed_partitions(spark, d):
         ORDER_COLUMNS,
         [FilePartition("o_orderstatus"), FilePartition("o_orderpriority")],
     )
-    spark.sql("CREATE DATABASE IF NOT EXISTS listed")
+    _database(spark, "listed")
     table_name = f"`listed`.`t_{name}`"
     spark.sql(create_statement(spec, table_name))
     priorities = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -292,7 +298,7 @@ def src_envelope(spark, d):
     payload = F.struct(
         F.col("o_orderkey").cast("string").alias("order_id"),
         F.col("o_orderstatus").alias("order_status"),
-        F.col("o_totalprice").cast("string").alias("total"),
+        F.col("o_totalprice").alias("total"),
         F.col("o_orderdate").cast("string").alias("order_date"),
     )
     _orders(spark, d).select(
@@ -345,6 +351,7 @@ def src_catalog_refresh(spark, d):
         [FilePartition("c_mktsegment")],
         options=HEADER,
     )
+    _database(spark, "staged")
     customer = _customer(spark, d)
     in_debt = F.col("c_acctbal") < 0
     writer = customer.filter(in_debt).write.partitionBy("c_mktsegment")

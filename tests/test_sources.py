@@ -1,7 +1,9 @@
 """Files in each format, declared in each way, give the same people."""
 
 import json
+from datetime import datetime
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ from tidemart.sources.catalog import (
     value_only,
     year_month_day,
 )
-from tidemart.sources.envelope import BRONZE_TABLES, envelope_schema, extract
+from tidemart.sources.envelope import BRONZE_TABLES, envelope_schema, extract, read_bronze
 from tidemart.sources.files import FileColumn, FilePartition, FileSource, load
 from tidemart.sources.workspace import new_folder, shared_folder
 from tidemart.streaming.ingest import ingest_files, numbered_rows, read_ingested
@@ -203,8 +205,6 @@ def test_envelope(spark, tmp_path, rows):
     assert str(first[EMITTED_AT]) == "2024-01-01 10:00:00.123000"
     assert str(first["order_purchase_timestamp"]) == "2017-10-02 10:56:33"
     assert first["order_delivered_customer_date"] is None
-    from datetime import datetime
-
     later = extract(stored, payload, since=datetime(2024, 1, 2))
     assert rows(later, "order_id") == [("o3",)]
     narrow = later.select("order_id")
@@ -213,6 +213,27 @@ def test_envelope(spark, tmp_path, rows):
     assert "order_status" not in plan
 
 
+def test_envelopes_with_native_numbers_and_missing_fields(spark, tmp_path, rows):
+    """Files as pandas writes them: a struct of what each record has."""
+    at = "2024-01-01 10:00:00.123+00:00"
+    pay = [
+        {"order_id": "o1", "payment_sequential": 1, "payment_type": "voucher", "payment_value": 18.12},
+        {"order_id": "o2", "payment_sequential": 2, "payment_type": "boleto", "payment_value": 2.0},
+    ]
+    (tmp_path / "order_payments").mkdir()
+    for i, p in enumerate(pay):
+        if i:
+            p["payment_installments"] = 4
+        envelope = {"_airbyte_ab_id": str(i), EMITTED_AT: at, "_airbyte_data": p}
+        path = tmp_path / "order_payments" / f"{i}.parquet"
+        pd.DataFrame([envelope]).to_parquet(path, index=False, engine="pyarrow")
+    want = sorted([("o1", 1, "voucher", None, 18.12), ("o2", 2, "boleto", 4, 2.0)], key=repr)
+    for infer in (False, True):
+        log = read_bronze(spark, str(tmp_path), "order_payments", infer=infer)
+        assert rows(log.drop(EMITTED_AT)) == want
+        assert str(log.first()[EMITTED_AT]) == "2024-01-01 10:00:00.123000"
+
+
 # --- ingest -----------------------------------------------------------------
 
 

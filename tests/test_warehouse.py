@@ -5,7 +5,7 @@ from datetime import date, datetime
 import pytest
 
 from tidemart.constants import VALID_FROM, VALID_TO
-from tidemart.plans.build import Warehouse, run_once, build_gold, build_silver
+from tidemart.plans.build import Warehouse, build_gold, build_silver, run_once
 from tidemart.sources.envelope import BRONZE_TABLES, envelope_schema
 
 T1 = "2024-01-01 00:00:00.000+00:00"
@@ -101,9 +101,21 @@ MG,Belo Horizonte,Minas Gerais,4
 
 
 def append(spark, root, logs):
+    read = {"bigint": int, "double": float}
     for table, records in logs.items():
-        rows = [(f"{table}-{i}", at, p) for i, (at, p) in enumerate(records)]
-        schema = envelope_schema(BRONZE_TABLES[table])
+        payload = BRONZE_TABLES[table]
+        rows = [
+            (
+                f"{table}-{i}",
+                at,
+                tuple(
+                    v if v is None else read.get(kind, str)(v)
+                    for v, kind in zip(p, payload.values())
+                ),
+            )
+            for i, (at, p) in enumerate(records)
+        ]
+        schema = envelope_schema(payload)
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(
             f"{root}/{table}"
         )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -91,13 +91,19 @@ BRONZE_TABLES: dict[str, dict[str, str]] = {
 CITY_LIST_SCHEMA = "UF string, City string, State string, ID_IBGE int"
 
 
-def envelope_schema(payload: Mapping[str, str], raw: Mapping[str, str] | None = None):
+# How a payload field of each type is stored: times are text, numbers are not.
+STORED_AS = {_TEXT: _TEXT, _NUMBER: _NUMBER, _FLOAT: _FLOAT, _TIME: _TEXT}
+
+
+def envelope_schema(
+    payload: Mapping[str, str], raw: Mapping[str, str] | None = None
+) -> StructType:
     """Schema of an envelope file; fields a file lacks are read as NULL.
 
-    ``raw`` names the payload fields stored with another type than text.
+    ``raw`` names the payload fields that are stored with another type.
     """
     raw = raw or {}
-    kind = ", ".join(f"`{c}` {raw.get(c, _TEXT)}" for c in payload)
+    kind = ", ".join(f"`{c}` {raw.get(c, STORED_AS[t])}" for c, t in payload.items())
     return StructType(
         [
             StructField(RECORD_ID, StringType()),
@@ -112,18 +118,24 @@ def extract(
 ) -> DataFrame:
     """Emission time and typed payload columns of envelope records.
 
-    A value that does not fit its type becomes NULL. The emission time is text
-    ``YYYY-MM-DD HH:MM:SS.mmm+00:00``; its offset is dropped, the clock time is
-    kept whatever the session time zone. With ``since`` only later records are
-    returned; the text is compared by its date first, a day early, because that
-    comparison is pushed into the Parquet scan and the cast is not.
+    A value that does not fit its type becomes NULL, as does a field that the
+    records lack. The emission time is text ``YYYY-MM-DD HH:MM:SS.mmm+00:00``;
+    its offset is dropped, the clock time is kept whatever the session time
+    zone. With ``since`` only later records are returned; the text is compared
+    by its date first, a day early, because that comparison is pushed into the
+    Parquet scan and the cast is not.
     """
     emitted = F.col(EMITTED_AT)
     if since is not None and dict(records.dtypes)[EMITTED_AT] == _TEXT:
         day_before = (since - timedelta(days=1)).date().isoformat()
         records = records.filter(emitted >= F.lit(day_before))
+    stored = {f.name for f in records.schema[PAYLOAD].dataType.fields}
+
+    def field(name: str) -> Column:
+        return F.col(f"{PAYLOAD}.`{name}`") if name in stored else F.lit(None)
+
     typed = records.select(
-        *[F.col(f"{PAYLOAD}.`{c}`").try_cast(t).alias(c) for c, t in payload.items()],
+        *[field(c).try_cast(t).alias(c) for c, t in payload.items()],
         emitted.try_cast(_TIME).alias(EMITTED_AT),
     )
     return typed if since is None else typed.filter(F.col(EMITTED_AT) > clock_time(since))
@@ -135,10 +147,18 @@ def read_bronze(
     table: str,
     since: datetime | None = None,
     raw: Mapping[str, str] | None = None,
+    infer: bool = False,
 ) -> DataFrame:
-    """One change log below ``root``; the scan reads only the columns in use."""
-    payload = BRONZE_TABLES[table]
-    records = spark.read.schema(envelope_schema(payload, raw)).parquet(f"{root}/{table}")
+    """One change log below ``root``; the scan reads only the columns in use.
+
+    The stored types are declared; with ``infer`` they are merged from the
+    footers of all files instead, which costs a pass over the footers.
+    """
+    payload, path = BRONZE_TABLES[table], f"{root}/{table}"
+    if infer:
+        records = spark.read.option("mergeSchema", "true").parquet(path)
+    else:
+        records = spark.read.schema(envelope_schema(payload, raw)).parquet(path)
     return extract(records, payload, since)
 
 

@@ -17,6 +17,7 @@ def shared_folder(spark: SparkSession) -> str:
     cluster such a folder would not be seen by the other machines.
     """
     folder = spark.conf.get(CHECKPOINT_DIR, None)
+    folder = folder or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     master = spark.conf.get("spark.master", "local")
