@@ -6,18 +6,27 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from tidemart.functions.scalar import ColumnOrName
 
 _RANK = "__rank"
 
 
+def _sortable(kind: DataType) -> bool:
+    if isinstance(kind, ArrayType):
+        return _sortable(kind.elementType)
+    if isinstance(kind, StructType):
+        return all(_sortable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (MapType, VariantType))
+
+
 def _tie_breakers(df: DataFrame, used: set[str]) -> list[Column]:
     """Every remaining sortable column, so equal times still give one answer."""
     return [
         F.col(f"`{f.name}`").desc_nulls_last()
         for f in df.schema.fields
-        if f.name not in used and f.dataType.typeName() not in ("map", "variant")
+        if f.name not in used and _sortable(f.dataType)
     ]
 
 

@@ -422,7 +422,7 @@ def equality(
         inexact = (DoubleType, FloatType, DecimalType)
         return t.select(
             *[
-                F.round(F.col(n).cast("decimal(38,12)"), precision).alias(n)
+                F.round(F.col(n), precision).alias(n)
                 if isinstance(kinds[n.lower()], inexact)
                 else F.col(n)
                 for n in names

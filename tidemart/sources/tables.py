@@ -143,29 +143,42 @@ class KeyedTable:
         late records do not undo newer ones and a repeated batch changes
         nothing. ``unique`` says the keys are known to be unique in the batch.
         """
+        count, newest = self._state()
+        if count is None and self.buckets and unique:
+            # A first load whose layout is known takes one pass.
+            self._write(batch, self.buckets, self.buckets)
+            return
         # Read several times below; lost partitions are computed again.
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if not unique:
                 require_unique(batch, self.keys)
-            count, newest = self._state()
             if count is None:
                 wanted = -(-batch.count() // ROWS_PER_BUCKET)
                 count = self.buckets or max(wanted, 1)
-            # At most ``count`` numbers.
-            bucket = batch.select(self._bucket(count).alias("b")).distinct()
-            touched = [r.b for r in bucket.collect()]
-            stored = [newest[b] for b in touched if b in newest]
-            rows = batch
-            if stored:
-                target = self._read(stored)
-                if newest_by is not None:
-                    batch = self._without_late(batch, target, newest_by)
-                rows = upsert(target, batch, self.keys)
-            self._write(rows, count, len(touched))
+            self._merge(batch, count, newest, newest_by)
         finally:
             batch.unpersist()
 
+    def _merge(
+        self,
+        batch: DataFrame,
+        count: int,
+        newest: dict[int, str],
+        newest_by: str | None,
+    ) -> None:
+        # At most ``count`` numbers.
+        bucket = batch.select(self._bucket(count).alias("b")).distinct()
+        touched = [r.b for r in bucket.collect()]
+        stored = [newest[b] for b in touched if b in newest]
+        rows = batch
+        if stored:
+            target = self._read(stored)
+            if newest_by is not None:
+                batch = self._without_late(batch, target, newest_by)
+            rows = upsert(target, batch, self.keys)
+        self._write(rows, count, len(touched))
+
     def rebucket(self, buckets: int) -> None:
         """Rewrite the whole table with another number of buckets."""
         rows = self.read()
