@@ -11,18 +11,12 @@ from tidemart.functions.similarity import (
     PREFIX_WEIGHT,
     jaro_winkler,
 )
+from tidemart.operators.small import fits_broadcast
 
-# Largest official list that is sent to every executor; a longer one is
-# shuffled instead.
-MAX_BROADCAST_ROWS = 200_000
+# Copies of an official list that is too long for a broadcast.
 SHUFFLE_SALTS = 64
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether the table has at most ``max_rows`` rows; stops counting there."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def _may_reach(left: Column, right: Column, threshold: float) -> Column:
     """Cheap necessary condition for a similarity of ``threshold``.
 

@@ -23,14 +23,19 @@ def require_unique(batch: DataFrame, keys: Sequence[str]) -> None:
         raise DuplicateKeys(f"key {row.asDict()} is not unique in the batch")
 
 
-def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(
+    target: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    batch_keys: DataFrame | None = None,
+) -> DataFrame:
     """Rows of ``batch`` replace the target rows with the same key.
 
-    The batch has one row per key, so the key list needs no DISTINCT. Target
-    rows are matched by an anti join, which Spark runs as a broadcast join when
-    the batch turns out small.
+    The batch has one row per key, so the key list needs no DISTINCT. It may be
+    given as ``batch_keys``, for example marked for a broadcast.
     """
-    kept = target.join(batch.select(*keys), list(keys), "left_anti")
+    replaced = batch.select(*keys) if batch_keys is None else batch_keys
+    kept = target.join(replaced, list(keys), "left_anti")
     return kept.select(*target.columns).unionByName(batch)
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidemart.constants import EMITTED_AT, VALID_FROM
 from tidemart.operators.report import quality_report
 from tidemart.operators.skew import hot_keys
+from tidemart.operators.small import fits_broadcast
 from tidemart.operators.upsert import newer_than
 from tidemart.plans import gold, silver
 from tidemart.plans.checks import GOLD_CHECKS, SILVER_CHECKS
@@ -72,7 +73,7 @@ def build_silver(w: Warehouse, run_time: datetime) -> dict[str, DataFrame]:
     t["orders_silver"] = _increment(
         w.keyed("SILVER", "orders_silver", silver.ORDER_KEY),
         lambda m: silver.orders_silver(
-            w.log("orders", m), w.log("customers"), small=m is not None
+            w.log("orders", m), w.log("customers"), increment=m is not None
         ),
     )
     t["orders_items_silver"] = _increment(
@@ -140,7 +141,10 @@ def build_gold(w: Warehouse, t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     ]:
         table = w.keyed("GOLD", name, keys)
         new = newer_than(t[source], EMITTED_AT, table.watermark(EMITTED_AT))
-        rows = model(new, orders, hot_keys(new, gold.ORDER))
+        if fits_broadcast(new):
+            rows = model(F.broadcast(new), orders)
+        else:
+            rows = model(new, orders, hot_keys(new, gold.ORDER))
         table.upsert(rows, unique=True)
         g[name] = _current(table, rows)
 

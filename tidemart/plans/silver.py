@@ -16,6 +16,7 @@ from tidemart.functions.scalar import (
 from tidemart.operators.fuzzy import best_city_match
 from tidemart.operators.latest import latest_per_key
 from tidemart.operators.skew import hot_keys, salted_join
+from tidemart.operators.small import reduced_to_keys
 
 # Key columns of the conformed tables.
 ORDER_KEY = ["order_id"]
@@ -29,18 +30,17 @@ COORDINATES_PER_ROW = 50_000
 
 
 def orders_silver(
-    orders: DataFrame, customers: DataFrame, small: bool = False
+    orders: DataFrame, customers: DataFrame, increment: bool = False
 ) -> DataFrame:
     """Latest state of each order with the person behind its customer id.
 
     Both logs are reduced before they are joined, so several versions of a
-    customer neither multiply orders nor pick a random one. ``small`` says that
-    ``orders`` is an increment: then only its customers are reduced, and the
-    rest of their log is dropped before it is shuffled.
+    customer neither multiply orders nor pick a random one. ``increment`` says
+    that ``orders`` is a part of its log: if that part names few customers, the
+    others are dropped before their log is shuffled.
     """
-    if small:
-        wanted = orders.select("customer_id").distinct()
-        customers = customers.join(wanted, "customer_id", "left_semi")
+    if increment:
+        customers = reduced_to_keys(customers, orders, ["customer_id"])
     people = latest_per_key(
         customers.select("customer_id", "customer_unique_id", EMITTED_AT),
         ["customer_id"],

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.operators.history import open_versions, version_changes
+from tidemart.operators.small import broadcast_if_small, reduced_to_keys
 from tidemart.operators.upsert import high_watermark, require_unique, upsert
 from tidemart.sources.filesystem import child_names, delete, exists
 
@@ -176,7 +177,8 @@ class KeyedTable:
             target = self._read(stored)
             if newest_by is not None:
                 batch = self._without_late(batch, target, newest_by)
-            rows = upsert(target, batch, self.keys)
+            keys = broadcast_if_small(batch.select(*self.keys))
+            rows = upsert(target, batch, self.keys, keys)
         self._write(rows, count, len(touched))
 
     def rebucket(self, buckets: int) -> None:
@@ -207,10 +209,8 @@ class KeyedTable:
     def _without_late(
         self, batch: DataFrame, target: DataFrame, newest_by: str
     ) -> DataFrame:
-        # The stored rows are reduced to the keys of the batch first, so they
-        # are not shuffled for a small batch.
         stored = target.select(*self.keys, F.col(newest_by).alias("__stored"))
-        stored = stored.join(batch.select(*self.keys), self.keys, "left_semi")
+        stored = reduced_to_keys(stored, batch, self.keys)
         kept = batch.join(stored, self.keys, "left").filter(
             F.col("__stored").isNull() | (F.col(newest_by) >= F.col("__stored"))
         )
@@ -263,8 +263,9 @@ class SnapshotTable:
         # Compared once for the closed and once for the opened versions.
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            concerned = reduced_to_keys(current, batch, [self.key])
             closed, opened = version_changes(
-                current, batch, self.key, self.check_cols, valid_from
+                concerned, batch, self.key, self.check_cols, valid_from
             )
             closed.select(*current.columns).write.mode("overwrite").parquet(target)
             _require_committed(self.spark, target)
