@@ -1,11 +1,14 @@
 """Two runs of the whole warehouse on small change logs."""
 
+from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
 
-from tidemart.constants import VALID_FROM, VALID_TO
+from tidemart.constants import EMITTED_AT, VALID_FROM, VALID_TO
+from tidemart.operators.upsert import DuplicateKeys
 from tidemart.plans.build import Warehouse, build_gold, build_silver, run_once
+from tidemart.plans.silver import order_reviews_silver
 from tidemart.sources.envelope import BRONZE_TABLES, envelope_schema
 
 T1 = "2024-01-01 00:00:00.000+00:00"
@@ -236,6 +239,27 @@ def test_dimensions_of_versions(two_runs):
     assert len({r["customer_key"] for r in second["dim_customer"]}) == 3
 
 
+def test_sales_by_order_alone_are_refused(two_runs, tmp_path):
+    w, _, _ = two_runs
+    tables = {
+        "orders_silver": w.keyed("SILVER", "orders_silver", ["order_id"]).read(),
+        "orders_items_silver": w.keyed(
+            "SILVER", "orders_items_silver", ["order_id", "order_item_id"]
+        ).read(),
+    }
+    by_order = replace(w, root=str(tmp_path), sales_key=("order_id",))
+    with pytest.raises(DuplicateKeys):
+        build_gold(by_order, tables)
+
+
+def test_reviews_by_their_full_key(spark):
+    rows = [("r", o, 5, None, None, None, None, None) for o in ("o1", "o2")]
+    payload = ", ".join(f"{c} {t}" for c, t in BRONZE_TABLES["order_reviews"].items())
+    log = spark.createDataFrame(rows, f"{payload}, {EMITTED_AT} timestamp_ntz")
+    assert order_reviews_silver(log).count() == 1
+    assert order_reviews_silver(log, ("review_id", "order_id")).count() == 2
+
+
 def test_third_run_changes_nothing_and_checks_pass(two_runs):
     w, _, second = two_runs
     report = run_once(w, datetime(2024, 1, 3, 6)).collect()

@@ -34,6 +34,10 @@ class Warehouse:
     city_list: str
     # Buckets of each keyed table; by default as many as its first load needs.
     buckets: int | None = None
+    # Upsert keys that can be chosen: a sales fact by ``order_id`` alone refuses
+    # orders with several lines; (review_id, order_id) keeps every review.
+    sales_key: Sequence[str] = tuple(gold.SALES_KEY)
+    review_key: Sequence[str] = tuple(silver.REVIEW_KEY)
 
     def _path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
@@ -85,8 +89,10 @@ def build_silver(w: Warehouse, run_time: datetime) -> dict[str, DataFrame]:
         lambda m: silver.order_payments_silver(w.log("order_payments", m)),
     )
     t["order_reviews_silver"] = _increment(
-        w.keyed("SILVER", "order_reviews_silver", silver.REVIEW_KEY),
-        lambda m: silver.order_reviews_silver(w.log("order_reviews", m)),
+        w.keyed("SILVER", "order_reviews_silver", w.review_key),
+        lambda m: silver.order_reviews_silver(
+            w.log("order_reviews", m), w.review_key
+        ),
     )
     products = w.keyed("SILVER", "product_silver", silver.PRODUCT_KEY)
     translation = w.log("product_category_name_translation").drop(EMITTED_AT)
@@ -124,14 +130,14 @@ def build_gold(w: Warehouse, t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     orders = t["orders_silver"]
 
     for name, model, source, keys in [
-        ("fact_sales", gold.fact_sales, "orders_items_silver", gold.SALES_KEY),
+        ("fact_sales", gold.fact_sales, "orders_items_silver", w.sales_key),
         (
             "fact_payment",
             gold.fact_payment,
             "order_payments_silver",
             gold.PAYMENT_FACT_KEY,
         ),
-        ("fact_reviews", gold.fact_reviews, "order_reviews_silver", gold.REVIEW_FACT_KEY),
+        ("fact_reviews", gold.fact_reviews, "order_reviews_silver", w.review_key),
         (
             "dim_feedback_profile",
             gold.dim_feedback_profile,
@@ -145,7 +151,8 @@ def build_gold(w: Warehouse, t: dict[str, DataFrame]) -> dict[str, DataFrame]:
             rows = model(F.broadcast(new), orders)
         else:
             rows = model(new, orders, hot_keys(new, gold.ORDER))
-        table.upsert(rows, unique=True)
+        whole_key = name != "fact_sales" or set(keys) == set(gold.SALES_KEY)
+        table.upsert(rows, unique=whole_key)
         g[name] = _current(table, rows)
 
     for name, model, source, keys in [

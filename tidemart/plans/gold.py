@@ -27,7 +27,6 @@ ORDER = ["order_id"]
 # fact has one row per order line.
 SALES_KEY = ["order_id", "order_item_id"]
 PAYMENT_FACT_KEY = ["order_id", "payment_sequential"]
-REVIEW_FACT_KEY = ["review_id"]
 FEEDBACK_KEY = ["feedback_id"]
 CUSTOMER_DIM_KEY = ["customer_key"]
 SELLER_DIM_KEY = ["customer_pk"]
