@@ -24,8 +24,10 @@ from tidemart.sources.filesystem import child_names, delete, exists
 _VERSION = re.compile(r"v=(\d+)")
 _OF, _BUCKET = "__of", "__bucket"
 
-# Size of a bucket when the number of buckets is chosen for a new table.
-ROWS_PER_BUCKET = 4_000_000
+# Size of a bucket when the number of buckets is chosen for a new table: at most
+# the one, and not below the other just to give every task a bucket.
+ROWS_PER_BUCKET = 2_000_000
+FEWEST_ROWS_PER_BUCKET = 100_000
 
 
 def _numbers(spark: SparkSession, path: str) -> list[int]:
@@ -88,8 +90,8 @@ class KeyedTable:
     buckets: those that a batch touches are rewritten, all others stay where
     they are, and a reader takes the newest copy of each bucket. Keys are unique
     in the table, so buckets are even whatever the input looks like. Their
-    number is fixed by the first write: the one given, or enough for
-    ``ROWS_PER_BUCKET`` rows in each; ``rebucket`` changes it later.
+    number is fixed by the first write: the one given, or one that suits the
+    number of rows; ``rebucket`` changes it later.
     """
 
     def __init__(
@@ -155,12 +157,16 @@ class KeyedTable:
             if not unique:
                 require_unique(batch, self.keys)
             if count is None:
-                wanted = -(-batch.count() // ROWS_PER_BUCKET)
-                count = self.buckets or max(wanted, 1)
+                count = self.buckets or self._buckets_for(batch.count())
             self._merge(batch, count, newest, newest_by)
         finally:
             batch.unpersist()
 
+    def _buckets_for(self, rows: int) -> int:
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        small = min(tasks, rows // FEWEST_ROWS_PER_BUCKET)
+        return max(-(-rows // ROWS_PER_BUCKET), small, 1)
+
     def _merge(
         self,
         batch: DataFrame,
