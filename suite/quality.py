@@ -105,7 +105,7 @@ def chk_fewer_rows_than(spark, d):
 @quality.add(
     """SELECT (SELECT count(*) FROM customer) AS count_our_model,
               (SELECT count(*) FROM orders) AS count_comparison_model,
-              0 AS row_count_delta"""
+              CAST(0 AS BIGINT) AS row_count_delta"""
 )
 def chk_fewer_rows_in_all(spark, d):
     return q.fewer_rows_than(table(spark, d, "customer"), table(spark, d, "orders"))

@@ -60,7 +60,8 @@ PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 @reshape.add(
     "SELECT o_orderstatus, "
     + ", ".join(
-        f"""sum(CASE WHEN o_orderpriority = '{p}' THEN 1 ELSE 0 END) AS "{p}" """
+        f"""CAST(sum(CASE WHEN o_orderpriority = '{p}' THEN 1 ELSE 0 END) AS BIGINT)
+              AS "{p}" """
         for p in PRIORITIES
     )
     + "FROM orders GROUP BY o_orderstatus"

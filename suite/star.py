@@ -94,8 +94,9 @@ SELECT r.review_id, r.order_id, o.customer_unique_id,
        CAST(strftime(r.review_creation_date, '%Y%m%d') AS INT) AS review_creation_date_id,
        {c.key_sql('r.review_id', 'r.order_id')} AS feedback_id,
        r.review_score,
-       date_diff('hour', CAST(r.review_creation_date AS DATE),
-                 CAST(r.review_answer_timestamp AS DATE)) AS hours_to_answer,
+       CAST(date_diff('hour', CAST(r.review_creation_date AS DATE),
+                      CAST(r.review_answer_timestamp AS DATE)) AS INT)
+         AS hours_to_answer,
        r.{EMITTED_AT}
 FROM ({c.REVIEWS_LATEST}) r JOIN ({c.ORDERS_LATEST}) o ON r.order_id = o.order_id"""
 )
@@ -170,14 +171,14 @@ def product_dim(spark, d):
 
 CALENDAR_SQL = """
 day AS date_actual, CAST(strftime(day, '%Y%m%d') AS INT) AS date_id,
-year(day) AS year_number, 'CY ' || year(day) AS year_code,
-quarter(day) AS quarter_number, 'Q' || quarter(day) AS quarter_code,
+CAST(year(day) AS INT) AS year_number, 'CY ' || year(day) AS year_code,
+CAST(quarter(day) AS INT) AS quarter_number, 'Q' || quarter(day) AS quarter_code,
 year(day) || '-Q' || quarter(day) AS year_quarter_code,
-month(day) AS month_number, monthname(day) AS month_name,
+CAST(month(day) AS INT) AS month_number, monthname(day) AS month_name,
 strftime(day, '%b') AS month_name_short, strftime(day, '%Y-%m') AS year_month_code,
-weekofyear(day) AS week_of_year,
+CAST(weekofyear(day) AS INT) AS week_of_year,
 CAST(date_trunc('week', day) AS DATE) AS week_start_date,
-day(day) AS day_of_month, dayofweek(day) AS day_of_week_number,
+CAST(day(day) AS INT) AS day_of_month, CAST(dayofweek(day) AS INT) AS day_of_week_number,
 dayname(day) AS day_name, strftime(day, '%a') AS day_name_short,
 dayofweek(day) IN (0, 6) AS is_weekend"""
 
