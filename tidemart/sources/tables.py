@@ -178,14 +178,17 @@ class KeyedTable:
         bucket = batch.select(self._bucket(count).alias("b")).distinct()
         touched = [r.b for r in bucket.collect()]
         stored = [newest[b] for b in touched if b in newest]
-        rows = batch
-        if stored:
-            target = self._read(stored)
-            if newest_by is not None:
-                batch = self._without_late(batch, target, newest_by)
-            keys = broadcast_if_small(batch.select(*self.keys))
-            rows = upsert(target, batch, self.keys, keys)
-        self._write(rows, count, len(touched))
+        if not stored:
+            self._write(batch, count, len(touched))
+            return
+        target = self._read(stored)
+        if newest_by is not None:
+            batch = self._without_late(batch, target, newest_by)
+            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        keys = broadcast_if_small(batch.select(*self.keys))
+        self._write(upsert(target, batch, self.keys, keys), count, len(touched))
+        if newest_by is not None:
+            batch.unpersist()
 
     def rebucket(self, buckets: int) -> None:
         """Rewrite the whole table with another number of buckets."""
