@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import exact_dedup, near_dedup
+from tidemart.llm import exact_dedup, near_dedup, packing, piece_tokens
 from tidemart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,35 @@ FROM sets JOIN (SELECT id, min(root) AS c FROM reach GROUP BY id) ON id = doc_id
 """
 
 
+def vocabulary(name: str) -> str:
+    """The file of a public vocabulary, as its package tells it."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query()
+def op4_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids and of the decoded text of every document."""
+    docs = table(spark, sf_dir, "documents")
+    coded = piece_tokens.encode_documents(docs, vocabulary("piece_bpe_32k.model"))
+    decimal = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(decimal, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query()
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as pieces of at most 2048 tokens, packed into sequences."""
+    return packing.pack_documents(
+        table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json")
+    )
+
+
 @query()
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of 2-word shingle sets of similarity 0.8 and more."""
