@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +16,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this library to the Python workers, once in an application.
+
+    Workers that have it installed lose nothing; others could not unpickle the
+    functions of this package.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        root = Path(__file__).resolve().parents[1]
+        name = f"{tempfile.mkdtemp(prefix='ship-')}/{root.name}"
+        context.addPyFile(shutil.make_archive(name, "zip", root.parent, root.name))
+        _shipped.add(context.applicationId)
+
+
+_shipped: set[str] = set()
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """The rows, written once to the shared folder and read back.
 
