@@ -7,10 +7,10 @@ below the threshold; the others are confirmed on the full sets.
 
 Large groups are never expanded into all pairs. Equal sets are one class. In a
 bucket every class is first compared with the bucket's least id. Only members
-whose component still differs from that one's are compared with the others: first
-with the most similar member of each other component, then, for what is left, with
-every candidate. So each candidate pair is either confirmed, refuted, or inside
-one component.
+whose component still differs from that one's are then compared with the others,
+block by block, until they are linked to a component or all its members of a
+promising estimate are refuted. So each candidate pair is confirmed, refuted, or
+inside one component.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ HASHES = ROWS * BANDS
 #: so many standard deviations of the estimate are left.
 DEVIATIONS = 4.5
 #: Members of a bucket that meet in one task.
-BLOCK = 2048
+BLOCK = 512
 _WORDS_KEPT = 400_000
 _LOW = np.uint64(0x1111111111111111)
 
@@ -179,6 +179,14 @@ def _promising(cutoff: float):
     return keep
 
 
+def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    both = np.sort(np.concatenate([a, b]), kind="stable")
+    shared = int(np.count_nonzero(both[1:] == both[:-1]))
+    return 100 * shared >= percent * (len(a) + len(b) - shared)
+
+
 def _confirmed(percent: int):
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,10 +194,7 @@ def _confirmed(percent: int):
             for i in range(batch.num_rows):
                 a = np.frombuffer(batch.column(2)[i].as_py(), np.uint64)
                 b = np.frombuffer(batch.column(3)[i].as_py(), np.uint64)
-                if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
-                    continue
-                shared = len(np.intersect1d(a, b, assume_unique=True))
-                linked[i] = 100 * shared >= percent * (len(a) + len(b) - shared)
+                linked[i] = _similar(a, b, percent)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(linked)], ["u", "v", "linked"]
             )
@@ -197,30 +202,31 @@ def _confirmed(percent: int):
     return confirm
 
 
-def _across(cutoff: float, best: bool):
-    """Candidate pairs of one block: odd members against members of other components."""
+def _across(cutoff: float, percent: int):
+    """Links in one block from its odd members to each other component."""
 
-    def pairs(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values("comp", kind="stable")
+    def links(block: pd.DataFrame) -> pd.DataFrame:
+        key = block.key.iloc[0]
         odd, other = block[block.odd], block[~block.odd]
         out = []
         if len(odd) and len(other):
-            bits, comps = _words(other.bits), other.comp.to_numpy()
-            ids = other.id.to_numpy()
-            starts = np.flatnonzero(np.r_[True, comps[1:] != comps[:-1]])
-            for u, comp, own in zip(odd.id, odd.comp, odd.bits, strict=True):
-                estimate = similarity(np.frombuffer(own, np.uint64), bits)
-                estimate[comps == comp] = -9
-                if best:
-                    tops = np.maximum.reduceat(estimate, starts)
-                    for s, e, top in zip(starts, np.r_[starts[1:], len(ids)], tops, strict=True):
-                        if top >= cutoff:
-                            out.append((u, ids[s + int(np.argmax(estimate[s:e]))]))
-                else:
-                    out += [(u, v) for v in ids[estimate >= cutoff]]
+            bits, bands = _words(other.bits), np.stack(other.bands.to_numpy())
+            comps, ids = other.comp.to_numpy(), other.id.to_numpy()
+            sets = [np.frombuffer(m, np.uint64) for m in other.members]
+            for row in odd.itertuples():
+                estimate = similarity(np.frombuffer(row.bits, np.uint64), bits)
+                near = np.flatnonzero((estimate >= cutoff) & (comps != row.comp))
+                # A pair is looked at in the first of the buckets that it shares.
+                shared = (bands[near] == row.bands).argmax(axis=1)
+                near = near[row.bands[shared] == key]
+                own, linked = np.frombuffer(row.members, np.uint64), set()
+                for i in near[np.argsort(-estimate[near], kind="stable")]:
+                    if comps[i] not in linked and _similar(own, sets[i], percent):
+                        linked.add(comps[i])
+                        out.append((row.id, ids[i]))
         return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
 
-    return pairs
+    return links
 
 
 def near_duplicates(
@@ -257,24 +263,18 @@ def near_duplicates(
     buckets = banded.groupBy("key").agg(F.min("id").alias("hub"), F.count("id").alias("n"))
     buckets = written(buckets.where("n > 1"), "buckets")
     members = written(banded.join(buckets, "key"), "members")
-    bits = bits.select("id", "bits")
 
-    cutoff = least_estimate(percent)
     stars = members.where("id != hub").select(F.col("id").alias("u"), F.col("hub").alias("v"))
-    candidates = written(_estimated(stars.distinct(), bits, cutoff), "candidates")
+    candidates = written(_estimated(stars.distinct(), bits, least_estimate(percent)), "candidates")
     involved = members.select("id").distinct()
     sets = texts.withColumnRenamed("doc_id", "id").join(involved, "id", "left_semi")
     sets = written(sets.mapInArrow(_sets(shingle), "id long, members binary"), "sets")
 
-    checked = written(_checked(candidates, sets, percent), "checked")
-    roots = written(connected(checked.where("linked").select("u", "v")), "roots")
-    for best in (True, False):
-        more = _remaining(members, bits, roots, cutoff, best)
-        more = written(more.join(checked.select("u", "v"), ["u", "v"], "left_anti"), "candidates")
-        if more.isEmpty():
-            continue
-        checked = written(checked.union(_checked(more, sets, percent)), "checked")
-        roots = written(connected(checked.where("linked").select("u", "v")), "roots")
+    checked = _checked(candidates, sets, percent)
+    links = written(checked.where("linked").select("u", "v"), "links")
+    roots = written(connected(links), "roots")
+    links = links.union(written(_remaining(members, bits, sets, roots, percent), "links"))
+    roots = written(connected(links), "roots")
 
     named = signed.join(classes, same, "left").select("doc_id", "n_shingles", "id")
     named = named.join(roots, "id", "left")
@@ -300,13 +300,13 @@ def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _remaining(
-    members: DataFrame, bits: DataFrame, roots: DataFrame, cutoff: float, best: bool
+    members: DataFrame, bits: DataFrame, sets: DataFrame, roots: DataFrame, percent: int
 ) -> DataFrame:
-    """Pairs of a bucket whose components differ, of a promising estimate.
+    """Links in a bucket between components that the stars left apart.
 
     Members outside the component of the bucket's least id are odd. Every odd one
-    meets every member, in blocks of ``BLOCK`` by ``BLOCK``; buckets of two have
-    been compared already.
+    meets every member, in blocks of ``BLOCK`` by ``BLOCK`` with their full sets;
+    buckets of two have been compared already.
     """
     root = roots.select("id", F.col("root").alias("comp"))
     hub_root = roots.select(F.col("id").alias("hub"), F.col("root").alias("hub_comp"))
@@ -324,20 +324,17 @@ def _remaining(
     )
     placed = written(placed, "placed")
     odd = placed.where("odd").groupBy("key").agg(F.count("id").alias("n_odd"))
-    split = placed.join(written(odd, "odd"), "key").join(bits, "id")
+    split = placed.join(written(odd, "odd"), "key").join(bits, "id").join(sets, "id")
     rows = F.ceil(F.col("n_odd") / BLOCK).cast("int")
     columns = F.ceil(F.col("n") / BLOCK).cast("int")
     up_to = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     place = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
     every = split.withColumn("j", place(columns)).withColumn("i", up_to(rows))
     lone = split.where("odd").withColumn("i", place(rows)).withColumn("j", up_to(columns))
-    columns_out = ["key", "i", "j", "id", "comp", "bits"]
-    blocks = every.select(*columns_out, F.lit(False).alias("odd")).union(
-        lone.select(*columns_out, F.lit(True).alias("odd"))
+    out = ["key", "i", "j", "id", "comp", "bits", "bands", "members"]
+    blocks = every.select(*out, F.lit(False).alias("odd")).union(
+        lone.select(*out, F.lit(True).alias("odd"))
     )
-    found = blocks.groupBy("key", "i", "j").applyInPandas(
-        _across(cutoff, best), "u long, v long"
+    return blocks.groupBy("key", "i", "j").applyInPandas(
+        _across(least_estimate(percent), percent), "u long, v long"
     )
-    return found.select(
-        F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
-    ).distinct()
