@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import exact_dedup, near_dedup, packing, piece_tokens
+from tidemart.llm import exact_dedup, langid, near_dedup, packing, piece_tokens, toxicity
 from tidemart.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,6 +64,21 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query()
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, model)
+
+
+@query()
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify_languages(docs, langid.fit(docs))
+
+
 @query()
 def op4_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the decoded text of every document."""
