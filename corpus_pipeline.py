@@ -1,6 +1,71 @@
-STAGES = []
+"""A corpus made ready for training: language, toxicity, copies, near copies, packing."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemart.llm import exact_dedup, langid, near_dedup, packing, toxicity
+from tidemart.llm.common import ship, table, written
+from tidemart.llm.queries import vocabulary
+
+#: Language identification and the toxicity models are not SQL; tests hold the
+#: stages against brute force instead.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def _without(docs: DataFrame, verdict: DataFrame) -> DataFrame:
+    """The documents but those that the verdict drops; rows with a NULL id stay."""
+    dropped = verdict.where("NOT kept").select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language the model accepts."""
+    ship(spark)
+    model = langid.fit(docs)
+    judged = docs.withColumn("__verdict", langid.verdict(docs, model, F.col("text")))
+    return judged.where("NOT __verdict.rejected").select(*docs.columns)
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity models do not predict toxic."""
+    ship(spark)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    judged = docs.withColumn("__score", toxicity.score(docs, model, F.col("text")))
+    return judged.where(F.col("__score") < toxicity.THRESHOLD).select(*docs.columns)
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts."""
+    ship(spark)
+    return _without(docs, exact_dedup.exact_duplicates(docs))
+
+
+def dissimilar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near duplicates: five words, 0.8 and more."""
+    ship(spark)
+    return _without(docs, near_dedup.near_duplicates(docs, shingle=5, percent=80))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' pieces with their places in sequences of 2048 tokens."""
+    ship(spark)
+    return packing.pack_documents(docs, vocabulary("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("language identification", language),
+    ("toxicity", clean),
+    ("exact dedup", distinct),
+    ("near dedup", dissimilar),
+    ("best-fit packing", packed),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each is written and read again for the next."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return docs

@@ -8,7 +8,18 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import exact_dedup, langid, near_dedup, packing, piece_tokens, toxicity
+from tidemart.llm import (
+    exact_dedup,
+    langid,
+    line_dedup,
+    near_dedup,
+    packing,
+    piece_tokens,
+    sharding,
+    topk,
+    toxicity,
+    warc,
+)
 from tidemart.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,6 +83,23 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, model)
 
 
+@query()
+def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Identifiers, links and digests of the derivatives of every page."""
+    found = warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+    return found.select(
+        "page_id",
+        "type",
+        "record_id",
+        "refers_to",
+        "target_uri",
+        "source_digest",
+        F.octet_length("text").cast("bigint").alias("text_bytes"),
+        F.sha2("text", 256).alias("text_sha256"),
+        F.sha2("record", 256).alias("record_sha256"),
+    )
+
+
 @query()
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document."""
@@ -101,6 +129,74 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op6_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents on 16 shards of equal counts."""
+    return sharding.balanced_shards(table(spark, sf_dir, "documents"))
+
+
+@query(
+    """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id, score
+FROM scores
+QUALIFY rank <= 5
+"""
+)
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best rows of every fiftieth vector."""
+    return topk.exact_top_k(table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    """
+WITH l AS (
+  SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), h AS (
+  SELECT *, list_transform(lines, lambda x: CAST('0x' || substr(md5(x), 1, 7) AS BIGINT)) AS h FROM l
+), e AS (
+  SELECT *, list_filter(range(0, len(lines)), lambda i: i = len(lines) - 1
+    OR ((CASE WHEN i >= 1 THEN h[i] ELSE 0 END % 1000003 * 257 + h[i + 1]) % 1000003) % 3 = 0) AS ends
+  FROM h
+), c AS (
+  SELECT doc_id, unnest(range(1, len(ends) + 1)) AS k, ends, lines FROM e
+), chunks AS (
+  SELECT doc_id, k, s AS start, ends[k] - s + 1 AS length, array_to_string(lines[s + 1:ends[k] + 1], chr(10)) AS bytes
+  FROM (SELECT *, CASE WHEN k = 1 THEN 0 ELSE ends[k - 1] + 1 END AS s FROM c)
+), judged AS (
+  SELECT *, length > 1 AND row_number() OVER (PARTITION BY length > 1, bytes ORDER BY doc_id, start) > 1 AS gone
+  FROM chunks
+)
+SELECT doc_id, CAST(any_value(n) AS INTEGER) AS n_lines, CAST(count(*) AS INTEGER) AS n_chunks,
+       CAST(coalesce(sum(length) FILTER (gone), 0) AS BIGINT) AS removed_lines,
+       sha256(coalesce(string_agg(bytes, chr(10) ORDER BY start) FILTER (NOT gone), '')) AS text_sha256
+FROM judged JOIN (SELECT doc_id, len(lines) AS n FROM l) USING (doc_id)
+GROUP BY doc_id
+"""
+)
+def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the runs of lines that came before."""
+    found = line_dedup.remove_repeated_chunks(table(spark, sf_dir, "documents"))
+    lines = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, c: n + c["length"])
+    return found.select(
+        "doc_id",
+        "n_lines",
+        "n_chunks",
+        lines.alias("removed_lines"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
+    )
+
+
 @query()
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of 2-word shingle sets of similarity 0.8 and more."""
