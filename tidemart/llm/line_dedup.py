@@ -60,19 +60,20 @@ def remove_repeated_chunks(
 
     ``removed`` lists the removed chunks as ``start, length`` in lines from 0, and
     ``text`` is what is left, NULL for a NULL text. Of equal chunks of two lines and
-    more the one of the smallest id stays, and there the first; rows with a NULL id
-    come last, so theirs go whenever another row has the chunk. Single-line chunks
-    always stay. Repeated rows with one id carry the same verdict. Columns besides
+    more the one of the smallest id stays, and there the first. Single-line chunks
+    always stay; rows with a NULL id take no part and stay whole. Repeated rows with one id carry the same verdict. Columns besides
     the two named are ignored; an empty table gives no rows.
     """
-    cut = (
-        docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-        .withColumn("lines", F.split(F.coalesce("text", F.lit("")), "\n", -1))
-        .withColumn("hashes", F.transform("lines", _hash))
-        .withColumn("chunks", _chunks(F.col("lines"), F.col("hashes"), window, divisor))
-    )
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+
+    def cut(texts: DataFrame) -> DataFrame:
+        lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
+        hashed = texts.withColumn("lines", lines).withColumn("hashes", F.transform("lines", _hash))
+        chunks = _chunks(F.col("lines"), F.col("hashes"), window, divisor)
+        return hashed.withColumn("chunks", chunks).drop("hashes")
+
     several = F.filter("chunks", lambda c: c["length"] > 1)
-    each = cut.select("doc_id", "lines", F.explode(several).alias("chunk")).select(
+    each = cut(rows.where("doc_id IS NOT NULL")).select("doc_id", "lines", F.explode(several).alias("chunk")).select(
         "doc_id", F.col("chunk.start").alias("start"), _text(F.col("lines"), F.col("chunk")).alias("bytes")
     )
     # Here the bytes themselves are compared; tasks unite their equal chunks first.
@@ -84,7 +85,7 @@ def remove_repeated_chunks(
     )
     repeated = written(repeated, "chunks")
     found = each.select("doc_id", "start", F.sha2("bytes", 256).alias("print")).join(repeated, "print")
-    there = F.col("doc_id").eqNullSafe(F.col("first_doc"))
+    there = F.col("doc_id") == F.col("first_doc")
     gone = found.where(~there).select("doc_id", "start")
     first = found.where(there).groupBy("doc_id", "print").agg(
         F.min("start").alias("least"), F.collect_set("start").alias("starts")
@@ -93,11 +94,10 @@ def remove_repeated_chunks(
     gone = written(gone.union(again.select("doc_id", "start")), "gone")
     marked = gone.groupBy("doc_id").agg(F.collect_set("start").alias("starts"))
 
-    out = cut.drop("hashes").join(
-        marked.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id")), "left"
-    )
+    # Merged at every size, so that the plan tested on little is the one that runs on
+    # much; only the text itself is shuffled.
+    out = cut(rows.join(marked.hint("merge"), "doc_id", "left"))
     starts = F.coalesce("starts", F.array().cast("array<int>"))
-    # Texts of rows with a NULL id share a verdict by place; only true repeats may go.
     removed = F.filter(
         "chunks", lambda c: (c["length"] > 1) & F.array_contains(starts, c["start"])
     )

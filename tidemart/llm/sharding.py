@@ -31,42 +31,55 @@ def _by_shard(df: DataFrame, shards: int, column: str = "shard") -> list[int]:
     return [found.get(s, 0) for s in range(shards)]
 
 
+def _classes(capacity: int) -> tuple[int, int, int]:
+    """Groups of more members than each number settle together, large ones first."""
+    return max(3, capacity // 4), max(2, capacity // 64), 1
+
+
 def propagate(parcels: DataFrame, capacity: int, shards: int, rounds: int = ROUNDS) -> DataFrame:
-    """Moves ``hub, start, shard, n`` until no parcel gains or has room."""
+    """Moves ``hub, members, start, shard, n`` until no parcel gains or has room.
+
+    Large groups settle first, as if the smaller ones took no room; these then leave
+    the shards that are too full.
+    """
     state = parcels
-    for rnd in range(rounds):
-        load = _by_shard(state, shards)
+    sizes = _classes(capacity)
+    settled = set()
+    for rnd, least in enumerate(x for x in sizes for _ in range(rounds)):
+        if least in settled:
+            continue
+        larger = min([x for x in sizes if x > least], default=0)
+        counted = state.where(F.col("members") > least)
+        load = _by_shard(counted, shards)
         room = [max(0, capacity - x) for x in load]
-        votes = state.groupBy("hub", "shard").agg(F.sum("n").alias("votes"))
+        crowded = F.col("shard").isin([s for s in range(shards) if load[s] > capacity])
+        votes = counted.groupBy("hub", "shard").agg(F.sum("n").alias("votes"))
         open_to = F.col("shard").isin([s for s in range(shards) if room[s]])
-        best = votes.where(open_to).groupBy("hub").agg(
-            F.max(F.struct("votes", (-F.col("shard")).alias("order"))).alias("best")
-        )
+        ordered = (-F.col("shard")).alias("order")
+        best = votes.where(open_to).groupBy("hub").agg(F.max(F.struct("votes", ordered)).alias("best"))
+        # Groups that settled before stay where they are.
+        leaves = crowded & (F.col("members") <= larger)
+        own = F.struct(F.when(leaves, F.lit(0)).otherwise(F.col("votes")).alias("votes"), ordered)
         wishes = (
-            state.join(votes, ["hub", "shard"])
-            .join(best, "hub", "left")
+            counted.join(votes, ["hub", "shard"])
+            .join(best, "hub")
             .withColumn("target", (-F.col("best.order")).cast("int"))
-            .withColumn(
-                "moves",
-                F.coalesce(
-                    (F.col("target") != F.col("shard"))
-                    & (F.col("best") > F.struct("votes", (-F.col("shard")).alias("order")))
-                    & (F.col("n") <= _nth(room, F.col("target"))),
-                    F.lit(False),
-                ),
-            )
-            .select("hub", "start", "shard", "n", "target", "moves")
+            .where((F.col("target") != F.col("shard")) & (F.col("best") > own))
+            .where(F.col("n") <= _nth(room, F.col("target")))
+            .select("hub", "start", "n", "target")
         )
         wishes = written(wishes, "wishes")
-        demand = _by_shard(wishes.where("moves"), shards, "target")
+        demand = _by_shard(wishes, shards, "target")
         if not any(demand):
-            return state
+            settled.add(least)
+            continue
         # The share of the wishes that fits, by a hash of the parcel.
         share = [_FINE if d <= r else _FINE * r // d for d, r in zip(demand, room, strict=True)]
         drawn = F.pmod(F.xxhash64("hub", "start", F.lit(rnd)), F.lit(_FINE))
-        goes = F.col("moves") & (drawn < _nth(share, F.col("target")))
-        shard = F.when(goes, F.col("target")).otherwise(F.col("shard"))
-        state = written(wishes.select("hub", "start", shard.alias("shard"), "n"), "parcels")
+        goes = wishes.where(drawn < _nth(share, F.col("target"))).select("hub", "start", "target")
+        moved = state.join(goes, ["hub", "start"], "left")
+        shard = F.coalesce("target", "shard").alias("shard")
+        state = written(moved.select("hub", "members", "start", shard, "n"), "parcels")
     return state
 
 
@@ -98,21 +111,24 @@ def balanced_shards(
 
     parcels = written(base.groupBy("hub", "start").agg(F.count(F.lit(1)).alias("n")), "parcels")
     groups = parcels.groupBy("hub").agg(F.sum("n").alias("members")).where("members > 1")
-    linked = parcels.join(groups, "hub", "left_semi").withColumn("shard", F.col("start"))
-    moved = propagate(written(linked.select("hub", "start", "shard", "n"), "linked"), capacity, shards)
+    linked = parcels.join(groups, "hub").withColumn("shard", F.col("start"))
+    moved = propagate(written(linked.select("hub", "members", "start", "shard", "n"), "linked"), capacity, shards)
 
-    moved = moved.select("hub", "start", F.col("shard").alias("moved"))
+    large, middle, _ = _classes(capacity)
+    members = F.col("members")
+    order = F.when(members > large, 0).when(members > middle, 1).otherwise(2)
+    moved = moved.select("hub", "start", F.col("shard").alias("moved"), order.alias("order"))
     placed = base.join(moved, ["hub", "start"], "left").select(
         "doc_id", "size", "text_crc32", "hub", "row",
         F.coalesce("moved", "start").alias("at"),
-        F.col("moved").isNull().cast("int").alias("free"),
+        F.coalesce("order", F.lit(3)).alias("free"),
     )
     numbered, counts = _numbered(placed, total, shards)
     return _evened(numbered, counts, total, shards)
 
 
 def _numbered(placed: DataFrame, total: int, shards: int) -> tuple[DataFrame, list[int]]:
-    """Adds ``pos``, a number from 0 within ``at``, linked rows first.
+    """Adds ``pos``, a number from 0 within ``at``, rows of large groups first.
 
     Rows are ranked in buckets of about ``NUMBERED`` and shifted by the rows of the
     buckets before, so that no task ranks a whole shard. Linked rows lie in the
@@ -121,7 +137,7 @@ def _numbered(placed: DataFrame, total: int, shards: int) -> tuple[DataFrame, li
     buckets = max(1, -(-total // (shards * NUMBERED)))
     lone = F.pmod("row", F.lit(buckets))
     group = F.pmod(F.xxhash64("hub", F.pmod(F.shiftright("row", 20), F.lit(16))), F.lit(buckets))
-    bucketed = placed.withColumn("bucket", F.when(F.col("free") == 1, lone).otherwise(group))
+    bucketed = placed.withColumn("bucket", F.when(F.col("free") == 3, lone).otherwise(group))
     bucketed = written(bucketed, "placed")
     sizes = bucketed.groupBy("at", "free", "bucket").agg(F.count(F.lit(1)).alias("n"))
     sizes = written(sizes, "sizes")
