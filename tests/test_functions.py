@@ -50,69 +50,68 @@ def test_safe_add_needs_a_list(spark):
 
 @pytest.mark.parametrize(
     "n, d, q",
-    [(6, 0, None), (10, 5, 2), (None, None, None), (None, 0, None), (17, None, None), (0, None, None), (None, 9, None), (0, 5, 0)],
+    [(n, d, None if n is None or not d else n / d) for n in (None, 0, 21, -8) for d in (None, 0, 4, -2)],
 )
 def test_safe_divide(spark, n, d, q):
     assert one(spark, fn.safe_divide(F.lit(n).cast("int"), F.lit(d).cast("int"))) == (q,)
 
 
+# Seven buckets of 1.5 from -3; 0 lies below and 8 above.
 @pytest.mark.parametrize(
     "amount, bucket",
-    [(190000, 0), (290000, 1), (320000, 2), (399999.99, 2), (400000, 3), (470000, 3), (510000, 4), (610000, 5)],
+    [(-3.01, 0), (-3.0, 1), (7.49, 7), (7.5, 8), *[(-3 + 1.5 * i + 0.2, i + 1) for i in range(7)]],
 )
 def test_width_bucket(spark, amount, bucket):
-    assert one(spark, fn.width_bucket(F.lit(amount), 200000, 600000, 4)) == (bucket,)
+    assert one(spark, fn.width_bucket(F.lit(amount), -3, 7.5, 7)) == (bucket,)
 
 
 def test_haversine(spark):
-    p = [F.lit(v) for v in (48.864716, 2.349014, 52.379189, 4.899431)]
-    km = F.round(fn.haversine_distance(*p, unit="km"), 0)
-    mi = F.round(fn.haversine_distance(*p), 0)
-    assert one(spark, km, mi) == (430, 267)
+    # A quarter of the equator, and a degree of a meridian.
+    quarter = [F.lit(v) for v in (0.0, 10.0, 0.0, 100.0)]
+    degree = [F.lit(v) for v in (-33.0, 151.0, -34.0, 151.0)]
+    km, mi = (
+        one(spark, fn.haversine_distance(*quarter, **u), fn.haversine_distance(*degree, **u))
+        for u in ({"unit": "km"}, {})
+    )
+    assert km[0] / km[1] == pytest.approx(90) and mi[0] / mi[1] == pytest.approx(90)
+    assert km[1] == pytest.approx(111.2, abs=0.1) and km[1] / mi[1] == pytest.approx(1.609, abs=0.001)
     with pytest.raises(ValueError):
-        fn.haversine_distance(*p, unit="yards")
+        fn.haversine_distance(*degree, unit="yards")
 
 
-HOSTS = [
-    ("www.example.co.uk?utm_source=engine&utm_medium=cpc", "www.example.co.uk"),
-    ("http://blog.example.com/2018/01/tips/", "blog.example.com"),
-    ("https://www.news.example/2018/01/01/blog", "www.news.example"),
-    ("android-app://m.social.example/", "m.social.example"),
-    ("docs.news.example/2021/01/01/index.js?utm_source=engine", "docs.news.example"),
-]
-PATHS = [
-    ("www.example.co.uk?utm_source=engine&utm_medium=cpc", ""),
-    ("http://blog.example.com/2018/01/tips/", "2018/01/tips/"),
-    ("https://www.news.example/2018/01/01/blog", "2018/01/01/blog"),
-    ("http://blog.example.com/2018/01/tips/?utm_source=x&a=b", "2018/01/tips/"),
-    ("example.com", "example.com"),
+# Every scheme with every host, path and query: the parts must come out again.
+URLS = [
+    (f"{scheme}{host}{path}{query}", host, path.removeprefix("/"))
+    for scheme in ("http://", "https://")
+    for host in ("tide.example", "a.b.harbour.example")
+    for path in ("", "/quay", "/quay/7/boats.html")
+    for query in ("", "?size=3&berth=x")
 ]
 
 
 def test_url_host_and_path(spark):
-    for url, host in HOSTS:
-        assert one(spark, fn.url_host(F.lit(url))) == (host,)
-    for url, path in PATHS:
-        assert one(spark, fn.url_path(F.lit(url))) == (path,)
+    for url, host, path in URLS:
+        assert one(spark, fn.url_host(F.lit(url)), fn.url_path(F.lit(url))) == (host, path), url
 
 
 @pytest.mark.parametrize(
-    "url, medium, source",
+    "url, berth, size",
     [
-        ("http://shop.example.com/milk?utm_medium=organic", "organic", None),
-        ("http://shop.example.com/milk?utm_medium=organic&utm_source=forge", "organic", "forge"),
-        ("http://shop.example.com/milk?utm_medium=&utm_source=x", None, "x"),
+        ("https://tide.example/quay?berth=7b", "7b", None),
+        ("https://tide.example/quay?size=12&berth=7b", "7b", "12"),
+        ("https://tide.example/quay?berth=&size=12", None, "12"),
+        ("https://tide.example/quay", None, None),
     ],
 )
-def test_url_parameter(spark, url, medium, source):
+def test_url_parameter(spark, url, berth, size):
     u = F.lit(url)
-    got = one(spark, fn.url_parameter(u, "utm_medium"), fn.url_parameter(u, "utm_source"))
-    assert got == (medium, source)
+    got = one(spark, fn.url_parameter(u, "berth"), fn.url_parameter(u, "size"))
+    assert got == (berth, size)
 
 
 @pytest.mark.parametrize(
     "text, slug",
-    [("!Hell0 world-hi", "hell0_world_hi"), ("0Hell0 world-hi", "_0hell0_world_hi"), ("", "")],
+    [("Tide & Harbour-Log", "tide__harbour_log"), ("7 Seas", "_7_seas"), ("(quay)", "quay"), ("", "")],
 )
 def test_slugify(spark, text, slug):
     assert fn.slugify_name(text) == slug

@@ -40,8 +40,8 @@ def test_cardinality_equality(spark, rows):
 
 
 def test_equality(spark, rows):
-    a = table(spark, "col_a int, col_b int, col_c int", (1, 1, 3), (1, 2, 1), (2, 3, 3))
-    b = table(spark, "col_a int, col_b int, col_c int", (1, 1, 2), (1, 2, 2), (2, 3, 2))
+    a = table(spark, "col_a string, col_b int, col_c int", *[(w, len(w), 10) for w in ("ebb", "flood", "slack")])
+    b = table(spark, "col_a string, col_b int, col_c int", *[(w, len(w), 20) for w in ("ebb", "flood", "slack")])
     assert rows(q.equality(a, a)) == []
     assert q.equality(a, b).count() == 6
     assert rows(q.equality(a, b, compare_columns=["col_a", "col_b"])) == []
@@ -55,8 +55,8 @@ def test_equality(spark, rows):
 
 
 def test_equality_with_precision(spark):
-    a = table(spark, "id string, n double", ("x", 62.3888186), ("y", 81.2511656))
-    b = table(spark, "id string, n double", ("x", 62.3888187), ("y", 81.2511657))
+    a = table(spark, "id string, n double", ("x", 0.12345678), ("y", -7.00000011))
+    b = table(spark, "id string, n double", ("x", 0.12345681), ("y", -7.00000014))
     assert q.equality(a, b, precision=4).count() == 0
     assert q.equality(a, b, precision=8).count() == 4
 

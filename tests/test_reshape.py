@@ -13,14 +13,14 @@ from tidemart.operators.latest import latest_per_key
 @pytest.fixture
 def sizes(spark):
     return spark.createDataFrame(
-        [("S", "red"), ("S", "blue"), ("S", "blue's"), ("M", "red")], "size string, color string"
+        [("oak", "saw"), ("oak", "axe"), ("oak", "axe's"), ("elm", "saw")], "wood string, tool string"
     )
 
 
 def test_deduplicate(spark, rows):
-    df = spark.createDataFrame([(1, "play", 1), (1, "play", 2), (2, "pause", 1)], "user_id int, event string, version int")
-    latest = latest_per_key(df.filter("user_id = 1"), ["user_id"], "version")
-    assert rows(latest) == [(1, "play", 2)]
+    df = spark.createDataFrame([("pier", 30, 1), ("pier", 40, 5), ("dock", 10, 9), ("pier", 20, 3)], "place string, depth int, seen int")
+    latest = latest_per_key(df, ["place"], "seen")
+    assert rows(latest) == [("dock", 10, 9), ("pier", 40, 5)]
 
 
 def test_latest_puts_null_time_first_and_breaks_ties(spark, rows):
@@ -40,18 +40,18 @@ def test_latest_ships_one_row_per_key_and_task(spark):
 
 
 def test_pivot(sizes, rows):
-    df = sizes.groupBy("size").agg(*r.pivot_columns("color", ["red", "blue", "blue's"]))
-    assert df.columns == ["size", "red", "blue", "blue's"]
-    assert rows(df) == [("M", 1, 0, 0), ("S", 1, 1, 1)]
+    df = sizes.groupBy("wood").agg(*r.pivot_columns("tool", ["saw", "axe", "axe's"]))
+    assert df.columns == ["wood", "saw", "axe", "axe's"]
+    assert rows(df) == [("elm", 1, 0, 0), ("oak", 1, 1, 1)]
 
 
 def test_pivot_names_and_errors(sizes):
-    df = sizes.groupBy("size").agg(
-        *r.pivot_columns("color", ["blue's"], prefix="1 ", quote_identifiers=False)
+    df = sizes.groupBy("wood").agg(
+        *r.pivot_columns("tool", ["axe's"], prefix="1 ", quote_identifiers=False)
     )
-    assert df.columns == ["size", "_1_blues"]
+    assert df.columns == ["wood", "_1_axes"]
     with pytest.raises(ValueError):
-        r.pivot_columns("color", ["red"], agg="median")
+        r.pivot_columns("tool", ["saw"], agg="median")
 
 
 @pytest.fixture

@@ -1,6 +1,7 @@
 """Files in each format, declared in each way, give the same people."""
 
 import json
+from dataclasses import replace
 from datetime import datetime
 
 import pandas as pd
@@ -141,6 +142,40 @@ def test_json_objects_with_nesting_and_any_end(spark, tmp_path, rows):
     assert rows(df, "a", "x") == sorted([(1, "}{"), (2, "y"), (3, None)] * 2, key=repr)
 
 
+@pytest.mark.parametrize("between", ["\n", "\r\n", "\n\n", " ", "", "\n  ", "\t\n"])
+def test_json_objects_with_any_white_space_between(spark, tmp_path, rows, between):
+    objects = [{"a": i, "n": {"x": "} {\\" if i % 2 else 'say "}{"'}} for i in range(5)]
+    (tmp_path / "x.json").write_bytes(between.join(json.dumps(o) for o in objects).encode())
+    columns = (FileColumn("a", "int"), FileColumn("n"))
+    spec = FileSource("e", "t", str(tmp_path), "json", columns, json_layout="objects", on_error="fail")
+    assert [r[0] for r in rows(load(spark, spec), "a")] == list(range(5))
+
+
+def test_text_between_json_objects_is_an_error(spark, tmp_path):
+    (tmp_path / "x.json").write_text('{"a": 1}\n{"a": 2} left over')
+    spec = FileSource("e", "t", str(tmp_path), "json", (FileColumn("a", "int"),), json_layout="objects")
+    assert {r.a for r in load(spark, spec).collect()} >= {1}
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
+        load(spark, replace(spec, on_error="fail")).collect()
+
+
+@pytest.mark.parametrize(
+    "changed",
+    [
+        {"location": ["/a", "/b"]},
+        {"columns": (FileColumn("a", "int", alias="b"),)},
+        {"columns": (FileColumn("a", "int", expression="1"),)},
+        {"pattern": "x"},
+        {"on_error": "skip"},
+        {"json_layout": "objects"},
+    ],
+)
+def test_stage_refuses_what_a_table_cannot_do(spark, changed):
+    spec = replace(FileSource("e", "t", "/a", "json", (FileColumn("a", "int"),)), **changed)
+    with pytest.raises(ValueError, match="cannot be staged"):
+        stage(spark, [spec])
+
+
 # --- catalog ----------------------------------------------------------------
 
 

@@ -12,7 +12,7 @@ DDL = "k string, v string, at timestamp_ntz"
 
 
 def arrive(spark, path, *values):
-    rows = [(k, v, datetime(2024, 1, day)) for k, v, day in values]
+    rows = [(k, v, day and datetime(2024, 1, day)) for k, v, day in values]
     spark.createDataFrame(rows, DDL).coalesce(1).write.mode("append").parquet(path)
 
 
@@ -35,6 +35,19 @@ def test_upsert_stream_keeps_the_newest(spark, tmp_path, rows):
     assert rows(t.read(), "k", "v") == want
 
 
+def test_record_without_time_does_not_hide_a_newer_one(spark, tmp_path, rows):
+    path, check = str(tmp_path / "in"), str(tmp_path / "check")
+    t = KeyedTable(spark, str(tmp_path / "t"), ["k"], buckets=2)
+    arrive(spark, path, ("a", "3", 3), ("b", "none", None))
+    stream_upsert(inbox(spark, path), t, "at", check)
+    arrive(spark, path, ("a", "none", None), ("a", "5", 5), ("b", "1", 1))
+    stream_upsert(inbox(spark, path), t, "at", check)
+    assert rows(t.read(), "k", "v") == [("a", "5"), ("b", "1")]
+    arrive(spark, path, ("a", "none", None))
+    stream_upsert(inbox(spark, path), t, "at", check)
+    assert rows(t.read(), "k", "v") == [("a", "5"), ("b", "1")]
+
+
 def test_snapshot_stream(spark, tmp_path, rows):
     path, check = str(tmp_path / "in"), str(tmp_path / "check")
     t = SnapshotTable(spark, str(tmp_path / "t"), "k", ["v"], buckets=2)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemart.constants import VALID_FROM, VALID_TO
 from tidemart.operators.history import apply_snapshot, dimension_increment, open_versions
 from tidemart.operators.upsert import DuplicateKeys, high_watermark, newer_than, upsert
-from tidemart.sources.tables import FullTable, KeyedTable, SnapshotTable
+from tidemart.sources.tables import FullTable, KeyedTable, LateBatch, SnapshotTable
 
 DDL = "k int, s string, v int"
 
@@ -226,3 +226,14 @@ def test_dimension_increment(spark):
     assert versions(dimension_increment(t)) == EXPECTED
     after = versions(dimension_increment(t, T2))
     assert after == [v for v in EXPECTED if v[3] > AT[T2] or (v[4] and v[4] > AT[T2])]
+
+
+def test_late_batch_is_refused(spark, tmp_path, rows):
+    t = SnapshotTable(spark, str(tmp_path / "late"), "id", ["v"], 2)
+    batch = lambda v: spark.createDataFrame([(1, v)], "id int, v string")
+    t.apply(batch("a"), "2024-01-01 00:00:00")
+    t.apply(batch("b"), "2024-01-20 00:00:00")
+    before = rows(t.read())
+    with pytest.raises(LateBatch):
+        t.apply(batch("c"), "2024-01-10 00:00:00")
+    assert rows(t.read()) == before

@@ -55,16 +55,16 @@ FIRST = {
                 "o1",
                 "4",
                 None,
-                "Nao testei o produto ainda.",
+                "Chegou antes do prazo, caixa amassada.",
                 "2017-10-11 00:00:00",
-                "2017-10-12 03:43:48",
+                "2017-10-13 08:15:00",
             ),
         ),
-        (T1, ("r2", "o2", "5", None, None, "2018-08-08 00:00:00", "2018-08-08 18:37:50")),
+        (T1, ("r2", "o2", "5", None, None, "2018-08-08 00:00:00", "2018-08-09 09:30:00")),
     ],
     "products": [
-        (T1, ("p1", "utilidades_domesticas", "40", "268", "4", "500", "19", "8", "13")),
-        (T1, ("p2", "unknown_category", "29", "178", "1", "400", "19", "13", "19")),
+        (T1, ("p1", "utilidades_domesticas", "40", "300", "2", "750", "25", "10", "15")),
+        (T1, ("p2", "unknown_category", "29", "120", "3", "900", "30", "12", "20")),
     ],
     "sellers": [
         (T1, ("s1", "09350", "maua", "SP")),
@@ -196,7 +196,7 @@ def test_facts_of_first_run(two_runs):
     pay = by(first["fact_payment"], "order_id", "payment_sequential")
     assert pay["o2", 1]["payment_date_id"] == 20180724
     reviews = by(first["fact_reviews"], "review_id")
-    assert reviews["r1",]["hours_to_answer"] == 24
+    assert reviews["r1",]["hours_to_answer"] == 48
     assert reviews["r2",]["hours_to_answer"] == 0
     feedback = by(first["dim_feedback_profile"], "feedback_id")
     assert feedback[reviews["r1",]["feedback_id"],]["has_comment"] is True

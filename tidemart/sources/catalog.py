@@ -27,8 +27,30 @@ def _text(value: str) -> str:
     return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def undeclarable(spec: FileSource) -> list[str]:
+    """What a catalog table over the files could not do as ``load`` does it."""
+    found = {
+        "several locations": len(spec.paths) > 1,
+        "alias": any(c.alias for c in spec.columns),
+        "expression": any(c.expression for c in spec.columns),
+        "computed partition": any(p.expression for p in spec.partitions),
+        "pattern": spec.pattern is not None,
+        "glob": spec.glob is not None,
+        "ignore_case": spec.ignore_case,
+        "on_error": spec.on_error != "null",
+        "json_layout": spec.format == "json" and spec.json_layout != "lines",
+    }
+    return [name for name, there in found.items() if there]
+
+
 def create_statement(spec: FileSource, table: str) -> str:
-    """DDL of the table; partition columns come last."""
+    """DDL of the table; partition columns come last.
+
+    Raises ``ValueError`` for a declaration whose table would differ from what
+    ``load`` reads.
+    """
+    if wrong := undeclarable(spec):
+        raise ValueError(f"{spec.source}.{spec.name} cannot be staged: {', '.join(wrong)}")
     own = {c.name for c in spec.columns}
     listed = [(c.name, c.data_type) for c in spec.columns]
     listed += [(p.name, p.data_type) for p in spec.partitions if p.name not in own]

@@ -19,6 +19,11 @@ CORRUPT = "_corrupt_record"
 # inside a JSON string, and nested objects are followed by a comma or bracket,
 # so this text occurs between records only and a large file can be split.
 OBJECT_BREAK = "}\n{"
+# Other records may be told apart by any white space, or none. Outside of strings a
+# closing brace stands before an opening one between records only. The mark is a
+# control character that JSON text cannot hold.
+_STRING = r'"(?:[^"\\]|\\.)*+"'
+_MARK = "\u001e"
 
 
 @dataclass(frozen=True)
@@ -134,19 +139,35 @@ def _stored_schema(spec: FileSource) -> StructType | None:
     return StructType.fromDDL(", ".join(stored)) if stored else None
 
 
+def _objects(doc: Column) -> Column:
+    """The records of a piece of text between two breaks.
+
+    The break took the closing brace of one record and the opening one of the
+    next; they are put back. Text before or after the braces makes its record
+    malformed, so that ``on_error`` decides about it.
+    """
+    trimmed = F.regexp_replace(doc, r"^\s+|\s+$", "")
+    opened = F.when(trimmed.startswith("{"), trimmed).otherwise(F.concat(F.lit("{"), trimmed))
+    bare = F.regexp_replace(opened, _STRING, "")
+    braces = lambda b: F.length(F.regexp_replace(bare, rf"[^{b}]", ""))
+    whole = F.when(braces("{") > braces("}"), F.concat(opened, F.lit("}"))).otherwise(opened)
+    marked = F.regexp_replace(whole, f"({_STRING})" + r"|(?<=\})\s*(?=\{)", f"$1{_MARK}")
+    parts = F.split(marked, r"(?<=\})" + _MARK + r"(?=\{)")
+    parts = F.when(bare.rlike(r"\}\s*\{"), parts).otherwise(F.array(whole))
+    clean = F.transform(parts, lambda x: F.regexp_replace(x, _MARK, ""))
+    sound = lambda x: F.when(x.endswith("}"), x).otherwise(F.concat(F.lit("{"), x))
+    return F.when(trimmed == "", F.array()).otherwise(F.transform(clean, sound))
+
+
 def _json_rows(spec: FileSource, reader, streaming: bool) -> DataFrame:
     text = reader.format("text")
     if spec.json_layout == "objects":
         text = text.option("lineSep", OBJECT_BREAK)
     lines = _scan(spec, text, streaming)
-    doc = F.col("value")
     if spec.json_layout == "objects":
-        # The break took the closing brace of one record and the opening one of
-        # the next. The parser stops at the end of the first object, so one
-        # brace too many after the last record is harmless.
-        opened = F.when(F.ltrim(F.regexp_replace(doc, r"^\s+", "")).startswith("{"), doc)
-        doc = F.concat(F.coalesce(opened, F.concat(F.lit("{"), doc)), F.lit("}"))
-    lines = lines.withColumn("value", doc).filter(F.trim("value") != "")
+        doc = F.col("value")
+        lines = lines.withColumn("value", F.explode(_objects(doc)))
+    lines = lines.filter(F.trim("value") != "")
     names = _declared(spec)
     if not names:
         return lines

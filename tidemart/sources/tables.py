@@ -16,6 +16,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart.constants import VALID_FROM, VALID_TO
 from tidemart.operators.history import open_versions, version_changes
 from tidemart.operators.small import broadcast_if_small, reduced_to_keys
 from tidemart.operators.upsert import high_watermark, require_unique, upsert
@@ -226,6 +227,10 @@ class KeyedTable:
         return kept.select(*batch.columns)
 
 
+class LateBatch(ValueError):
+    """A batch would end a version before it began."""
+
+
 class SnapshotTable:
     """SCD-2 history: open versions by key, closed ones append-only.
 
@@ -262,7 +267,11 @@ class SnapshotTable:
         return reduce(DataFrame.unionByName, parts)
 
     def apply(self, batch: DataFrame, valid_from) -> None:
-        """Record a batch with one row per key, valid from the given time on."""
+        """Record a batch with one row per key, valid from the given time on.
+
+        Raises ``LateBatch``, before anything is written, if a version that the
+        batch would close begins later than that.
+        """
         current = self.open.read()
         if current is None:
             self.open.upsert(open_versions(batch, valid_from))
@@ -276,6 +285,9 @@ class SnapshotTable:
             closed, opened = version_changes(
                 concerned, batch, self.key, self.check_cols, valid_from
             )
+            late = F.col(VALID_FROM) > F.col(VALID_TO)
+            if not closed.filter(late).isEmpty():
+                raise LateBatch(f"open versions begin after {valid_from}")
             closed.select(*current.columns).write.mode("overwrite").parquet(target)
             _require_committed(self.spark, target)
             self.open.upsert(opened.select(*current.columns))

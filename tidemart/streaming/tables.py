@@ -32,7 +32,8 @@ def stream_upsert(
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        latest = latest_per_key(batch, table.keys, order_by)
+        # A record without time says nothing about its place: any other one wins.
+        latest = latest_per_key(batch, table.keys, F.col(order_by).desc_nulls_last())
         table.upsert(latest, newest_by=order_by, unique=True)
 
     _run(stream, checkpoint, apply)
@@ -44,12 +45,15 @@ def stream_snapshot(
     """Version history of the keys, one step per micro-batch.
 
     New versions are valid from the newest ``order_by`` of their batch. A
-    repeated batch finds its own versions open and unchanged.
+    repeated batch finds its own versions open and unchanged. A batch that is
+    older than an open version it would close stops the stream with ``LateBatch``
+    and changes nothing, since its place is in the closed history.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         valid_from = batch.agg(F.max(order_by)).first()[0]
         if valid_from is not None:
-            table.apply(latest_per_key(batch, [table.key], order_by), valid_from)
+            order = F.col(order_by).desc_nulls_last()
+            table.apply(latest_per_key(batch, [table.key], order), valid_from)
 
     _run(stream, checkpoint, apply)
