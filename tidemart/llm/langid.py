@@ -8,13 +8,13 @@ the threshold of rejection is a low quantile of the confidence there.
 
 from __future__ import annotations
 
+import re
 import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,19 +26,34 @@ BUCKETS, DIMENSIONS, EPOCHS, RATE = 1 << 14, 16, 6, 0.5
 #: Share of right answers in the held-back part that rejection may cost.
 REJECTED = 0.0005
 UNKNOWN = "und"
-_LETTERS = regex.compile(r"\p{L}+")
-_WORDS_KEPT = 300_000
+_LETTERS = re.compile(r"[^\W\d_]+")
+_WORDS_KEPT, _GRAMS_KEPT = 300_000, 200_000
 
 
 def words_of(text: str | None) -> list[str]:
-    return _LETTERS.findall((text or "").lower())
+    """Runs of letters, lower-cased; none if no character is a letter."""
+    words = _LETTERS.findall((text or "").lower())
+    # Superscript digits and the like are matched too, but are no letters.
+    return words if any(c.isalpha() for w in words for c in w) else []
+
+
+class _Buckets(dict):
+    def __missing__(self, gram: str) -> int:
+        if len(self) >= _GRAMS_KEPT:
+            self.clear()
+        value = self[gram] = zlib.crc32(gram.encode("utf-8", "surrogatepass")) % BUCKETS
+        return value
+
+
+_bucket = _Buckets()
 
 
 def subwords(word: str) -> np.ndarray:
-    """Buckets of a word's character n-grams of 1 to 4, with its ends marked."""
-    marked = f"<{word}>"
-    grams = {marked[i : i + n] for n in (1, 2, 3, 4) for i in range(len(marked) - n + 1)}
-    return np.array([zlib.crc32(g.encode("utf-8", "surrogatepass")) % BUCKETS for g in sorted(grams)])
+    """Buckets of a word's character n-grams of 1 to 3, with its ends marked."""
+    m = f"<{word}>"
+    n = len(m)
+    grams = [*word, *[m[i : i + 2] for i in range(n - 1)], *[m[i : i + 3] for i in range(n - 2)]]
+    return np.array([_bucket[g] for g in grams])
 
 
 @dataclass
