@@ -84,7 +84,7 @@ URLS = [
     (f"{scheme}{host}{path}{query}", host, path.removeprefix("/"))
     for scheme in ("http://", "https://")
     for host in ("tide.example", "a.b.harbour.example")
-    for path in ("", "/quay", "/quay/7/boats.html")
+    for path in ("/", "/quay", "/quay/7/boats.html")
     for query in ("", "?size=3&berth=x")
 ]
 

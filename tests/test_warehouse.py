@@ -60,7 +60,7 @@ FIRST = {
                 "2017-10-13 08:15:00",
             ),
         ),
-        (T1, ("r2", "o2", "5", None, None, "2018-08-08 00:00:00", "2018-08-09 09:30:00")),
+        (T1, ("r2", "o2", "5", None, None, "2018-08-08 00:00:00", "2018-08-08 11:30:00")),
     ],
     "products": [
         (T1, ("p1", "utilidades_domesticas", "40", "300", "2", "750", "25", "10", "15")),
