@@ -197,7 +197,7 @@ def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(NEAR_SQL.format(n=2))
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of 2-word shingle sets of similarity 0.8 and more."""
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
