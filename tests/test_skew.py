@@ -45,6 +45,21 @@ def test_salted_join_spreads_the_hot_key(spark, skewed):
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
+def test_equal_rows_of_a_hot_key_are_spread(spark):
+    left = spark.range(0, 4000, 1, 16).select(F.lit(7).cast("bigint").alias("k"))
+    right = spark.range(10).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = salted_join(left, right, ["k"])
+        parts = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(r["count"] for r in parts) == 4000
+    assert len(parts) > 2
+
+
 def test_salted_join_wants_equal_types(spark, skewed):
     right = spark.range(5).select(F.col("id").cast("int").alias("k"))
     with pytest.raises(ValueError):

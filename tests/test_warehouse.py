@@ -7,7 +7,7 @@ import pytest
 
 from tidemart.constants import EMITTED_AT, VALID_FROM, VALID_TO
 from tidemart.operators.upsert import DuplicateKeys
-from tidemart.plans.build import Warehouse, build_gold, build_silver, run_once
+from tidemart.plans.build import ChecksFailed, Warehouse, build_gold, build_silver, run_once
 from tidemart.plans.silver import order_reviews_silver
 from tidemart.sources.envelope import BRONZE_TABLES, envelope_schema
 
@@ -260,6 +260,19 @@ def test_reviews_by_their_full_key(spark):
     assert order_reviews_silver(log, ("review_id", "order_id")).count() == 2
 
 
+def test_failed_check_stops_the_star_schema(spark, tmp_path):
+    (tmp_path / "cities.csv").write_text(CITIES)
+    w = Warehouse(spark, str(tmp_path / "raw"), str(tmp_path / "dw"), str(tmp_path / "cities.csv"), 1)
+    bad = (T1, ("o9", "c1", "lost at sea", "2017-10-02 10:56:33", None, None, None, None))
+    append(spark, w.bronze, {**FIRST, "orders": [*FIRST["orders"], bad]})
+    with pytest.raises(ChecksFailed, match="orders_silver.order_status.accepted_values: 1"):
+        run_once(w, datetime(2024, 1, 1, 6))
+    assert not (tmp_path / "dw" / "GOLD").exists()
+    report = run_once(w, datetime(2024, 1, 1, 7), stop=False)
+    assert report.where("layer = 'GOLD'").count() > 0
+    assert report.where("layer = 'SILVER' AND NOT passed").count() == 1
+
+
 def test_third_run_changes_nothing_and_checks_pass(two_runs):
     w, _, second = two_runs
     report = run_once(w, datetime(2024, 1, 3, 6)).collect()

@@ -47,12 +47,28 @@ class TableCheck:
 
 @dataclass(frozen=True)
 class Threshold:
-    """Bounds of a passing result; the default is no failure at all."""
+    """Bounds of a passing result; the default is no failure at all.
+
+    ``error_if`` and ``warn_if`` are comparisons that the number of failures is held
+    against, such as ``"<1"`` or ``"BETWEEN 2 AND 5"``; each replaces its bound.
+    """
 
     error_above: int = 0
     warn_above: int = 0
     # Turns the check round: it must find something.
     expect_failures: bool = False
+    error_if: str | None = None
+    warn_if: str | None = None
+
+    def status(self) -> Column:
+        """``error``, ``warn`` or ``pass`` by the column ``failures``."""
+        error = self.error_if or ("< 1" if self.expect_failures else f"> {self.error_above}")
+        warn = self.warn_if or ("< 1" if self.expect_failures else f"> {self.warn_above}")
+        return (
+            F.when(F.expr(f"failures {error}"), "error")
+            .when(F.expr(f"failures {warn}"), "warn")
+            .otherwise("pass")
+        )
 
 
 def _row_report(df: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
@@ -89,18 +105,9 @@ def quality_report(
     parts += [_row_report(tables[t], rows) for t, rows in by_table.items()]
     report = reduce(DataFrame.unionByName, parts)
 
-    status = F.when(F.col("failures") > 0, "error").otherwise("pass")
+    status = Threshold().status()
     for name, limit in thresholds.items():
-        n, mine = F.col("failures"), F.col("check_name") == name
-        if limit.expect_failures:
-            judged = F.when(n < 1, "error").otherwise("pass")
-        else:
-            judged = (
-                F.when(n > limit.error_above, "error")
-                .when(n > limit.warn_above, "warn")
-                .otherwise("pass")
-            )
-        status = F.when(mine, judged).otherwise(status)
+        status = F.when(F.col("check_name") == name, limit.status()).otherwise(status)
     return report.select(
         "check_name",
         "failures",

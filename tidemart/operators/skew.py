@@ -13,7 +13,7 @@ _HASH = "__hash"
 # Any key with a larger share of the rows than this is found; so at most
 # 1 / HOT_SHARE hashes are ever held on the driver.
 HOT_SHARE = 0.01
-DEFAULT_SALTS = 64
+FEWEST_SALTS = 64
 
 
 def _hash(keys: Sequence[str]) -> Column:
@@ -51,10 +51,12 @@ def salted_join(
     keys: Sequence[str],
     how: str = "inner",
     hot: Sequence[int] | None = None,
-    salts: int = DEFAULT_SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Equi-join whose hot left keys are spread over ``salts`` partitions.
 
+    By default there are as many salts as shuffle partitions, so that a key of any
+    share is dealt over all tasks; at least ``FEWEST_SALTS``.
     Only the right rows of the hot keys are repeated, once per salt. Meant for a
     right side that is already grouped or ranked by the key: the runtime skew
     handling of Spark splits plain shuffles only. ``how`` is ``inner``,
@@ -70,10 +72,16 @@ def salted_join(
     if not hot:
         return left.join(right, list(keys), how)
 
+    if salts is None:
+        partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        salts = max(FEWEST_SALTS, partitions)
     is_hot = _hash(keys).isin(*hot)
     zero = F.lit(0).cast("bigint")
-    # The salt is a function of the row, so a repeated task gives the same one.
-    row_salt = F.pmod(_hash(left.columns), F.lit(salts).cast("bigint"))
+    # A function of the row and its partition: a repeated task gives the same salt,
+    # and equal rows of different partitions get different ones.
+    row_salt = F.pmod(
+        _hash(left.columns) + F.spark_partition_id(), F.lit(salts).cast("bigint")
+    )
     salted_left = left.withColumn(_SALT, F.when(is_hot, row_salt).otherwise(zero))
     copies = F.when(
         is_hot, F.sequence(zero, F.lit(salts - 1).cast("bigint"))

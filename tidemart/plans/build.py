@@ -179,11 +179,25 @@ def build_gold(w: Warehouse, t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return g
 
 
-def run_once(w: Warehouse, run_time: datetime) -> DataFrame:
-    """Build both layers and return the report of all checks."""
+class ChecksFailed(Exception):
+    """Checks of the conformed tables failed, so the star schema was not built."""
+
+
+def run_once(w: Warehouse, run_time: datetime, stop: bool = True) -> DataFrame:
+    """Build both layers and return the report of all checks.
+
+    The conformed tables are checked before anything is built from them. A failed
+    check raises ``ChecksFailed`` there; with ``stop=False`` it is only reported.
+    """
     conformed = build_silver(w, run_time)
-    report = quality_report(conformed, SILVER_CHECKS)
+    checked = quality_report(conformed, SILVER_CHECKS)
+    # One row per declared check.
+    rows = checked.collect()
+    failed = [f"{r.check_name}: {r.failures}" for r in rows if not r.passed]
+    if failed and stop:
+        raise ChecksFailed(", ".join(failed))
     star = build_gold(w, conformed)
+    report = w.spark.createDataFrame(rows, checked.schema)
     report = report.withColumn("layer", F.lit("SILVER")).unionByName(
         quality_report({**conformed, **star}, GOLD_CHECKS).withColumn(
             "layer", F.lit("GOLD")
