@@ -1,29 +1,56 @@
 """Token ids of a public word-BPE vocabulary, by words that recur.
 
 No token of such a vocabulary spans white space, so a text's ids are those of its
-white-space separated parts. Each worker keeps the ids of parts it has met.
+white-space separated parts. Each worker keeps the ids of parts it has met. A new part
+in ASCII is put together from its words, digits and signs in lower case, as the
+vocabulary's own rule splits it, so that few of them are new themselves.
 """
 
 from __future__ import annotations
 
+import os
+import re
 from functools import cache
 
 import numpy as np
 from tokenizers import Tokenizer
 
-_PARTS_KEPT = 300_000
+_PARTS_KEPT = 600_000
 #: Longer parts are seldom words; their ids are not kept.
 _LONGEST_KEPT = 64
+#: How the vocabulary splits lower-case ASCII, and what begins a special token.
+_PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+_SPECIAL = b"<|"
 
 
 class WordTokenizer:
     """Encodes texts with the tokenizer of ``path``, without special tokens."""
 
     def __init__(self, path: str):
+        # Spark runs a worker for each core; more threads would only wait for them.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self._tokenizer = Tokenizer.from_file(path)
         self._known: dict[bytes, bytes] = {}
+        self._pieces: dict[bytes, bytes] = {}
 
     def _learn(self, parts: list[bytes]) -> dict[bytes, bytes]:
+        plain = {
+            p: _PIECES.findall(p.lower()) for p in parts if p.isascii() and _SPECIAL not in p
+        }
+        if len(self._pieces) > _PARTS_KEPT:
+            self._pieces.clear()
+        pieces = self._pieces
+        new = set().union(*plain.values()).difference(pieces)
+        pieces.update(self._encode(sorted(new)))
+        get = pieces.__getitem__
+        found = self._encode([p for p in parts if p not in plain])
+        found.update((p, b"".join(map(get, split))) for p, split in plain.items())
+        for p in new:
+            if len(p) > _LONGEST_KEPT:
+                del pieces[p]
+        return found
+
+    def _encode(self, parts: list[bytes]) -> dict[bytes, bytes]:
         texts = [p.decode("utf-8") for p in parts]
         codes = self._tokenizer.encode_batch(texts, add_special_tokens=False)
         return {
