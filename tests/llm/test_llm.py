@@ -31,6 +31,7 @@ from tidemart.llm import (
     warc,
 )
 from tidemart.llm.components import connected
+from tidemart.llm.word_tokens import WordTokenizer
 
 SF_DIR = "/root/testdata/sf0.001"
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -184,6 +185,21 @@ def test_encoded_documents(edges, nothing):
     assert piece_tokens.encode_documents(nothing, PIECES).count() == 0
 
 
+def test_word_tokens_equal_the_library():
+    library, words = Tokenizer.from_file(WORDS), WordTokenizer(WORDS)
+    texts = [
+        "<|ENDOFTEXT|> x<|endoftext|>y <|startoftext|>",
+        "Don'T \'\'S 'sfoo 'RE're 12a3 A1B--'d___ x's's-'",
+        "a\x1cb \x0b\x0cq \x7f\x00z",
+        "E\u0301 H\u0331 K \u0130 \u017f \ufb01 ***\u00e9!!",
+        "x" * 3000 + " " + "Y" * 100,
+    ]
+    for _ in range(2):
+        for text, ids in zip(texts, words.encode(texts), strict=True):
+            want = library.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(ids, "<u4").tolist() == want
+
+
 def test_packed_documents(edges, nothing):
     rows = packing.pack_documents(edges, WORDS).collect()
     library = Tokenizer.from_file(WORDS)

@@ -52,7 +52,7 @@ class WordTokenizer:
 
     def _encode(self, parts: list[bytes]) -> dict[bytes, bytes]:
         texts = [p.decode("utf-8") for p in parts]
-        codes = self._tokenizer.encode_batch(texts, add_special_tokens=False)
+        codes = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return {
             p: np.array(c.ids, "<u4").tobytes() for p, c in zip(parts, codes, strict=True)
         }
