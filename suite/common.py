@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.constants import EMITTED_AT
@@ -37,35 +37,58 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # --- change logs from the test tables, in both languages --------------------
 
 
+# Keys have several records, told apart by their age in days: what a record of age 1
+# says was corrected a day later.
+
+
+def aged(df: DataFrame, twice: Column) -> DataFrame:
+    """Each row with ``age`` 0, and with ``age`` 1 where ``twice`` holds."""
+    ages = F.when(twice, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return df.withColumn("age", F.explode(ages))
+
+
+AGES = "(VALUES (0), (1)) ages(age)"
+
+
 def orders_log(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders")
+    """Orders that are no longer open were open a day earlier."""
+    o = aged(table(spark, d, "orders"), F.col("o_orderstatus") != "O")
     return o.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderstatus").alias("order_status"),
+        F.when(F.col("age") == 1, "O").otherwise(F.col("o_orderstatus")).alias("order_status"),
         F.col("o_orderdate").alias("order_purchase_timestamp"),
-        F.col("o_orderdate").alias(EMITTED_AT),
+        F.expr("o_orderdate - make_dt_interval(age)").alias(EMITTED_AT),
     )
 
 
 ORDERS_LOG = f"""
 SELECT o_orderkey AS order_id,
        o_custkey AS customer_id,
-       o_orderstatus AS order_status,
+       CASE WHEN age = 1 THEN 'O' ELSE o_orderstatus END AS order_status,
        o_orderdate AS order_purchase_timestamp,
-       o_orderdate AS {EMITTED_AT}
-FROM orders"""
+       o_orderdate - to_days(age) AS {EMITTED_AT}
+FROM orders JOIN {AGES} ON age = 0 OR o_orderstatus <> 'O'"""
 
 
 def customers_log(spark: SparkSession, d: str) -> DataFrame:
-    c = table(spark, d, "customer")
+    """Every customer was known by the segment a day earlier."""
+    c = aged(table(spark, d, "customer"), F.lit(True))
+    name = F.when(F.col("age") == 1, F.col("c_mktsegment")).otherwise(F.col("c_name"))
     return c.select(
         F.col("c_custkey").alias("customer_id"),
-        F.col("c_name").alias("customer_unique_id"),
-        F.lit("1995-01-01").cast("timestamp_ntz").alias(EMITTED_AT),
+        name.alias("customer_unique_id"),
+        F.expr("TIMESTAMP_NTZ '1995-01-01' - make_dt_interval(age)").alias(EMITTED_AT),
     )
 
 
+CUSTOMERS_LOG = f"""
+SELECT c_custkey AS customer_id,
+       CASE WHEN age = 1 THEN c_mktsegment ELSE c_name END AS customer_unique_id,
+       TIMESTAMP '1995-01-01' - to_days(age) AS {EMITTED_AT}
+FROM customer CROSS JOIN {AGES}"""
+
+
 def items_log(spark: SparkSession, d: str) -> DataFrame:
     line = table(spark, d, "lineitem")
     return line.select(
@@ -111,32 +134,43 @@ ITEMS_LATEST = latest_sql(
 )
 
 ORDERS_LATEST = f"""
-SELECT o.order_id, o.customer_id, c.c_name AS customer_unique_id, o.order_status,
+SELECT o.order_id, o.customer_id, c.customer_unique_id, o.order_status,
        o.order_purchase_timestamp, o.{EMITTED_AT}
-FROM ({ORDERS_LOG}) o
-LEFT JOIN customer c ON o.customer_id = c.c_custkey"""
+FROM ({latest_sql(
+    ORDERS_LOG, "order_id",
+    descending("customer_id", "order_status", "order_purchase_timestamp"))}) o
+LEFT JOIN ({latest_sql(
+    CUSTOMERS_LOG, "customer_id", descending("customer_unique_id"))}) c
+  ON o.customer_id = c.customer_id"""
 
 
 def payments_log(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders")
+    """Orders that are no longer open were not paid a day earlier."""
+    o = aged(table(spark, d, "orders"), F.col("o_orderstatus") != "O")
+    early = F.col("age") == 1
+    installments = F.when(early, 0).otherwise(F.col("o_orderkey") % 12)
     return o.select(
         F.col("o_orderkey").alias("order_id"),
         F.lit(1).cast("bigint").alias("payment_sequential"),
-        F.col("o_orderpriority").alias("payment_type"),
-        (F.col("o_orderkey") % 12).alias("payment_installments"),
+        F.when(early, "UNPAID").otherwise(F.col("o_orderpriority")).alias("payment_type"),
+        installments.alias("payment_installments"),
         F.col("o_totalprice").alias("payment_value"),
-        F.col("o_orderdate").alias(EMITTED_AT),
+        F.expr("o_orderdate - make_dt_interval(age)").alias(EMITTED_AT),
     )
 
 
-PAYMENTS_LOG = f"""
+PAYMENTS_LATEST = latest_sql(
+    f"""
 SELECT o_orderkey AS order_id,
        CAST(1 AS BIGINT) AS payment_sequential,
-       o_orderpriority AS payment_type,
-       o_orderkey % 12 AS payment_installments,
+       CASE WHEN age = 1 THEN 'UNPAID' ELSE o_orderpriority END AS payment_type,
+       CASE WHEN age = 1 THEN 0 ELSE o_orderkey % 12 END AS payment_installments,
        o_totalprice AS payment_value,
-       o_orderdate AS {EMITTED_AT}
-FROM orders"""
+       o_orderdate - to_days(age) AS {EMITTED_AT}
+FROM orders JOIN {AGES} ON age = 0 OR o_orderstatus <> 'O'""",
+    "order_id, payment_sequential",
+    descending("payment_type", "payment_installments", "payment_value"),
+)
 
 
 def reviews_log(spark: SparkSession, d: str) -> DataFrame:

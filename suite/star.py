@@ -55,7 +55,7 @@ SELECT order_id, payment_sequential, payment_type, payment_installments, payment
        CASE WHEN payment_installments > 0 THEN payment_value / payment_installments
             ELSE payment_value END AS installment_monthly_value,
        {EMITTED_AT}
-FROM ({c.PAYMENTS_LOG}) p"""
+FROM ({c.PAYMENTS_LATEST}) p"""
 
 
 @star.add(
@@ -131,7 +131,9 @@ CROSS JOIN (SELECT DISTINCT o_orderstatus AS order_status FROM orders
             WHERE o_orderstatus IS NOT NULL) s"""
 )
 def order_attribute_dim(spark, d):
-    return gold.dim_order_attribute(c.payments_log(spark, d), c.orders_log(spark, d))
+    payments = silver.order_payments_silver(c.payments_log(spark, d))
+    orders = latest_per_key(c.orders_log(spark, d), silver.ORDER_KEY, EMITTED_AT)
+    return gold.dim_order_attribute(payments, orders)
 
 
 # Translation of a few categories; the others keep their name.
@@ -139,14 +141,18 @@ TRANSLATION = [("ECONOMY", "budget"), ("PROMO", "promotion"), ("SMALL", "compact
 
 
 def products_log(spark, d):
-    p = table(spark, d, "part")
+    """Every product was listed without a name, under its brand, a day earlier."""
+    p = c.aged(table(spark, d, "part"), F.lit(True))
+    early = F.col("age") == 1
+    category = F.when(early, F.col("p_brand")).otherwise(F.col("p_type"))
+    length = F.when(early, 0).otherwise(F.length("p_name"))
     return p.select(
         F.col("p_partkey").alias("product_id"),
-        F.col("p_type").alias("product_category_name"),
-        F.length("p_name").cast("bigint").alias("product_name_lenght"),
+        category.alias("product_category_name"),
+        length.cast("bigint").alias("product_name_lenght"),
         F.col("p_size").cast("bigint").alias("product_description_lenght"),
         F.col("p_retailprice").alias("product_weight_g"),
-        F.lit("2024-01-01").cast("timestamp_ntz").alias(EMITTED_AT),
+        F.expr("TIMESTAMP_NTZ '2024-01-01' - make_dt_interval(age)").alias(EMITTED_AT),
     )
 
 
@@ -443,9 +449,8 @@ def incremental_watermark(spark, d):
 def full_refresh(spark, d):
     """A table replaced while its former content is being read."""
     products = FullTable(spark, new_folder(spark, "products"))
-    rows = products_log(spark, d).select(
-        "product_id", "product_category_name", "product_weight_g"
-    )
+    latest = latest_per_key(products_log(spark, d), silver.PRODUCT_KEY, EMITTED_AT)
+    rows = latest.select("product_id", "product_category_name", "product_weight_g")
     products.replace(rows)
     products.replace(products.read())
     return products.read()
@@ -513,31 +518,32 @@ def geo_match(spark, d):
     return points.withColumn("match_score", F.round("match_score", 6))
 
 
-@star.add(
-    f"""
+CENTROIDS = f"""
 SELECT geolocation_zip_code_prefix, standardized_city, standardized_state_code,
        full_state_name, round(avg(geolocation_lat), 6) AS centroid_lat,
-       round(avg(geolocation_lng), 6) AS centroid_lng, 0 AS coordinates_part,
-       count(*) AS n_coordinates, min(geolocation_lat) AS min_lat,
-       max(geolocation_lat) AS max_lat
+       round(avg(geolocation_lng), 6) AS centroid_lng, count(*) AS n_coordinates
 FROM ({POINTS}) p GROUP BY ALL"""
-)
+
+
+def _rounded(places_: DataFrame) -> DataFrame:
+    return places_.withColumns(
+        {x: F.round(x, 6) for x in ("centroid_lat", "centroid_lng")}
+    )
+
+
+@star.add(CENTROIDS)
 def geo_centroid(spark, d):
-    """Places with centroid and coordinate list, the list summarized."""
+    """One row per zip prefix and city, from the written table of coordinates."""
     table_ = FullTable(spark, new_folder(spark, "points"))
     table_.replace(
         silver.geolocation_points(places(spark, d), official_cities(spark, d))
     )
-    lists = silver.geolocation_silver(table_.read())
-    lat = F.col("all_coordinates_in_prefix.lat")
-    return lists.select(
-        *silver.GEO_GROUP,
-        F.round("centroid_lat", 6).alias("centroid_lat"),
-        F.round("centroid_lng", 6).alias("centroid_lng"),
-        "coordinates_part",
-        F.size(lat).cast("bigint").alias("n_coordinates"),
-        F.array_min(lat).alias("min_lat"),
-        F.array_max(lat).alias("max_lat"),
-    )
+    return _rounded(silver.geolocation_silver(table_.read()))
+
+
+@star.add(CENTROIDS)
+def dim_geolocation(spark, d):
+    points = silver.geolocation_points(places(spark, d), official_cities(spark, d))
+    return _rounded(gold.dim_geolocation(silver.geolocation_silver(points)))
 
 

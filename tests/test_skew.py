@@ -7,7 +7,7 @@ from tidemart.operators.fuzzy import best_city_match
 from tidemart.operators import fuzzy
 from tidemart.operators.neighbours import REPEAT_BLOCK, repeat_rows
 from tidemart.operators.skew import hot_keys, salted_join
-from tidemart.plans.silver import geolocation_centroids, geolocation_silver
+from tidemart.plans.silver import geolocation_silver
 
 
 @pytest.fixture
@@ -74,7 +74,7 @@ def test_repeat_rows(spark, n):
     assert repeat_rows(df, F.col("n")).count() == n
 
 
-def test_large_coordinate_lists_are_split(spark):
+def test_places_have_one_row_whatever_their_size(spark):
     points = spark.range(1000).select(
         F.when(F.col("id") % 3 == 0, F.lit("1")).otherwise(F.col("id").cast("string")).alias("geolocation_zip_code_prefix"),
         F.col("id").cast("double").alias("geolocation_lat"),
@@ -83,17 +83,13 @@ def test_large_coordinate_lists_are_split(spark):
         F.lit("SP").alias("standardized_state_code"),
         F.lit(None).cast("string").alias("full_state_name"),
     )
-    lists = geolocation_silver(points, per_row=50).collect()
-    big = [r for r in lists if r.geolocation_zip_code_prefix == "1"]
-    assert len(big) > 1 and len({r.coordinates_part for r in big}) == len(big)
-    assert max(len(r.all_coordinates_in_prefix) for r in big) < 200
-    assert sorted(c.lat for r in big for c in r.all_coordinates_in_prefix) == sorted(
-        r.geolocation_lat for r in points.filter("geolocation_zip_code_prefix = '1'").collect()
-    )
-    assert len({(r.centroid_lat, r.centroid_lng) for r in big}) == 1
-    whole = geolocation_silver(points).collect()
-    assert len(whole) == geolocation_centroids(points).count()
-    assert {r.coordinates_part for r in whole} == {0}
+    found = {r.geolocation_zip_code_prefix: r for r in geolocation_silver(points).collect()}
+    # Ids not divisible by 3 are places of their own, but for id 1 of place "1".
+    assert len(found) == geolocation_silver(points).count() == 666
+    lats = [i for i in range(1000) if i % 3 == 0 or i == 1]
+    assert found["1"].n_coordinates == len(lats)
+    assert found["1"].centroid_lat == pytest.approx(sum(lats) / len(lats))
+    assert found["2"].n_coordinates == 1
 
 
 CITIES = [("SP", "São Paulo"), ("SP", "Mauá"), ("SP", "Santos"), ("BA", "Barreiras"), ("MG", "Belo Horizonte")]

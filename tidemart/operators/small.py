@@ -2,27 +2,47 @@
 
 Spark decides on a broadcast by itself, but for a filtered or computed side only
 after both sides have been shuffled. An increment is small next to its table, so
-it is counted first, up to a bound, and the table then stays where it is.
+its rows and bytes are counted first, and the table then stays where it is.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Most rows that are sent to every executor.
+# Most rows, and most bytes of them as text, that are sent to every executor.
 MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_BYTES = 64 << 20
+# What a value takes besides its text.
+_VALUE_BYTES = 8
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether the table has at most ``max_rows`` rows; stops counting there."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def _row_bytes(df: DataFrame) -> Column:
+    size = F.lit(_VALUE_BYTES)
+    for name in df.columns:
+        quoted = "`" + name.replace("`", "``") + "`"
+        text = F.octet_length(F.col(quoted).cast("string"))
+        size = size + F.coalesce(text, F.lit(0)) + F.lit(_VALUE_BYTES)
+    return size
+
+
+def fits_broadcast(
+    df: DataFrame,
+    max_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
+) -> bool:
+    """Whether the table has at most ``max_rows`` rows of ``max_bytes`` together.
+
+    Every task counts its own rows, and one row of each meets the others.
+    """
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(_row_bytes(df))).first()
+    return rows <= max_rows and (size or 0) <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """The table, marked for a broadcast if it has few enough rows."""
+    """The table, marked for a broadcast if it has few enough rows and bytes."""
     return F.broadcast(df) if fits_broadcast(df) else df
 
 

@@ -53,13 +53,11 @@ SILVER_CHECKS = [
     *not_null_checks(
         "geolocation_silver", "geolocation_zip_code_prefix", "standardized_state_code"
     ),
-    # A zip prefix with very many coordinates has several parts.
     unique_combination_check(
         "geolocation_silver",
         "geolocation_zip_code_prefix",
         "standardized_city",
         "standardized_state_code",
-        "coordinates_part",
     ),
     TableCheck(
         "orders_silver.delivery_after_purchase",

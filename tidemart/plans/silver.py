@@ -25,9 +25,6 @@ PAYMENT_KEY = ["order_id", "payment_sequential"]
 REVIEW_KEY = ["review_id"]
 PRODUCT_KEY = ["product_id"]
 
-# Largest coordinate list held in one row; more are split over several rows.
-COORDINATES_PER_ROW = 50_000
-
 
 def orders_silver(
     orders: DataFrame, customers: DataFrame, increment: bool = False
@@ -149,8 +146,12 @@ GEO_GROUP = [
 ]
 
 
-def geolocation_centroids(points: DataFrame) -> DataFrame:
-    """Centroid and number of coordinates of each zip prefix and city."""
+def geolocation_silver(points: DataFrame) -> DataFrame:
+    """Centroid and number of coordinates of each zip prefix and city.
+
+    One row per place, however many coordinates it has: these stay the rows of
+    ``points``, since an array of them would have no bound.
+    """
     return points.groupBy(*GEO_GROUP).agg(
         F.avg("geolocation_lat").alias("centroid_lat"),
         F.avg("geolocation_lng").alias("centroid_lng"),
@@ -158,51 +159,6 @@ def geolocation_centroids(points: DataFrame) -> DataFrame:
     )
 
 
-def geolocation_silver(
-    points: DataFrame, per_row: int = COORDINATES_PER_ROW
-) -> DataFrame:
-    """Centroids with the coordinates of each zip prefix and city as an array.
-
-    ``coordinates_part`` is 0 for a group whose coordinates fit one row, which
-    is then its only row. A larger group has one row per part, with the same
-    centroid: no row, task or array holds an unbounded group.
-    """
-    place = GEO_GROUP[:3]
-    large = (
-        points.groupBy(*place)
-        .agg(F.ceil(F.count(F.lit(1)) / F.lit(per_row)).alias("__parts"))
-        .filter("__parts > 1")
-    )
-    part = F.pmod(F.xxhash64("geolocation_lat", "geolocation_lng"), F.col("__parts"))
-    lists = (
-        salted_join(points, large, place, "left")
-        .withColumn("coordinates_part", F.coalesce(part, F.lit(0)).cast("int"))
-        .groupBy(*GEO_GROUP, "coordinates_part")
-        .agg(
-            F.sort_array(
-                F.collect_list(
-                    F.struct(
-                        F.col("geolocation_lat").alias("lat"),
-                        F.col("geolocation_lng").alias("lng"),
-                    )
-                )
-            ).alias("all_coordinates_in_prefix")
-        )
-    )
-    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"c.{c}")) for c in GEO_GROUP]
-    return (
-        lists.alias("l")
-        .join(geolocation_centroids(points).alias("c"), same)
-        .select(
-            *[F.col(f"l.{c}") for c in GEO_GROUP],
-            "all_coordinates_in_prefix",
-            "centroid_lat",
-            "centroid_lng",
-            "coordinates_part",
-        )
-    )
-
-
 # Versioned tables: key and the columns whose change opens a new version. The
 # seller's city is not among them, its key is.
 CUSTOMER_SNAPSHOT = (
