@@ -13,6 +13,15 @@ from tidemart.llm.queries import vocabulary
 #: stages against brute force instead.
 ORACLE_SQL = None
 
+#: Rows that a Python worker holds at once; texts can be long.
+ROWS_PER_BATCH = 1_000
+
+
+def _ready(spark: SparkSession) -> None:
+    """The library on the workers, and small batches for the session's Python code."""
+    ship(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+
 
 def _without(docs: DataFrame, verdict: DataFrame) -> DataFrame:
     """The documents but those that the verdict drops; rows with a NULL id stay."""
@@ -22,7 +31,7 @@ def _without(docs: DataFrame, verdict: DataFrame) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the model accepts."""
-    ship(spark)
+    _ready(spark)
     model = langid.fit(docs)
     judged = docs.withColumn("__verdict", langid.verdict(docs, model, F.col("text")))
     return judged.where("NOT __verdict.rejected").select(*docs.columns)
@@ -30,7 +39,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity models do not predict toxic."""
-    ship(spark)
+    _ready(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     judged = docs.withColumn("__score", toxicity.score(docs, model, F.col("text")))
     return judged.where(F.col("__score") < toxicity.THRESHOLD).select(*docs.columns)
@@ -38,19 +47,19 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    ship(spark)
+    _ready(spark)
     return _without(docs, exact_dedup.exact_duplicates(docs))
 
 
 def dissimilar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near duplicates: five words, 0.8 and more."""
-    ship(spark)
+    _ready(spark)
     return _without(docs, near_dedup.near_duplicates(docs, shingle=5, percent=80))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' pieces with their places in sequences of 2048 tokens."""
-    ship(spark)
+    _ready(spark)
     return packing.pack_documents(docs, vocabulary("word_bpe_49k.json"))
 
 

@@ -27,7 +27,7 @@ BUCKETS, DIMENSIONS, EPOCHS, RATE = 1 << 14, 16, 6, 0.5
 REJECTED = 0.0005
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
-_WORDS_KEPT, _GRAMS_KEPT = 300_000, 200_000
+_WORDS_KEPT, _GRAMS_KEPT = 100_000, 50_000
 
 
 def words_of(text: str | None) -> list[str]:

@@ -36,7 +36,7 @@ CALIBRATION_FOLD = 3
 STEM = 5
 THRESHOLD = 0.3
 _WORDS = re.compile(r"[^\W_]+")
-_KEPT = 300_000
+_KEPT = 100_000
 
 
 def _stem(word: str) -> str:
