@@ -370,6 +370,19 @@ def test_held_out_toxicity(spark, edges, nothing):
     assert toxicity.score_documents(edges, blank).count() == len(EDGES)
 
 
+def test_continuations_are_counted(spark):
+    """More predecessors than 64 bits can tell, of words with and without an entry."""
+    texts = [f"p{i} common p{i} common" for i in range(2000)] + [f"q{i % 50} scarce" for i in range(500)]
+    texts += [None, "", "common", "stemmedone x1 stemmedtwo x1", "x1 stemmedone"]
+    words = np.unique(toxicity.word_hashes(["common", "scarce", "absent", toxicity._stem("stemmed")]))
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    found = toxicity.continuations(docs, words)
+    of = lambda w: found[np.searchsorted(words, toxicity.word_hashes([w])[0])]
+    # common p_i is a pair for each i, and so is each word before x1.
+    assert (of("common"), of("scarce"), of("absent"), found[-1]) == (2000, 50, 0, 2002)
+    assert of(toxicity._stem("stemmed")) == 2
+
+
 def test_held_out_rows_by_crc32(spark):
     from tidemart.llm.common import held_out
 

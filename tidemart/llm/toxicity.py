@@ -37,6 +37,8 @@ STEM = 5
 THRESHOLD = 0.3
 _WORDS = re.compile(r"[^\W_]+")
 _KEPT = 100_000
+#: Pairs of words that a task holds before it passes them on.
+_PAIRS = 4_000_000
 
 
 def _stem(word: str) -> str:
@@ -59,6 +61,25 @@ class _Hashes(dict):
 _hash = _Hashes()
 
 
+def _hashed(words: list[str]) -> np.ndarray:
+    of = xxhash.xxh3_64_intdigest
+    return np.array([of(w.encode("utf-8", "surrogatepass")) >> 1 for w in words], np.int64)
+
+
+def _places(entries: np.ndarray, words: list[str], hashes: np.ndarray) -> np.ndarray:
+    """Index of each word among a model's entries, or of its stem, or their number."""
+
+    def find(h: np.ndarray) -> np.ndarray:
+        i = np.searchsorted(entries, h)
+        hit = np.append(entries, -1)[i] == h
+        return np.where(hit, i, len(entries))
+
+    at = find(hashes)
+    missing = np.flatnonzero(at == len(entries))
+    at[missing] = find(_hashed([_stem(words[i]) for i in missing]))
+    return at
+
+
 @dataclass
 class Model:
     """Probabilities of both classes by word, in arrays ordered by the words' hashes.
@@ -78,26 +99,29 @@ class Model:
     def __getstate__(self):
         return self.__dict__ | {"_index": {}}
 
-    def _find(self, word: str) -> int:
-        if len(self._index) >= _KEPT:
+    def _learn(self, words: set[str]) -> None:
+        """Puts the places of the words into the index."""
+        new = list(words - self._index.keys())
+        if len(self._index) + len(new) > _KEPT:
             self._index.clear()
-        for form in (word, _stem(word)):
-            h = xxhash.xxh3_64_intdigest(form.encode("utf-8", "surrogatepass")) >> 1
-            i = int(np.searchsorted(self.words, h))
-            if i < len(self.words) and self.words[i] == h:
-                break
-        else:
-            i = len(self.words)
-        self._index[word] = i
-        return i
+            new = list(words)
+        self._index.update(zip(new, _places(self.words, new, _hashed(new)).tolist(), strict=True))
+
+    def all_features(self, texts) -> Iterator[np.ndarray]:
+        """``features`` of each text; the words of some texts are looked up together."""
+        for at in range(0, len(texts), 100):
+            found = [_WORDS.findall((t or "").lower()) for t in texts[at : at + 100]]
+            self._learn(set().union(*found))
+            yield from map(self._features, found)
 
     def features(self, text: str | None) -> np.ndarray:
         """The mean log-likelihood ratio of a text's words, and their mean beyond the margin."""
-        words = _WORDS.findall((text or "").lower())
+        return next(self.all_features([text]))
+
+    def _features(self, words: list[str]) -> np.ndarray:
         if not words:
             return np.zeros(2)
-        known, find = self._index, self._find
-        at = np.array([known[w] if w in known else find(w) for w in words])
+        at = np.array([self._index[w] for w in words])
         p = self.unigram[:, at]
         p[:, 1:] *= self.backoff[:, at[:-1]]
         key = at[:-1] * (len(self.words) + 1) + at[1:]
@@ -108,8 +132,12 @@ class Model:
         return np.array([ratio.mean(), np.maximum(ratio - MARGIN, 0).mean()])
 
     def score(self, text: str | None) -> float:
-        z = self.weights[0] + self.features(text) @ self.weights[1:]
-        return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+        return next(self.scores([text]))
+
+    def scores(self, texts) -> Iterator[float]:
+        for f in self.all_features(texts):
+            z = self.weights[0] + f @ self.weights[1:]
+            yield float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,29 +164,74 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _continuations(words: np.ndarray):
-    """How often each word comes in all texts, and a sketch of the words before it."""
+    """Distinct pairs of neighbouring words of the texts, as far as a task sees them.
+
+    A pair is one number: the model's index of the second word, above ``_pair_bits``
+    bits of a hash of both words.
+    """
+    bits = _pair_bits(words)
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, number, fresh, size = np.zeros(0, np.int64), _Numbers(), [], 0
+
+        def merged() -> np.ndarray:
+            names = list(number)
+            hashes = _hashed(names)
+            at = _places(words, names, hashes)
+            before, after = (np.concatenate([x[k : len(x) - 1 + k] for x in fresh]) for k in (0, 1))
+            key = (at[after] << bits) | _pair_hashes(hashes[before], hashes[after], bits)
+            key = np.sort(np.concatenate([held, key]))  # np.unique hashes, which takes far longer
+            return key[np.diff(key, prepend=-1) != 0]
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(words) + 1, np.int64)
-        before = np.zeros((len(words) + 1, 64), bool)
-        index: dict[str, int] = {}
-        finder = Model(words, *[np.zeros((2, 0))] * 2, np.zeros(0), np.zeros((2, 0)), _index=index)
         for batch in batches:
             for text in batch.column(0):
                 found = _WORDS.findall((text.as_py() or "").lower())
-                if not found:
+                if len(found) < 2:
                     continue
-                at = np.array([index[w] if w in index else finder._find(w) for w in found])
-                total += np.bincount(at, minlength=len(total))
-                before[at[1:], at[:-1] & 63] = True
-        seen = np.flatnonzero(total)
-        bits = np.packbits(before[seen], axis=1, bitorder="little").view("<i8").ravel()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(seen.astype(np.int64)), pa.array(total[seen]), pa.array(bits)],
-            ["word", "n", "before"],
-        )
+                fresh.append(np.fromiter(map(number.__getitem__, found), np.int64, len(found)))
+                size += len(found)
+                if size >= _PAIRS // 4:
+                    held, number, fresh, size = merged(), _Numbers(), [], 0
+                    if len(held) >= _PAIRS:
+                        yield pa.RecordBatch.from_arrays([pa.array(held)], ["pair"])
+                        held = held[:0]
+        if fresh:
+            held = merged()
+        yield pa.RecordBatch.from_arrays([pa.array(held)], ["pair"])
 
-    return count
+    return pairs
+
+
+def _pair_bits(words: np.ndarray) -> int:
+    return 63 - len(words).bit_length()
+
+
+def _pair_hashes(before: np.ndarray, after: np.ndarray, bits: int) -> np.ndarray:
+    """A hash of each two words, from theirs."""
+    mixed = (before.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ after.astype(np.uint64)
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return (mixed >> np.uint64(64 - bits)).astype(np.int64)
+
+
+class _Numbers(dict):
+    def __missing__(self, word: str) -> int:
+        value = self[word] = len(self)
+        return value
+
+
+def continuations(texts: DataFrame, words: np.ndarray) -> np.ndarray:
+    """For each of the model's words, after how many distinct words it comes in all texts.
+
+    The last entry adds this up over every word that has no entry, a stem's over the
+    words that back off to it. Counted without a bound; only the hash of a pair can
+    unite two.
+    """
+    pairs = texts.select("text").mapInArrow(_continuations(words), "pair long").distinct()
+    word = F.shiftright("pair", _pair_bits(words)).alias("word")
+    seen = pairs.groupBy(word).agg(F.count(F.lit(1)).alias("n")).toPandas()
+    found = np.zeros(len(words) + 1, np.int64)
+    found[seen.word.to_numpy(np.int64)] = seen.n.to_numpy(np.int64)
+    return found
 
 
 def _estimate(
@@ -249,17 +322,7 @@ def fit(
     wide = both.where(F.col("docs") >= LEAST_DOCUMENTS).drop("docs").toPandas()
     wide = wide.sort_values(["v", "w"])
     words = np.unique(wide.loc[wide.v < 0, "w"].to_numpy(np.int64))
-    seen = (
-        texts.select("text")
-        .mapInArrow(_continuations(words), "word long, n long, before long")
-        .groupBy("word")
-        .agg(F.sum("n").alias("n"), F.bit_or("before").alias("before"))
-        .toPandas()
-    )
-    shared = np.full(len(words) + 1, 0.5)
-    empty = 64 - np.bitwise_count(seen.before.to_numpy(np.int64).view(np.uint64))
-    spread = 64 * np.log(64 / np.maximum(empty, 0.5))
-    shared[seen.word.to_numpy(np.int64)] += np.minimum(spread, seen.n.to_numpy(np.float64))
+    shared = 0.5 + continuations(texts, words)
     narrow = pd.concat(
         [wide[["v", "w"]].assign(toxic=c, n=wide[f"n{c}"].astype("int64")) for c in (0, 1)]
     )
@@ -278,7 +341,7 @@ def _features(spark, model: Model, text: Column) -> Column:
 
     @F.pandas_udf("array<double>")
     def features(texts: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.features(t) for t in texts])
+        return pd.Series(list(shared.value.all_features(texts.tolist())))
 
     return features(text)
 
@@ -289,7 +352,7 @@ def score(docs: DataFrame, model: Model, text: Column) -> Column:
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.score(t) for t in texts], dtype="float64")
+        return pd.Series(list(shared.value.scores(texts.tolist())), dtype="float64")
 
     return scored(text)
 
