@@ -309,6 +309,35 @@ def test_moved_passages_are_found(spark, nothing):
     assert line_dedup.remove_repeated_chunks(nothing).count() == 0
 
 
+@pytest.mark.parametrize("size", [1, 2, 3])
+def test_planted_short_passages(spark, size):
+    """What the rule of the SQL finds of them, by an own recount: nothing of single lines, little of the others."""
+    rng, rows, planted = random.Random(9), [], {}
+    line = lambda: f"{rng.random()} " + "word " * 60
+    for i in range(0, 300, 2):
+        passage = [line() for _ in range(size)]
+        for doc in (i, i + 1):
+            before = [line() for _ in range(rng.randint(2, 6))]
+            rows.append((doc, "\n".join(before + passage + [line() for _ in range(4)])))
+            planted[doc] = range(len(before), len(before) + size)
+    want, seen = {}, set()
+    for doc, text in rows:
+        lines, start, want[doc] = text.split("\n"), 0, set()
+        h = [0] + [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in lines]
+        for i in range(len(lines)):
+            if i == len(lines) - 1 or (h[i] % 1_000_003 * 257 + h[i + 1]) % 1_000_003 % 3 == 0:
+                chunk = tuple(lines[start : i + 1])
+                want[doc] |= set(range(start, i + 1)) if len(chunk) > 1 and chunk in seen else set()
+                seen.add(chunk)
+                start = i + 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: {c.start + k for c in r.removed for k in range(c.length)}
+             for r in line_dedup.remove_repeated_chunks(docs).collect()}
+    assert found == want
+    assert all(gone <= set(planted[doc]) and (doc % 2 or not gone) for doc, gone in found.items())
+    assert sum(map(len, found.values())) <= (0 if size == 1 else 0.2 * 150 * size)
+
+
 PAGE = (
     "<html><head><title>A &amp; B</title><style>p{}</style></head><body><!-- x --><p>One <b>two</b>"
     "<br>three<script>var t='</p>'</script></p><a href='/x?a=1&amp;b=2'>link</a><a href=\"/y\">y</a></body></html>"
