@@ -344,6 +344,34 @@ PAGE = (
 )
 
 
+@pytest.mark.parametrize("charset", ["utf-8", "iso-8859-1", "shift_jis"])
+def test_coded_responses(charset):
+    word = "漢字" if charset == "shift_jis" else "Äö"
+    page = f"<p>{word}</p><a href='/{word}'>x</a>".encode(charset)
+    chunked = lambda b: b"5;x=1\r\n" + b[:5] + b"\r\n" + f"{len(b) - 5:X}\r\n".encode() + b[5:] + b"\r\n0\r\n\r\n"
+    raw = zlib.compressobj(wbits=-15)
+    bodies = {
+        "": page, "Transfer-Encoding: chunked": chunked(page), "Content-Encoding: gzip": gzip.compress(page),
+        "content-encoding: deflate": zlib.compress(page), "Content-Encoding:  deflate": raw.compress(page) + raw.flush(),
+        "Content-Encoding: gzip\r\nTransfer-Encoding: chunked": chunked(gzip.compress(page)),
+        "Content-Encoding: x-gzip": page,  # a crawler that unpacked it and kept the header
+    }
+    for header, payload in bodies.items():
+        for kind in (f"text/html; charset={charset}", "text/html"):
+            body = payload
+            if kind == "text/html":
+                if header:
+                    continue
+                body = f"<meta http-equiv=a content='text/html; charset={charset}'>".encode() + payload
+            head = f"HTTP/1.1 200 OK\r\nContent-Type: {kind}\r\n{header}".rstrip() + "\r\n\r\n"
+            source = warc.record("response", "<urn:x>", [], head.encode() + body)
+            about, text = (d[2] for d in warc.derive(source))
+            assert text == f"{word}\nx" and f"outlink: /{word}\r\n" in about
+            assert f"\r\npayload-digest: {warc.digest(body)}\r\n" in about
+    odd = warc.record("response", "<urn:x>", [], b"HTTP/1.1 200 OK\r\nContent-Type: a; charset=none\r\n\r\n" + "ä".encode())
+    assert warc.derive(odd)[1][2] == "ä"
+
+
 def test_warc_derivatives(spark):
     pages = [(1, "http://a.example/é", PAGE), (2, None, None), (3, "http://b.example", "plain < text"), (None, "u", "")]
     df = spark.createDataFrame(pages, "page_id long, url string, html string")

@@ -9,10 +9,12 @@ concurrent with itself.
 from __future__ import annotations
 
 import base64
+import codecs
 import gzip
 import hashlib
 import html
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,6 +33,10 @@ _BLOCK = regex.compile(
 _TAG = regex.compile(r"<[a-zA-Z/!?][^>]*>")
 _LINK = regex.compile(r"""<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", regex.I)
 
+_HEX = regex.compile(rb"[0-9a-fA-F]{1,15}")
+_CHARSET = regex.compile(r"""charset\s*=\s*["']?\s*([\w.:-]+)""", regex.I)
+_META = regex.compile(r"<meta\b[^>]*charset[^>]*>", regex.I)
+
 
 def digest(data: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
@@ -92,12 +98,71 @@ def response(page_id: int | None, url: str | None, page: str | None, date: str =
     return record("response", _name("response", str(page_id), url or ""), headers, head.encode() + payload)
 
 
+def _whole(payload: bytes) -> bytes:
+    """A chunked body in one piece; as it is if it isn't chunked, and to its break if it is cut off."""
+    parts, at = [], 0
+    while (end := payload.find(b"\r\n", at)) >= 0:
+        digits = payload[at:end].partition(b";")[0].strip()
+        if not _HEX.fullmatch(digits):
+            break
+        if not (size := int(digits, 16)):
+            return b"".join(parts)
+        parts.append(payload[end + 2 : end + 2 + size])
+        at = end + 2 + size + 2
+    return b"".join(parts) if parts else payload
+
+
+def _inflated(payload: bytes, coding: str) -> bytes:
+    """A gzip or deflate body unpacked, as far as it goes; as it is if it isn't packed."""
+    kinds = (31,) if "gzip" in coding else (15, -15)
+    for kind in kinds:
+        parts, rest = [], payload
+        try:
+            while rest:
+                member = zlib.decompressobj(kind)
+                parts.append(member.decompress(rest))
+                rest = member.unused_data if kind == 31 else b""
+        except zlib.error:
+            pass
+        if any(parts):
+            return b"".join(parts)
+    # An empty body packed is a few bytes that unpack to none.
+    return b"" if kinds == (31,) and payload[:2] == b"\x1f\x8b" else payload
+
+
+def page_of(http: list[str], payload: bytes) -> str:
+    """The page of a response: codings of its headers undone, then the charset.
+
+    Chunked bodies, gzip and deflate are undone; other codings are left. The charset is
+    that of the headers, else that of a ``meta`` tag at the page's start, else UTF-8.
+    """
+    values: dict[str, list[str]] = {}
+    for line in http:
+        name, _, value = line.partition(":")
+        values.setdefault(name.strip().lower(), []).append(value.strip())
+    for name in ("transfer-encoding", "content-encoding"):
+        for coding in reversed(",".join(values.get(name, [])).lower().split(",")):
+            if coding.strip() == "chunked":
+                payload = _whole(payload)
+            elif coding.strip() in ("gzip", "x-gzip", "deflate"):
+                payload = _inflated(payload, coding)
+    found = _CHARSET.search(" ".join(values.get("content-type", [])))
+    if not found and (meta := _META.search(payload[:1024].decode("latin-1"))):
+        found = _CHARSET.search(meta[0])
+    try:
+        if found and codecs.lookup(found[1])._is_text_encoding:
+            return payload.decode(found[1], "replace")
+    except (LookupError, ValueError):
+        pass
+    return payload.decode("utf-8", "replace")
+
+
 def derive(source: bytes) -> list[tuple[str, str, str, bytes]]:
     """``type, record id, text, record`` of the derivatives of one response record."""
     headers, block = parse_record(source)
     head, _, payload = block.partition(b"\r\n\r\n")
     status, *http = head.decode("utf-8", "replace").split("\r\n")
-    page = payload.decode("utf-8", "replace")
+    page = page_of(http, payload)
     origin = headers.get("warc-record-id", "")
     links = [
         ("WARC-Date", headers.get("warc-date", DATE)),
