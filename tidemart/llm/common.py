@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+from functools import reduce
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemart.sources.workspace import new_folder
@@ -57,3 +58,44 @@ def fold_of(doc_id: str = "doc_id") -> Column:
 def held_out(doc_id: str = "doc_id") -> Column:
     """True for the rows that no classifier may learn labels from."""
     return F.coalesce(fold_of(doc_id) == 2, F.lit(False))
+
+
+def matched(left: DataFrame, right: DataFrame, names: list[str]) -> DataFrame:
+    """Rows of both sides where all named columns agree, NULL with NULL; named ones once."""
+    left, right = left.alias("l"), right.alias("r")
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in names]
+    rest = [F.col(f"r.{c}") for c in right.columns if c not in names]
+    return left.join(right, reduce(Column.__and__, same)).select("l.*", *rest)
+
+
+def running(
+    rows: DataFrame, by: list[str], order: list[Column], amount: Column, name: str
+) -> DataFrame:
+    """Adds the sum of ``amount`` over a group's earlier rows, and over all of them.
+
+    The columns are called ``name`` and ``name_total``; ``by`` names the group, NULL
+    being one. No task holds a group: the rows are cut into sorted ranges, rows of
+    equal order too, each range is summed on its own and shifted by the ranges before
+    it, of which there are as many as shuffle partitions. Rows of equal order come in
+    the order of their partition.
+    """
+    parts = parallelism(rows.sparkSession)
+    tied = rows.withColumns({"__amount": amount.cast("bigint"), "__tie": F.monotonically_increasing_id()})
+    order = [*order, F.col("__tie")]
+    ranged = tied.repartitionByRange(parts, *[F.col(c) for c in by], *order)
+    ranged = written(ranged.withColumn("__part", F.spark_partition_id()), "ranges")
+    sums = ranged.groupBy("__part", *by).agg(F.sum("__amount").alias("__sum"))
+    group = Window.partitionBy(*by)
+    earlier = (Window.unboundedPreceding, -1)
+    shifts = sums.select(
+        "__part",
+        *by,
+        F.sum("__sum").over(group.orderBy("__part").rowsBetween(*earlier)).alias("__before"),
+        F.sum("__sum").over(group).alias(f"{name}_total"),
+    )
+    inside = Window.partitionBy("__part", *by).orderBy(*order).rowsBetween(*earlier)
+    summed = ranged.withColumn("__inside", F.coalesce(F.sum("__amount").over(inside), F.lit(0)))
+    place = F.coalesce("__before", F.lit(0)) + F.col("__inside")
+    return matched(summed, shifts, ["__part", *by]).select(
+        *rows.columns, place.alias(name), f"{name}_total"
+    )

@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 from tidemart.llm import (
     exact_dedup,
+    hard_negatives,
     langid,
     line_dedup,
+    merkle,
+    mixing,
     near_dedup,
     packing,
     piece_tokens,
@@ -217,3 +220,168 @@ FROM (
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of texts that are equal but for white space."""
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query(
+    """
+WITH RECURSIVE docs AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos,
+         dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+         list_reduce([4294967295] || flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+             lambda d: list_transform(range(8), lambda k: (ascii(d) >> k) & 1))),
+           lambda c, b: xor(c >> 1, CASE WHEN (c & 1) <> b THEN 3988292384 ELSE 0 END)) AS crc
+  FROM documents
+), fields AS (
+  SELECT *, coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-')
+      || coalesce(octet_length(encode(source)) || ':' || source, '-')
+      || coalesce(octet_length(encode(lang)) || ':' || lang, '-')
+      || coalesce(octet_length(encode(CAST(n_chars AS VARCHAR))) || ':' || n_chars, '-') AS head,
+    replace(text, chr(10), '') AS bare
+  FROM docs
+), leaves AS (
+  SELECT doc_id, tree, pos,
+    sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(CASE WHEN xor(crc, 4294967295) % 2 = 0 THEN octet_length(encode(bare)) || ':' || bare
+                                 ELSE octet_length(encode(text)) || ':' || text END, '-')) AS seen
+  FROM fields
+), low AS (
+  SELECT tree, 0 AS height, pos, leaf AS hash FROM leaves
+  UNION ALL
+  SELECT tree, any_value(height) + 1, pos // 3, sha256(string_agg(hash, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM low) WHERE n > 1 GROUP BY tree, pos // 3
+), tops AS (SELECT tree, max(height) AS top FROM low GROUP BY tree),
+high AS (
+  SELECT 0 AS height, CAST(tree AS BIGINT) AS pos, hash FROM low JOIN tops USING (tree) WHERE height = top
+  UNION ALL
+  SELECT any_value(height) + 1, pos // 3, sha256(string_agg(hash, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER () AS n FROM high) WHERE n > 1 GROUP BY pos // 3
+), nodes AS (
+  SELECT tree, height, pos, hash FROM low JOIN tops USING (tree) WHERE height < top
+  UNION ALL
+  SELECT l.tree, h.height + top, h.pos, h.hash
+  FROM (SELECT DISTINCT tree FROM low) l JOIN tops USING (tree), high h
+  WHERE h.height < (SELECT max(height) FROM high)
+), steps AS (
+  SELECT a.doc_id, m.height, min(m.pos) AS at, any_value(a.own) AS own,
+    coalesce(string_agg(hash, '' ORDER BY m.pos) FILTER (m.pos < a.own), '') AS lefts,
+    coalesce(string_agg(hash, '' ORDER BY m.pos) FILTER (m.pos > a.own), '') AS rights
+  FROM (
+    SELECT doc_id, l.tree, height,
+      CASE WHEN height < top THEN l.pos // CAST(pow(3, height) AS BIGINT)
+           ELSE l.tree // CAST(pow(3, height - top) AS BIGINT) END AS own
+    FROM leaves l JOIN tops USING (tree), LATERAL (SELECT unnest(range(0, top + (SELECT max(height) FROM high))) AS height)
+  ) a JOIN nodes m ON m.tree = a.tree AND m.height = a.height AND m.pos // 3 = a.own // 3
+  GROUP BY a.doc_id, m.height
+), fold AS (
+  SELECT doc_id, 0 AS height, seen AS hash FROM leaves
+  UNION ALL
+  SELECT f.doc_id, f.height + 1, sha256(lefts || f.hash || rights)
+  FROM fold f JOIN steps s ON s.doc_id = f.doc_id AND s.height = f.height
+)
+SELECT doc_id, leaf, s.hash AS subroot, r.hash AS root,
+  coalesce((SELECT sha256(string_agg(lefts || rights, '' ORDER BY height)) FROM steps p WHERE p.doc_id = l.doc_id), sha256('')) AS proof_sha256,
+  f.hash AS folded_root, f.hash = r.hash AS verified
+FROM leaves l
+JOIN (SELECT tree, hash FROM low JOIN tops USING (tree) WHERE height = top) s USING (tree)
+JOIN (SELECT doc_id, arg_max(hash, height) AS hash FROM fold GROUP BY doc_id) f USING (doc_id),
+(SELECT hash FROM high ORDER BY height DESC LIMIT 1) r
+"""
+)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and the root that a tampered one folds to."""
+    docs = table(spark, sf_dir, "documents")
+    bare = F.translate("text", "\n", "")
+    chosen = (F.crc32(F.col("doc_id").cast("string")) % 2 == 0) & F.contains(F.col("text"), F.lit("\n"))
+    values = [bare if c == "text" else F.col(c) for c in merkle.FIELDS]
+    tampered = F.when(chosen, merkle.leaf(values))
+    found = merkle.proofs(docs, tampered=tampered)
+    fold = merkle.folded(F.coalesce("tampered", "leaf"), F.col("path"))
+    found = found.withColumn("folded_root", fold)
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.siblings_hash(F.col("path")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+@query(
+    """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND label IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS alike,
+         CAST(list_sum(list_transform(list_zip(a.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 50 = 0 AND c.vec_id <> a.vec_id
+), positives AS (
+  SELECT * FROM scores WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, p.vec_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scores n USING (anchor_id)
+WHERE NOT n.alike AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
+)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives for each of five positives of every fiftieth vector."""
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.withColumn("label", moved))
+
+
+@query(
+    """
+WITH RECURSIVE sizes AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size
+  FROM documents
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS words, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place
+  FROM sizes GROUP BY source
+), weighed AS (SELECT *, 1 + place % 3 AS weight FROM sources),
+total AS (SELECT CAST(sum(words) AS BIGINT) AS t FROM sources),
+levels AS (
+  SELECT CAST(0 AS BIGINT) AS round, CAST(0 AS DOUBLE) AS level
+  UNION ALL
+  SELECT round + 1, next FROM (
+    SELECT round, level,
+      CAST(any_value(t) - coalesce(sum(3 * words) FILTER (weight * level > 3 * words), 0) AS DOUBLE)
+        / CAST(sum(weight) FILTER (weight * level <= 3 * words) AS DOUBLE) AS next
+    FROM levels, weighed, total GROUP BY round, level)
+  WHERE next IS NOT NULL AND (round = 0 OR next <> level)
+), wanted AS (
+  SELECT *, least(weight * level, CAST(3 * words AS DOUBLE)) AS target
+  FROM weighed, (SELECT level FROM levels ORDER BY round DESC LIMIT 1)
+), seats AS (
+  SELECT place, unnest(range(1, CAST(ceil(target / 16) AS BIGINT) + 1 + (SELECT count(*) FROM sources))) AS seat, target
+  FROM wanted WHERE target > 0
+), won AS (
+  SELECT place, count(*) AS n FROM (
+    SELECT place FROM seats QUALIFY row_number() OVER (ORDER BY target / (2 * seat - 1) DESC, place)
+      <= (SELECT (t + 8) // 16 FROM total)
+  ) GROUP BY place
+), placed AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY md5('1:' || doc_id), doc_id, size
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM sizes
+)
+SELECT doc_id, size, words AS source_size, target,
+  CAST(CASE WHEN words = 0 THEN 0 ELSE held // words * size + greatest(0, least(start + size, held % words) - start) END AS BIGINT) AS taken
+FROM placed p JOIN (
+  SELECT w.*, least(coalesce(n, 0) * 16, 3 * words) AS held FROM wanted w LEFT JOIN won USING (place)
+) w ON p.source IS NOT DISTINCT FROM w.source
+"""
+)
+def op13_apportioned_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all sources takes of every document."""
+    found = mixing.mixed(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
