@@ -30,6 +30,7 @@ from tidemart.llm import (
     toxicity,
     warc,
 )
+from tidemart.llm.common import first_by_hash
 from tidemart.llm.components import connected
 from tidemart.llm.word_tokens import WordTokenizer
 
@@ -440,6 +441,65 @@ def test_continuations_are_counted(spark):
     assert of(toxicity._stem("stemmed")) == 2
 
 
+def test_kneser_ney_probabilities(spark, monkeypatch):
+    """Ratios of a small corpus against dictionaries."""
+    monkeypatch.setattr(toxicity, "LEAST_DOCUMENTS", 1)
+    learnt = [i for i in range(1, 60) if zlib.crc32(str(i).encode()) % 4 < 2][:12]
+    words = "red green blue redder greenest".split()
+    texts = {i: " ".join(words[(i * k + k // 3) % 5] for k in range(3 + i % 7)) for i in learnt}
+    toxic = {i: n % 2 for n, i in enumerate(learnt)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(list(toxic.items()), "doc_id long, toxic int"))
+
+    stem = toxicity._stem
+    single, pair, before = [{}, {}], [{}, {}], {}
+    samples = {(texts[i], toxic[i]) for i in learnt}
+    for text, c in samples:
+        found = text.split()
+        for w in [*found, *map(stem, found)]:
+            single[c][w] = single[c].get(w, 0) + 1
+        for p in zip(found, found[1:]):
+            pair[c][p] = pair[c].get(p, 0) + 1
+    for v, w in {p for t in texts.values() for p in zip(t.split(), t.split()[1:])}:
+        before[w] = before.get(w, 0) + 1
+    entries = single[0].keys() | single[1].keys()
+    spread = sum(before.get(w, 0) + 0.5 for w in entries) + 0.5
+
+    def chance(c, v, w):
+        other = 0.01 * sum(len(t.split()) for t, k in samples if k == c)
+        total = sum(single[c].values()) + other
+        kept = {x: max(n - 0.75, 0) for x, n in single[c].items()}
+        freed = total - sum(kept.values()) - (other - 0.75 if other > 0.75 else 0)
+        base = (kept.get(w, 0) + freed * (before.get(w, 0) + 0.5) / spread) / total
+        if v is None:
+            return base
+        mass = {x: max(n - 0.75, 0) / single[c][x[0]] for x, n in pair[c].items()}
+        return mass.get((v, w), 0) + base * max(1 - sum(m for x, m in mass.items() if x[0] == v), 1e-6)
+
+    for text in [*texts.values(), "green", "blue red red green"]:
+        found = text.split()
+        ratios = [
+            np.log(chance(1, v, w) / chance(0, v, w)) for v, w in zip([None, *found], found)
+        ]
+        beyond = np.maximum(np.array(ratios) - toxicity.MARGIN, 0).mean()
+        assert np.allclose(model.features(text), [np.mean(ratios), beyond])
+
+
+def test_no_task_orders_a_whole_class(spark):
+    """Only rows below the cut of the histogram reach the window."""
+    rows = spark.range(20000).select((F.col("id") % 2).alias("toxic"), F.col("id").alias("doc_id"))
+    found = first_by_hash(rows, "toxic", "doc_id", 1500)
+    best = {}
+    for r in rows.select("toxic", "doc_id", F.xxhash64("doc_id").alias("h")).collect():
+        best.setdefault(r.toxic, []).append((r.h, r.doc_id))
+    want = {(t, i) for t, each in best.items() for _, i in sorted(each)[:1500]}
+    assert {tuple(r) for r in found.select("toxic", "doc_id").collect()} == want
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("__place") < plan.index("__bin") and "__bin" in plan.split("Window")[1]
+    assert first_by_hash(rows.limit(0), "toxic", "doc_id", 5).count() == 0
+    assert first_by_hash(rows.limit(3), "toxic", "doc_id", 5).count() == 3
+
+
 def test_held_out_rows_by_crc32(spark):
     from tidemart.llm.common import held_out
 

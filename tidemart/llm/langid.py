@@ -15,10 +15,10 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import held_out
+from tidemart.llm.common import first_by_hash, held_out, ship
 
 #: Labelled documents of each language that the model may see.
 PER_LANGUAGE = 800
@@ -181,16 +181,10 @@ def fit(
     named = docs.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     ).where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = (
-        named.where(~held_out())
-        .select("doc_id", "lang")
-        .withColumn("n", F.row_number().over(first))
-        .where(F.col("n") <= per_language)
-        .select("doc_id", "lang")
-    )
+    ids = named.where(~held_out()).select("doc_id", "lang").distinct()
+    ids = first_by_hash(ids, "lang", "doc_id", per_language)
     # At most per_language ids a language: small whatever the table.
-    sample = named.join(F.broadcast(ids.distinct()), ["doc_id", "lang"], "left_semi")
+    sample = named.join(F.broadcast(ids), ["doc_id", "lang"], "left_semi")
     found = sample.select("lang", "text").mapInArrow(
         _features, "lang string, buckets array<int>, counts array<int>"
     )

@@ -18,10 +18,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import fold_of, held_out, written
+from tidemart.llm.common import first_by_hash, fold_of, held_out, parallelism, ship, written
+from tidemart.llm.exact_dedup import rice_decode, rice_encode
 
 #: Labelled documents of each class that the models may see.
 PER_CLASS = 8_000
@@ -39,6 +40,8 @@ _WORDS = re.compile(r"[^\W_]+")
 _KEPT = 100_000
 #: Pairs of words that a task holds before it passes them on.
 _PAIRS = 4_000_000
+#: Bits of a pair's hash, and bytes of text whose pairs one owner merges.
+PAIR_BITS, OWNED_BYTES = 36, 4_000_000
 
 
 def _stem(word: str) -> str:
@@ -163,13 +166,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pandas(n.astype("int64"), preserve_index=False)
 
 
-def _continuations(words: np.ndarray):
+def _continuations(words: np.ndarray, owners: int):
     """Distinct pairs of neighbouring words of the texts, as far as a task sees them.
 
-    A pair is one number: the model's index of the second word, above ``_pair_bits``
-    bits of a hash of both words.
+    A pair is one number: ``PAIR_BITS`` bits of a hash of both words, above the model's
+    index of the second. Each owner of a range of these numbers gets its part sorted and
+    Golomb-Rice coded.
     """
-    bits = _pair_bits(words)
+    shift, starts = len(words).bit_length(), _owned(owners)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, number, fresh, size = np.zeros(0, np.int64), _Numbers(), [], 0
@@ -179,7 +183,7 @@ def _continuations(words: np.ndarray):
             hashes = _hashed(names)
             at = _places(words, names, hashes)
             before, after = (np.concatenate([x[k : len(x) - 1 + k] for x in fresh]) for k in (0, 1))
-            key = (at[after] << bits) | _pair_hashes(hashes[before], hashes[after], bits)
+            key = (_pair_hashes(hashes[before], hashes[after]) << shift) | at[after]
             key = np.sort(np.concatenate([held, key]))  # np.unique hashes, which takes far longer
             return key[np.diff(key, prepend=-1) != 0]
 
@@ -193,24 +197,51 @@ def _continuations(words: np.ndarray):
                 if size >= _PAIRS // 4:
                     held, number, fresh, size = merged(), _Numbers(), [], 0
                     if len(held) >= _PAIRS:
-                        yield pa.RecordBatch.from_arrays([pa.array(held)], ["pair"])
+                        yield _messages(held, starts << shift)
                         held = held[:0]
         if fresh:
             held = merged()
-        yield pa.RecordBatch.from_arrays([pa.array(held)], ["pair"])
+        yield _messages(held, starts << shift)
 
     return pairs
 
 
-def _pair_bits(words: np.ndarray) -> int:
-    return 63 - len(words).bit_length()
+def _owned(owners: int) -> np.ndarray:
+    """Where the owners' ranges of pair hashes start."""
+    return np.array([-(-(j << PAIR_BITS) // owners) for j in range(owners)], np.int64)
 
 
-def _pair_hashes(before: np.ndarray, after: np.ndarray, bits: int) -> np.ndarray:
+def _messages(keys: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
+    """One coded list for each owner that has any of the ascending keys."""
+    cuts = np.append(np.searchsorted(keys, starts), len(keys))
+    rows = []
+    for owner in np.flatnonzero(np.diff(cuts)):
+        part = (keys[cuts[owner] : cuts[owner + 1]] - starts[owner]).astype(np.uint64)
+        rows.append((int(owner), len(part), *rice_encode(part)))
+    columns = list(zip(*rows, strict=True)) or [[]] * 4
+    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+    arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, ["owner", "n", "k", "code"])
+
+
+def _owner_counts(shift: int):
+    """Distinct pairs of an owner's range, by the index of their second word."""
+
+    def count(sent: pd.DataFrame) -> pd.DataFrame:
+        keys = np.sort(np.concatenate([rice_decode(r.code, r.n, r.k) for r in sent.itertuples()]))
+        # A range starts at a multiple of all indices, so these are the low bits still.
+        keys = keys[np.append(True, keys[1:] != keys[:-1])] & np.uint64((1 << shift) - 1)
+        word, n = np.unique(keys.astype(np.int64), return_counts=True)
+        return pd.DataFrame({"word": word, "n": n})
+
+    return count
+
+
+def _pair_hashes(before: np.ndarray, after: np.ndarray) -> np.ndarray:
     """A hash of each two words, from theirs."""
     mixed = (before.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ after.astype(np.uint64)
     mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return (mixed >> np.uint64(64 - bits)).astype(np.int64)
+    return (mixed >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
 
 
 class _Numbers(dict):
@@ -224,11 +255,18 @@ def continuations(texts: DataFrame, words: np.ndarray) -> np.ndarray:
 
     The last entry adds this up over every word that has no entry, a stem's over the
     words that back off to it. Counted without a bound; only the hash of a pair can
-    unite two.
+    unite two: of the pairs of a word with ``n`` predecessors about
+    ``n ** 2 / 2 ** (PAIR_BITS + 1)``.
     """
-    pairs = texts.select("text").mapInArrow(_continuations(words), "pair long").distinct()
-    word = F.shiftright("pair", _pair_bits(words)).alias("word")
-    seen = pairs.groupBy(word).agg(F.count(F.lit(1)).alias("n")).toPandas()
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    owners = max(parallelism(texts.sparkSession), -(-size // OWNED_BYTES))
+    sent = texts.select("text").mapInArrow(
+        _continuations(words, owners), "owner int, n int, k int, code binary"
+    )
+    owned = sent.groupBy("owner").applyInPandas(
+        _owner_counts(len(words).bit_length()), "word long, n long"
+    )
+    seen = owned.groupBy("word").agg(F.sum("n").alias("n")).toPandas()
     found = np.zeros(len(words) + 1, np.int64)
     found[seen.word.to_numpy(np.int64)] = seen.n.to_numpy(np.int64)
     return found
@@ -294,15 +332,13 @@ def fit(
     label are not learnt from; without labelled rows every text scores alike.
     """
     spark = docs.sparkSession
+    ship(spark)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     marked = labels.select(
         F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("toxic")
     ).where("doc_id IS NOT NULL AND toxic IN (0, 1)")
-    first = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (
-        marked.where(~held_out())
-        .withColumn("n", F.row_number().over(first))
-        .where(F.col("n") <= per_class)
+        first_by_hash(marked.where(~held_out()).distinct(), "toxic", "doc_id", per_class)
         .select("doc_id", "toxic", (fold_of() == CALIBRATION_FOLD).alias("calibrates"))
         .dropDuplicates(["doc_id"])
     )
