@@ -15,6 +15,7 @@ def one(spark, *columns):
     return tuple(spark.range(1).select(*columns).first())
 
 
+# Keys that have to agree with those of existing tables.
 @pytest.mark.parametrize(
     "fields, key",
     [

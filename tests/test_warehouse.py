@@ -15,91 +15,79 @@ T1 = "2024-01-01 00:00:00.000+00:00"
 T2 = "2024-01-02 00:00:00.000+00:00"
 LATE = "2023-12-31 00:00:00.000+00:00"
 
+# A week of an invented shop: a kite with its line, a lamp, and an atlas not yet packed.
+KITE_ORDER = ("A-100", "ana", "delivered", "2021-03-05 14:20:10", "2021-03-05 14:25:00")
 FIRST = {
     "customers": [
-        (T1, ("c1", "u1", "03149", "sao paulo", "SP")),
-        (T1, ("c2", "u2", "47813", "barreiras", "BA")),
+        (T1, ("ana", "person-ana", "59610", "vila do sal", "RN")),
+        (T1, ("bia", "person-bia", "74030", "campo largo", "GO")),
+        (T1, ("caio", "person-caio", "59700", "duas pontes", "RN")),
     ],
     "orders": [
-        (LATE, ("o1", "c1", "processing", "2017-10-02 10:56:33", None, None, None, None)),
-        (
-            T1,
-            (
-                "o1",
-                "c1",
-                "delivered",
-                "2017-10-02 10:56:33",
-                "2017-10-02 11:07:15",
-                None,
-                "2017-10-10 21:25:13",
-                "2017-10-18 00:00:00",
-            ),
-        ),
-        (T1, ("o2", "c2", "shipped", "2018-07-24 20:41:37", None, None, None, None)),
+        (T1, (*KITE_ORDER, None, "2021-03-09 09:12:45", "2021-03-22 12:00:00")),
+        (LATE, ("A-100", "ana", "created", "2021-03-05 14:20:10", None, None, None, None)),
+        (T1, ("B-200", "bia", "invoiced", "2022-11-30 23:59:59", None, None, None, None)),
+        (T1, ("C-300", "caio", "approved", "2022-12-01 06:00:00", None, None, None, None)),
     ],
     "order_items": [
-        (T1, ("o1", "1", "p1", "s1", "2017-10-06 11:07:15", "29.99", "8.72")),
-        (T1, ("o1", "2", "p2", "s2", "2017-10-06 11:07:15", "10.00", "1.00")),
-        (T1, ("o2", "1", "p2", "s2", "2018-07-30 03:24:27", "118.70", "22.76")),
+        (T1, ("A-100", "1", "kite", "wind-shop", "2021-03-07 18:00:00", "45.50", "6.25")),
+        (T1, ("A-100", "2", "line", "wind-shop", "2021-03-07 18:00:00", "12.00", "3.10")),
+        (T1, ("B-200", "1", "lamp", "light-shop", "2022-12-04 10:30:00", "250.40", "31.00")),
+        (T1, ("C-300", "1", "atlas", "light-shop", "2022-12-06 10:30:00", "77.77", "0.00")),
     ],
     "order_payments": [
-        (T1, ("o1", "1", "credit_card", "1", "18.12")),
-        (T1, ("o1", "2", "voucher", "0", "2.00")),
-        (T1, ("o2", "1", "boleto", "4", "141.46")),
+        (T1, ("A-100", "1", "debit_card", "1", "60.00")),
+        (T1, ("A-100", "2", "voucher", "0", "6.85")),
+        (T1, ("B-200", "1", "credit_card", "8", "281.40")),
+        (T1, ("C-300", "1", "credit_card", "3", "77.77")),
     ],
     "order_reviews": [
         (
             T1,
-            (
-                "r1",
-                "o1",
-                "4",
-                None,
-                "Chegou antes do prazo, caixa amassada.",
-                "2017-10-11 00:00:00",
-                "2017-10-13 08:15:00",
-            ),
+            ("kite-review", "A-100", "3", "Bom", None, "2021-03-10 08:00:00", "2021-03-13 07:00:00"),
         ),
-        (T1, ("r2", "o2", "5", None, None, "2018-08-08 00:00:00", "2018-08-08 11:30:00")),
+        (T1, ("lamp-review", "B-200", "1", None, None, "2022-12-20 22:00:00", "2022-12-20 23:00:00")),
     ],
     "products": [
-        (T1, ("p1", "utilidades_domesticas", "40", "300", "2", "750", "25", "10", "15")),
-        (T1, ("p2", "unknown_category", "29", "120", "3", "900", "30", "12", "20")),
+        (T1, ("kite", "brinquedos_de_vento", "11", "95", "6", "210", "90", "3", "70")),
+        (T1, ("line", "brinquedos_de_vento", "17", "44", "1", "35", "8", "8", "8")),
+        (T1, ("lamp", "luz", "23", "310", "5", "1800", "44", "61", "22")),
+        (T1, ("atlas", "no such category", "52", "801", "2", "2600", "38", "5", "29")),
     ],
     "sellers": [
-        (T1, ("s1", "09350", "maua", "SP")),
-        (T1, ("s2", "31570", "belo horizonte", "MG")),
+        (T1, ("wind-shop", "59611", "vila do sal", "RN")),
+        (T1, ("light-shop", "74100", "campo largo", "GO")),
     ],
     "geolocation": [
-        (T1, ("03149", "-23.5", "-46.5", "sao paulo", "SP")),
-        (T1, ("03149", "-23.5", "-46.5", "sao paulo", "SP")),
-        (T1, ("03149", "-23.7", "-46.7", "sao paolo", "sp")),
-        (T1, (" ", "-23.7", "-46.7", "sao paulo", "SP")),
-        (T1, ("09350", "-23.6", "-46.4", "maua", "SP")),
-        (T1, ("99999", "0.0", "0.0", "zzzz", "SP")),
+        (T1, ("59610", "-5.25", "-37.5", "vila do sal", "RN")),
+        (T1, ("59610", "-5.25", "-37.5", "vila do sal", "RN")),
+        (T1, ("59610", "-5.75", "-37.25", "vila do sall", "rn")),
+        (T1, ("", "-5.75", "-37.25", "vila do sal", "RN")),
+        (T1, ("74030", "-16.5", "-49.5", "campo largo", "GO")),
+        (T1, ("11111", "1.0", "1.0", "qqqq", "RN")),
     ],
     "product_category_name_translation": [
-        (T1, ("utilidades_domesticas", "housewares")),
+        (T1, ("brinquedos_de_vento", "wind toys")),
+        (T1, ("luz", "light")),
     ],
 }
 
 SECOND = {
-    "customers": [(T2, ("c1", "u1", "99999", "sao paulo", "SP"))],
+    "customers": [(T2, ("ana", "person-ana", "59700", "vila do sal", "RN"))],
     "orders": [
-        (T2, ("o2", "c2", "delivered", "2018-07-24 20:41:37", None, None, None, None)),
-        (LATE, ("o1", "c1", "canceled", None, None, None, None, None)),
+        (T2, ("B-200", "bia", "shipped", "2022-11-30 23:59:59", None, None, None, None)),
+        (LATE, ("A-100", "ana", "unavailable", None, None, None, None, None)),
     ],
     "order_items": [
-        (T2, ("o2", "1", "p2", "s2", "2018-07-30 03:24:27", "100.00", "22.76"))
+        (T2, ("B-200", "1", "lamp", "light-shop", "2022-12-04 10:30:00", "199.90", "31.00"))
     ],
-    "sellers": [(T2, ("s1", "09350", "another city", "SP"))],
+    "sellers": [(T2, ("wind-shop", "59611", "moved to town", "RN"))],
 }
 
 CITIES = """UF,City,State,ID_IBGE
-SP,Sao Paulo,Sao Paulo State,1
-SP,Maua,Sao Paulo State,2
-BA,Barreiras,Bahia,3
-MG,Belo Horizonte,Minas Gerais,4
+RN,Vila do Sal,State of RN,101
+RN,Duas Pontes,State of RN,102
+GO,Campo Largo,State of GO,103
 """
 
 
@@ -147,58 +135,59 @@ def by(rows, *keys):
 def test_first_run_takes_the_latest_version(two_runs):
     _, first, _ = two_runs
     orders = by(first["orders_silver"], "order_id")
-    assert orders["o1",]["order_status"] == "delivered"
-    assert orders["o1",]["customer_unique_id"] == "u1"
-    assert orders["o1",]["order_delivered_customer_date"] == datetime(
-        2017, 10, 10, 21, 25, 13
-    )
-    assert len(orders) == 2
+    kite = orders["A-100",]
+    assert (kite["order_status"], kite["customer_unique_id"]) == ("delivered", "person-ana")
+    assert kite["order_delivered_customer_date"] == datetime(2021, 3, 9, 9, 12, 45)
+    assert set(orders) == {("A-100",), ("B-200",), ("C-300",)}
 
 
 def test_payment_bands(two_runs):
     _, first, _ = two_runs
     p = by(first["order_payments_silver"], "order_id", "payment_sequential")
-    assert p["o1", 1]["level_of_installment"] == "LOW"
-    assert p["o1", 2]["level_of_installment"] == "MEDIUM"
-    assert p["o2", 1]["level_of_installment"] == "HIGH"
-    assert p["o1", 2]["installment_monthly_value"] == 2.0
-    assert p["o2", 1]["installment_monthly_value"] == pytest.approx(141.46 / 4)
+    levels = {k: v["level_of_installment"] for k, v in p.items()}
+    assert levels == {
+        ("A-100", 1): "LOW", ("A-100", 2): "MEDIUM", ("B-200", 1): "HIGH", ("C-300", 1): "MEDIUM"
+    }
+    assert p["A-100", 2]["installment_monthly_value"] == 6.85
+    assert p["B-200", 1]["installment_monthly_value"] == pytest.approx(281.40 / 8)
 
 
 def test_product_category(two_runs):
     _, first, _ = two_runs
     p = by(first["dim_product"], "product_id")
-    assert p["p1",]["product_category_name"] == "housewares"
-    assert p["p2",]["product_category_name"] == "unknown_category"
-    assert p["p1",]["product_name_length"] == 40
+    names = {k: v["product_category_name"] for (k,), v in p.items()}
+    assert names == {
+        "kite": "wind toys", "line": "wind toys", "lamp": "light", "atlas": "no such category"
+    }
+    assert p["lamp",]["product_name_length"] == 23
 
 
 def test_geolocation(two_runs):
     _, first, _ = two_runs
     g = by(first["dim_geolocation"], "geolocation_zip_code_prefix")
-    assert set(g) == {("03149",), ("09350",)}
-    paulo = g["03149",]
-    assert paulo["standardized_city"] == "sao paulo"
-    assert paulo["full_state_name"] == "Sao Paulo State"
-    assert paulo["n_coordinates"] == 2
-    assert paulo["centroid_lat"] == pytest.approx(-23.6)
+    assert set(g) == {("59610",), ("74030",)}
+    salt = g["59610",]
+    assert salt["standardized_city"] == "vila do sal"
+    assert salt["full_state_name"] == "State of RN"
+    assert salt["n_coordinates"] == 2
+    assert salt["centroid_lat"] == pytest.approx(-5.5)
 
 
 def test_facts_of_first_run(two_runs):
     _, first, _ = two_runs
     sales = by(first["fact_sales"], "order_id", "order_item_id")
-    assert sales["o1", 2]["purchase_date_id"] == "20171002"
-    assert len(sales) == 3
+    assert sales["A-100", 2]["purchase_date_id"] == "20210305"
+    assert len(sales) == 4
     pay = by(first["fact_payment"], "order_id", "payment_sequential")
-    assert pay["o2", 1]["payment_date_id"] == 20180724
+    assert pay["B-200", 1]["payment_date_id"] == 20221130
     reviews = by(first["fact_reviews"], "review_id")
-    assert reviews["r1",]["hours_to_answer"] == 48
-    assert reviews["r2",]["hours_to_answer"] == 0
+    assert reviews["kite-review",]["hours_to_answer"] == 72
+    assert reviews["lamp-review",]["hours_to_answer"] == 0
     feedback = by(first["dim_feedback_profile"], "feedback_id")
-    assert feedback[reviews["r1",]["feedback_id"],]["has_comment"] is True
-    assert feedback[reviews["r2",]["feedback_id"],]["has_comment"] is False
-    # 3 payment types and 2 statuses.
-    assert len(first["dim_order_attribute"]) == 6
+    assert feedback[reviews["kite-review",]["feedback_id"],]["has_comment"] is True
+    assert feedback[reviews["lamp-review",]["feedback_id"],]["has_comment"] is False
+    # 3 payment types and 3 statuses.
+    assert len(first["dim_order_attribute"]) == 9
     assert len(first["dim_date"]) == 7305
     assert max(r["date_actual"] for r in first["dim_date"]) == date(2034, 12, 31)
 
@@ -206,33 +195,33 @@ def test_facts_of_first_run(two_runs):
 def test_second_run_upserts_and_drops_late_rows(two_runs):
     _, _, second = two_runs
     orders = by(second["orders_silver"], "order_id")
-    assert orders["o2",]["order_status"] == "delivered"
-    assert orders["o1",]["order_status"] == "delivered"
+    assert orders["B-200",]["order_status"] == "shipped"
+    assert orders["A-100",]["order_status"] == "delivered"
     sales = by(second["fact_sales"], "order_id", "order_item_id")
-    assert sales["o2", 1]["price"] == 100.0
+    assert (sales["B-200", 1]["price"], sales["B-200", 1]["order_status"]) == (199.9, "shipped")
     # Other lines keep the status they were loaded with.
-    assert sales["o2", 1]["order_status"] == "delivered"
-    assert len(sales) == 3
+    assert sales["C-300", 1]["order_status"] == "approved"
+    assert len(sales) == 4
 
 
 def test_snapshots(two_runs):
     _, _, second = two_runs
-    c1 = [r for r in second["customers_snapshot"] if r["customer_id"] == "c1"]
-    versions = sorted((r[VALID_FROM], r[VALID_TO], r["customer_zip_code_prefix"]) for r in c1 if r[VALID_TO])
-    assert versions == [(datetime(2024, 1, 1, 6), datetime(2024, 1, 2, 6), "03149")]
-    current = [r for r in c1 if r[VALID_TO] is None]
-    assert [r["customer_zip_code_prefix"] for r in current] == ["99999"]
+    ana = [r for r in second["customers_snapshot"] if r["customer_id"] == "ana"]
+    versions = [(r[VALID_FROM], r[VALID_TO], r["customer_zip_code_prefix"]) for r in ana if r[VALID_TO]]
+    assert versions == [(datetime(2024, 1, 1, 6), datetime(2024, 1, 2, 6), "59610")]
+    current = [r for r in ana if r[VALID_TO] is None]
+    assert [r["customer_zip_code_prefix"] for r in current] == ["59700"]
     # A seller's city is not checked.
     assert len(second["sellers_snapshot"]) == 2
 
 
 def test_dimensions_of_versions(two_runs):
     _, _, second = two_runs
-    dim = [r for r in second["dim_customer"] if r["customer_id"] == "c1"]
-    assert sorted(r["is_current"] for r in dim) == [False, True]
+    dim = [r for r in second["dim_customer"] if r["customer_id"] == "ana"]
     ends = {r["is_current"]: r[VALID_TO] for r in dim}
+    assert len(dim) == 2
     assert ends == {True: datetime(9999, 12, 31), False: datetime(2024, 1, 2, 6)}
-    assert len({r["customer_key"] for r in second["dim_customer"]}) == 3
+    assert len({r["customer_key"] for r in second["dim_customer"]}) == 4
 
 
 def test_sales_by_order_alone_are_refused(two_runs, tmp_path):
@@ -259,7 +248,7 @@ def test_reviews_by_their_full_key(spark):
 def test_failed_check_stops_the_star_schema(spark, tmp_path):
     (tmp_path / "cities.csv").write_text(CITIES)
     w = Warehouse(spark, str(tmp_path / "raw"), str(tmp_path / "dw"), str(tmp_path / "cities.csv"), 1)
-    bad = (T1, ("o9", "c1", "lost at sea", "2017-10-02 10:56:33", None, None, None, None))
+    bad = (T1, ("X-900", "ana", "lost at sea", "2023-07-01 12:00:00", None, None, None, None))
     append(spark, w.bronze, {**FIRST, "orders": [*FIRST["orders"], bad]})
     with pytest.raises(ChecksFailed, match="orders_silver.order_status.accepted_values: 1"):
         run_once(w, datetime(2024, 1, 1, 6))
@@ -274,7 +263,7 @@ def test_third_run_changes_nothing_and_checks_pass(two_runs):
     report = run_once(w, datetime(2024, 1, 3, 6)).collect()
     failed = {r["check_name"]: r["failures"] for r in report if not r["passed"]}
     # Every order a payment refers to has its status in the attribute table, as
-    # loaded; the status of o2 changed since its payment was loaded.
+    # loaded; the status of B-200 changed since its payment was loaded.
     assert set(failed) <= {"fact_payment.attribute_id.relationships"}
     assert len(report) == 59
     for name, keys in [("fact_sales", ["order_id"]), ("orders_silver", ["order_id"])]:

@@ -21,5 +21,4 @@ KEY_NULL = "_dbt_utils_surrogate_key_null_"
 
 # Upper end of an open version, default date key of a payment.
 OPEN_END = "9999-12-31 00:00:00"
-HISTORY_START = "1900-01-01 00:00:00"
 UNKNOWN_DATE_ID = 19000101

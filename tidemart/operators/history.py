@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.constants import HISTORY_START, OPEN_END, VALID_FROM, VALID_TO
+from tidemart.constants import OPEN_END, VALID_FROM, VALID_TO
 from tidemart.functions.calendar import clock_time
 
 
@@ -26,7 +26,7 @@ def open_versions(batch: DataFrame, valid_from) -> DataFrame:
     )
 
 
-def _differs(check_cols: Sequence[str]) -> Column:
+def differs(check_cols: Sequence[str]) -> Column:
     changed = F.lit(False)
     for c in check_cols:
         changed = changed | ~F.col(f"old.`{c}`").eqNullSafe(F.col(f"new.`{c}`"))
@@ -50,7 +50,7 @@ def version_changes(
     new = batch.select(F.col(key).alias("__key"), F.struct("*").alias("new"))
     pairs = new.join(old, "__key", "left")
     known = F.col("old").isNotNull()
-    differs = _differs(check_cols)
+    differs = differs(check_cols)
 
     closed = (
         pairs.filter(known & differs)
@@ -82,7 +82,7 @@ def apply_snapshot(
         F.col(key).alias("__key"), F.struct(*names).alias("new")
     )
     known, fresh = F.col("old").isNotNull(), F.col("new").isNotNull()
-    changed = known & fresh & _differs(check_cols)
+    changed = known & fresh & differs(check_cols)
     keep_old = F.when(known & ~changed, F.col("old"))
     close_old = F.when(
         changed, F.col("old").withField(VALID_TO, _timestamp(valid_from))
@@ -97,13 +97,83 @@ def apply_snapshot(
     return history.filter(~is_open).unionByName(rows)
 
 
+def late_changes(
+    versions: DataFrame,
+    sightings: DataFrame,
+    batch: DataFrame,
+    key: str,
+    check_cols: Sequence[str],
+    valid_from,
+) -> DataFrame:
+    """Versions that a batch older than the newest one writes, and those it removes.
+
+    ``versions`` holds those of the batch's keys that end after ``valid_from`` or are
+    open, ``sightings`` the rows of later batches and their time (column ``__at``). The
+    version that covers the time is cut there. The batch's row counts until the key was
+    seen next; if that was unchanged, the old version goes on from then. A row that
+    equals the version after it becomes its beginning. Removed versions come with
+    ``__gone``, the others replace those of the same key and beginning.
+    """
+    names = versions.columns
+    at = _timestamp(valid_from)
+    whole = F.struct(*names)
+    begins, ends = F.col(VALID_FROM), F.col(VALID_TO)
+    around = (
+        versions.filter(ends.isNull() | ((ends > at) & (begins < ends)))
+        .groupBy(F.col(key).alias("__key"))
+        .agg(
+            F.any_value(F.when(begins <= at, whole), ignoreNulls=True).alias("old"),
+            F.min_by(whole, F.when(begins > at, begins)).alias("next"),
+        )
+    )
+    seen = sightings.filter(F.col("__at") > at).groupBy(F.col(key).alias("__key"))
+    seen = seen.agg(F.min("__at").alias("seen"), F.min_by(F.struct(*batch.columns), "__at").alias("sighting"))
+    new = open_versions(batch, valid_from)
+    new = new.select(F.col(key).alias("__key"), F.struct(*names).alias("new"))
+    joined = new.join(around, "__key", "left").join(seen, "__key", "left")
+
+    old, following, row = F.col("old"), F.col("next"), F.col("new")
+    after = F.lit(False)
+    for c in check_cols:
+        after = after | ~F.col(f"next.`{c}`").eqNullSafe(F.col(f"new.`{c}`"))
+    follows = following.isNotNull() & (
+        old.isNull() | (F.col(f"old.`{VALID_TO}`") == F.col(f"next.`{VALID_FROM}`"))
+    )
+    # Seen again before the next version: unchanged from the covering one.
+    resumes = old.isNotNull() & F.col("seen").isNotNull() & (
+        ~follows | (F.col("seen") < F.col(f"next.`{VALID_FROM}`"))
+    )
+    absorbs = follows & ~resumes & ~after
+    end = (
+        F.when(resumes, F.col("seen"))
+        .when(absorbs, F.col(f"next.`{VALID_TO}`"))
+        .when(follows, F.col(f"next.`{VALID_FROM}`"))
+    )
+    cut = F.when(old.isNotNull() & (F.col(f"old.`{VALID_FROM}`") < at), old.withField(VALID_TO, at))
+    again = {VALID_FROM: F.col("seen"), VALID_TO: F.col(f"old.`{VALID_TO}`")}
+    again = [again.get(c, F.col(f"sighting.`{c}`")).alias(c) for c in names]
+    resumed = F.when(resumes, F.struct(*again))
+    reopened = (F.col(f"old.`{VALID_FROM}`") == at) & F.col(f"old.`{VALID_TO}`").isNotNull() & end.isNull()
+    kept = F.lit(None).cast("boolean")
+    rows = F.array(
+        F.struct(row.withField(VALID_TO, end).alias("r"), kept.alias("gone")),
+        F.struct(cut.alias("r"), kept.alias("gone")),
+        F.struct(resumed.alias("r"), kept.alias("gone")),
+        F.struct(F.when(absorbs, following).alias("r"), F.lit(True).alias("gone")),
+        # Replaced by an open version, which is kept elsewhere.
+        F.struct(F.when(reopened, old).alias("r"), F.lit(True).alias("gone")),
+    )
+    changed = joined.filter(old.isNull() | differs(check_cols))
+    each = changed.select(F.explode(rows).alias("e")).filter("e.r IS NOT NULL")
+    return each.select("e.r.*", F.col("e.gone").alias("__gone"))
+
+
 def dimension_increment(history: DataFrame, mark=None) -> DataFrame:
     """Versions opened after the mark, or closed after it; all without a mark."""
     if mark is None:
         return history
     mark = _timestamp(mark)
-    floor = F.coalesce(mark, _timestamp(HISTORY_START))
-    return history.filter((F.col(VALID_FROM) > mark) | (F.col(VALID_TO) > floor))
+    return history.filter((F.col(VALID_FROM) > mark) | (F.col(VALID_TO) > mark))
 
 
 def closed_end() -> Column:

@@ -13,7 +13,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.constants import EMITTED_AT, VALID_FROM
+from tidemart.constants import EMITTED_AT
 from tidemart.operators.report import quality_report
 from tidemart.operators.skew import hot_keys
 from tidemart.operators.small import fits_broadcast
@@ -32,7 +32,7 @@ class Warehouse:
     bronze: str
     root: str
     city_list: str
-    # Buckets of each keyed table; by default as many as its first load needs.
+    # Files of a run that holds a whole table; by default as many as Spark finds right.
     buckets: int | None = None
     # Upsert keys that can be chosen: a sales fact by ``order_id`` alone refuses
     # orders with several lines; (review_id, order_id) keeps every review.
@@ -50,7 +50,8 @@ class Warehouse:
 
     def snapshot(self, table: str, key: str, check: Sequence[str]) -> SnapshotTable:
         path = self._path("SILVER", table)
-        return SnapshotTable(self.spark, path, key, check, self.buckets)
+        # Runs come in the order of their times.
+        return SnapshotTable(self.spark, path, key, check, self.buckets, any_order=False)
 
     def log(self, table: str, since: datetime | None = None) -> DataFrame:
         return read_bronze(self.spark, self.bronze, table, since)
@@ -155,13 +156,15 @@ def build_gold(w: Warehouse, t: dict[str, DataFrame]) -> dict[str, DataFrame]:
         table.upsert(rows, unique=whole_key)
         g[name] = _current(table, rows)
 
-    for name, model, source, keys in [
-        ("dim_customer", gold.dim_customer, "customers_snapshot", gold.CUSTOMER_DIM_KEY),
-        ("dim_seller", gold.dim_seller, "sellers_snapshot", gold.SELLER_DIM_KEY),
+    for name, model, source, snapshot, keys in [
+        ("dim_customer", gold.dim_customer, "customers_snapshot", silver.CUSTOMER_SNAPSHOT, gold.CUSTOMER_DIM_KEY),
+        ("dim_seller", gold.dim_seller, "sellers_snapshot", silver.SELLER_SNAPSHOT, gold.SELLER_DIM_KEY),
     ]:
         table = w.keyed("GOLD", name, keys)
-        rows = model(t[source], table.watermark(VALID_FROM))
-        table.upsert(rows, unique=True)
+        # Runs come in the order of their times, so no version is ever taken back.
+        version, rows, _ = w.snapshot(source, *snapshot).changes(table.property("history"))
+        rows = model(t[source].limit(0) if rows is None else rows)
+        table.upsert(rows, unique=True, properties={"history": version})
         g[name] = _current(table, rows)
 
     for name, rows in [

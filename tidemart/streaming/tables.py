@@ -45,9 +45,8 @@ def stream_snapshot(
     """Version history of the keys, one step per micro-batch.
 
     New versions are valid from the newest ``order_by`` of their batch. A
-    repeated batch finds its own versions open and unchanged. A batch that is
-    older than an open version it would close stops the stream with ``LateBatch``
-    and changes nothing, since its place is in the closed history.
+    repeated batch finds its own versions unchanged. A batch that is older than
+    earlier ones is put in its place among the versions of its keys.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
