@@ -326,7 +326,7 @@ def seller_table(spark, d) -> SnapshotTable:
         F.col("l_shipdate").alias("seen_at"),
     )
     key, check = silver.SELLER_SNAPSHOT
-    history = SnapshotTable(spark, new_folder(spark, "sellers"), key, check)
+    history = SnapshotTable(spark, new_folder(spark, "sellers"), key, check, any_order=False)
     for batch, t in batches(log, key):
         history.apply(batch, t)
     return history

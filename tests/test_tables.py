@@ -78,10 +78,10 @@ def test_runs_are_merged_by_tiers(spark, rows, home, monkeypatch):
     assert len(got) == 1009 and (0, "b", 9) in got and (4, "b", 4) in got
     # Much in proportion to the table: one run again, in as many files as asked for.
     t.buckets = 3
-    t.upsert(frame(spark, *[(k, "c", 99) for k in range(400)]))
+    t.upsert(frame(spark, *[(k, "c", 99) for k in range(1000)]))
     assert [r.rows for r in committed(t)] == [1009]
     assert len(t.read().inputFiles()) == 3
-    assert t.read().filter("s = 'c'").count() == 400
+    assert t.read().filter("s = 'c'").count() == 1000
 
 
 def test_deleted_keys_stay_away(spark, rows, home, monkeypatch):

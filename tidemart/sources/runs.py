@@ -20,6 +20,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    AtomicType,
+    BinaryType,
     BooleanType,
     DataType,
     DateType,
@@ -27,6 +29,7 @@ from pyspark.sql.types import (
     FractionalType,
     IntegralType,
     NumericType,
+    StringType,
     StructField,
     StructType,
     TimestampNTZType,
@@ -42,7 +45,7 @@ SEEN = "__seen"
 _RUN = "__run"
 #: Runs of one tier that are merged, the rows that the smallest tier holds, and the
 #: share of the oldest run beyond which newer ones are merged into it.
-FAN, SMALLEST, SHARE = 4, 10_000, 0.25
+FAN, SMALLEST, SHARE = 4, 10_000, 1.0
 #: Manifests that are kept, so that no writer can be so late that its number is free.
 MANIFESTS = 1000
 
@@ -145,7 +148,8 @@ class Store:
         tracked = [f for f in kept if _tracked(f.dataType)]
         bytes_ = F.lit(8 * len(rows.columns))
         for f in kept:
-            if not isinstance(f.dataType, NumericType | BooleanType):
+            # Eight bytes hold a number or a time; texts and nested values are measured.
+            if not isinstance(f.dataType, AtomicType) or isinstance(f.dataType, StringType | BinaryType):
                 text = F.octet_length(_quoted(f.name).cast("string"))
                 bytes_ = bytes_ + F.coalesce(text, F.lit(0))
         wanted = [F.count(F.lit(1)).alias("n"), F.sum(bytes_.cast("bigint")).alias("size")]
@@ -280,7 +284,7 @@ def due(runs: Sequence[Run], whole: bool = True) -> list[Run]:
     """
     newer = runs[1:]
     rows = sum(r.rows for r in newer)
-    if whole and rows > SMALLEST * FAN and rows > SHARE * runs[0].rows:
+    if whole and len(newer) > 1 and rows > SMALLEST * FAN and rows > SHARE * runs[0].rows:
         return list(runs)
     last = _tier(runs[-1]) if runs else 0
     same = []
