@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from suite.common import Registry, table
+from suite.star import star
 from tidemart.operators import quality as q
 from tidemart.operators.report import (
     RowCheck,
@@ -14,6 +15,7 @@ from tidemart.operators.report import (
     sum_of,
     unique_combination_check,
 )
+from tidemart.plans.checks import GOLD_CHECKS, SILVER_CHECKS
 
 quality = Registry()
 
@@ -465,3 +467,66 @@ def quality_summary(spark, d):
         "balance.range": Threshold(error_above=1_000_000_000),
     }
     return quality_report(tables, checks, thresholds)
+
+
+# The declared checks, over the tables of the star schema.
+SILVER_TABLES = {
+    "orders_silver": "orders_conformed",
+    "orders_items_silver": "order_items_conformed",
+    "order_payments_silver": "payments_conformed",
+    "order_reviews_silver": "reviews_conformed",
+    "product_silver": "product_dim",
+    "geolocation_silver": "geo_centroid",
+}
+GOLD_TABLES = {
+    "dim_customer": "dim_customer",
+    "dim_seller": "dim_seller",
+    "dim_product": "product_dim",
+    "dim_date": "dim_date_activity",
+    "dim_order_attribute": "order_attribute_dim",
+    "dim_feedback_profile": "feedback_profile",
+    "dim_geolocation": "dim_geolocation",
+    "fact_sales": "fact_sales",
+    "fact_payment": "fact_payment",
+    "fact_reviews": "fact_reviews",
+}
+
+
+def _check_sql(check) -> str:
+    """A check as a query of its own, by what its name says."""
+    t, rule = check.table, check.name.split(".")[-1]
+    names = ", ".join(getattr(check, "columns", ())) or check.name.split(".")[1]
+    rows = {
+        "not_null": f"{t} WHERE {names} IS NULL",
+        "accepted_range": f"{t} WHERE {names} < 0",
+        "unique": f"(SELECT {names} FROM {t} WHERE {names} IS NOT NULL GROUP BY ALL HAVING count(*) > 1)",
+        "unique_combination": f"(SELECT {names} FROM {t} GROUP BY ALL HAVING count(*) > 1)",
+        "delivery_after_purchase": f"{t} WHERE order_delivered_customer_date < order_purchase_timestamp",
+        "answer_after_creation": f"{t} WHERE review_answer_timestamp < review_creation_date",
+    }
+    if rule == "accepted_values":
+        listed = ", ".join(repr(v) for v in check.accepted)
+        rows[rule] = f"(SELECT DISTINCT {names} FROM {t} WHERE {names} NOT IN ({listed}))"
+    if rule in ("relationships", "orders_exist"):
+        null = "TRUE" if rule == "orders_exist" else f"c.{names} IS NOT NULL"
+        rows[rule] = f"{t} c ANTI JOIN {check.to} p ON c.{names} = p.{check.field} WHERE {null}"
+    return f"SELECT '{check.name}' AS check_name, count(*) AS failures FROM {rows[rule]}"
+
+
+DELIVERED = "order_purchase_timestamp + to_days(CAST(order_id % 9 - 1 AS INT))"
+DECLARED = f"""
+WITH {", ".join(
+    f"{t} AS ({star.sql[name]})" for t, name in (SILVER_TABLES | GOLD_TABLES).items() if t != "orders_silver"
+)}, orders_silver AS (SELECT *, {DELIVERED} AS order_delivered_customer_date FROM ({star.sql["orders_conformed"]}))
+SELECT check_name, failures, CASE WHEN failures > 0 THEN 'error' ELSE 'pass' END AS status,
+       failures = 0 AS passed
+FROM ({" UNION ALL ".join(_check_sql(c) for c in [*SILVER_CHECKS, *GOLD_CHECKS])})"""
+
+
+@quality.add(DECLARED)
+def declared_checks(spark, d):
+    """All declared checks of the conformed tables and the star schema, in shared scans."""
+    tables = {t: star.queries[name](spark, d) for t, name in (SILVER_TABLES | GOLD_TABLES).items()}
+    delivered = F.expr("order_purchase_timestamp + make_dt_interval(order_id % 9 - 1)")
+    tables["orders_silver"] = tables["orders_silver"].withColumn("order_delivered_customer_date", delivered)
+    return quality_report(tables, [*SILVER_CHECKS, *GOLD_CHECKS])

@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemart.operators import quality as q
+from tidemart.operators import report as r
 from tidemart.operators.report import RowCheck, Threshold, quality_report
 
 
@@ -254,3 +255,40 @@ def test_sequence_agrees_with_brute_force(spark, values, step):
         want += [(g, b, a) for a, b in zip(ordered, ordered[1:]) if b != a + step]
     got = q.sequential_values(t, "n", step, group_by=["g"])
     assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+
+
+def test_declared_checks_share_their_scans(spark, tmp_path):
+    child = [(1, 10, "x", 0.0), (1, 10, "x", -0.0), (2, None, "y", 1.0), (3, 30, None, 2.0), (None, 40, "z", None)]
+    spark.createDataFrame(child, "id int, up int, code string, x double").write.parquet(f"{tmp_path}/child")
+    parent = [(10, "a"), (30, "b"), (None, "c")]
+    spark.createDataFrame(parent, "key bigint, name string").write.parquet(f"{tmp_path}/parent")
+    t = {n: spark.read.parquet(f"{tmp_path}/{n}") for n in ("child", "parent")}
+    checks = [
+        *r.not_null_checks("child", "id", "up", "x"),
+        r.accepted_range_check("child", "x", 1),
+        r.row_check("child", "odd", "id % 2 = 1"),
+        r.unique_check("child", "id"),
+        r.unique_check("child", "x"),
+        r.unique_combination_check("child", "id", "up"),
+        r.unique_check("parent", "key"),
+        r.accepted_values_check("child", "code", ["x"]),
+        r.relationships_check("child", "up", "parent", "key"),
+        r.present_check("child", "has_parent", "up", "parent", "key"),
+    ]
+    report = quality_report(t, checks)
+    got = {row.check_name: row.failures for row in report.collect()}
+    assert got == {
+        "child.id.not_null": 1, "child.up.not_null": 1, "child.x.not_null": 1, "child.x.accepted_range": 2,
+        "child.odd": 3, "child.id.unique": 1, "child.x.unique": 1, "child.id_up.unique_combination": 1,
+        "parent.key.unique": 0, "child.code.accepted_values": 2, "child.up.relationships": 1, "child.has_parent": 2,
+    }
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[0].count("FileScan parquet") == 2
+    for c in checks:
+        if isinstance(c, r.KeyCheck):
+            assert c.violations(t).count() == got[c.name], c.name
+    # Texts of different kinds of numbers differ: such a key is looked up on its own.
+    mixed = r.relationships_check("child", "x", "parent", "key")
+    assert [row.failures for row in quality_report(t, [mixed, checks[0]]).collect()] == [4, 1]
+    empty = {n: df.limit(0) for n, df in t.items()}
+    assert {row.failures for row in quality_report(empty, checks).collect()} == {0}

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from tidemart.operators import quality as q
 from tidemart.operators.report import (
-    TableCheck,
     accepted_range_check,
     accepted_values_check,
     not_null_checks,
+    present_check,
     relationships_check,
+    row_check,
     unique_check,
     unique_combination_check,
 )
@@ -59,13 +59,15 @@ SILVER_CHECKS = [
         "standardized_city",
         "standardized_state_code",
     ),
-    TableCheck(
-        "orders_silver.delivery_after_purchase",
-        lambda t: q.delivered_before_purchase(t["orders_silver"]),
+    row_check(
+        "orders_silver",
+        "delivery_after_purchase",
+        "order_delivered_customer_date < order_purchase_timestamp",
     ),
-    TableCheck(
-        "order_reviews_silver.answer_after_creation",
-        lambda t: q.answered_before_creation(t["order_reviews_silver"]),
+    row_check(
+        "order_reviews_silver",
+        "answer_after_creation",
+        "review_answer_timestamp < review_creation_date",
     ),
 ]
 
@@ -89,10 +91,7 @@ GOLD_CHECKS = [
     relationships_check("fact_sales", "product_id", "dim_product", "product_id"),
     accepted_range_check("fact_sales", "price", 0),
     unique_combination_check("fact_sales", "order_id", "order_item_id"),
-    TableCheck(
-        "fact_sales.orders_exist",
-        lambda t: q.sales_without_order(t["fact_sales"], t["orders_silver"]),
-    ),
+    present_check("fact_sales", "orders_exist", "order_id", "orders_silver", "order_id"),
     *not_null_checks("fact_payment", "order_id", "attribute_id"),
     relationships_check(
         "fact_payment", "attribute_id", "dim_order_attribute", "attribute_id"
