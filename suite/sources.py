@@ -337,6 +337,37 @@ def src_seed(spark, d):
     return orders.join(seed, same).select("o_orderkey", "State", "ID_IBGE")
 
 
+@sources.add(
+    """SELECT c_custkey, c_name AS customer, split_part(c_name, '#', 2) AS number,
+              CASE WHEN c_acctbal < 0 THEN 'debt' ELSE 'credit' END AS side
+       FROM customer WHERE c_mktsegment <> 'BUILDING'"""
+)
+def src_staged_view(spark, d):
+    """A catalog view over two locations: alias, expression, partition of the path, bad rows left out."""
+    path = new_folder(spark, "staged")
+    key = F.when(F.col("c_mktsegment") == "BUILDING", F.lit("none"))
+    rows = _customer(spark, d).withColumn("c_custkey", F.coalesce(key, F.col("c_custkey").cast("string")))
+    for side, chosen in (("debt", F.col("c_acctbal") < 0), ("credit", F.col("c_acctbal") >= 0)):
+        rows.filter(chosen).select("c_custkey", "c_name").write.csv(f"{path}/{side}", header=True)
+    spec = FileSource(
+        "staged",
+        "v_" + path.rsplit("-", 1)[1],
+        [f"{path}/debt", f"{path}/credit"],
+        "csv",
+        [
+            FileColumn("c_custkey", "bigint"),
+            FileColumn("c_name", alias="customer"),
+            FileColumn("number", expression="split_part(c_name, '#', 2)"),
+        ],
+        [FilePartition("side", "string", "element_at(split(filename, '/'), -2)")],
+        options=HEADER,
+        on_error="skip",
+    )
+    _database(spark, "staged")
+    stage(spark, [spec], full_refresh=True)
+    return spark.table(f"staged.{spec.name}")
+
+
 @sources.add("SELECT * FROM customer")
 def src_catalog_refresh(spark, d):
     """A catalog table that sees files and partitions added after it was made."""

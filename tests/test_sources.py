@@ -159,19 +159,76 @@ def test_text_between_json_objects_is_an_error(spark, tmp_path):
         load(spark, replace(spec, on_error="fail")).collect()
 
 
+@pytest.fixture(scope="module")
+def raw_files(spark, tmp_path_factory):
+    """The same few rows as CSV, JSON lines and Parquet, in folders by kind and day."""
+    home = tmp_path_factory.mktemp("raw")
+    for kind, day, lines in [
+        ("a", "2024-05-01", [("1", "one", "x"), ("2", "null", "Null"), ("no", "three", "z")]),
+        ("b", "2024-05-02", [("4", "fo'ur", "w"), ("5", "", "v")]),
+    ]:
+        for name, text in [
+            (f"{day}.csv", "".join(f"{n},{word},{tag}\n" for n, word, tag in lines)),
+            (f"{day}.json", "".join(json.dumps({"n": n, "word": w, "tag": t}) + "\n" for n, w, t in lines) + "\n{bad\n"),
+        ]:
+            folder = home / name.split(".")[1] / f"kind={kind}"
+            folder.mkdir(parents=True)
+            (folder / name).write_text(text)
+        rows = spark.createDataFrame([(n, w, t) for n, w, t in lines], "N string, Word string, tag string")
+        rows.coalesce(1).write.parquet(str(home / "parquet" / f"kind={kind}"))
+    return str(home)
+
+
+WORDS = (FileColumn("n", "int"), FileColumn("word", "string", alias="text"), FileColumn("tag"))
+COMPUTED = (FilePartition("day", "date", r"regexp_extract(filename, '([0-9]{4}-[0-9]{2}-[0-9]{2})', 1)"),)
+
+
 @pytest.mark.parametrize(
-    "changed",
+    "name, declared",
     [
-        {"location": ["/a", "/b"]},
-        {"columns": (FileColumn("a", "int", alias="b"),)},
-        {"columns": (FileColumn("a", "int", expression="1"),)},
-        {"pattern": "x"},
-        {"on_error": "skip"},
-        {"json_layout": "objects"},
+        ("uris", {"location": ["kind=a", "kind=b"], "columns": WORDS, "partitions": COMPUTED}),
+        ("files", {"location": ["kind=a/2024-05-01.csv", "kind=b/2024-05-02.csv"], "columns": WORDS}),
+        ("expression", {"columns": (*WORDS, FileColumn("twice", "string", expression="concat(word, '\\'', n)"))}),
+        ("skipped", {"columns": WORDS, "on_error": "skip", "location": ["kind=a", "kind=b"]}),
+        ("pattern", {"columns": WORDS, "pattern": r".*kind=b.*[.]csv$"}),
+        ("glob", {"columns": WORDS, "glob": "*.c*", "location": ["kind=b"]}),
+        ("json", {"format": "json", "columns": WORDS, "partitions": COMPUTED, "location": ["kind=a", "kind=b"]}),
+        ("json_skipped", {"format": "json", "columns": WORDS, "on_error": "skip"}),
+        ("variants", {"format": "json", "partitions": COMPUTED, "location": ["kind=a", "kind=b"]}),
+        ("inferred", {"format": "parquet", "infer_schema": True, "pattern": ".*"}),
+        ("any_case", {"format": "parquet", "columns": WORDS, "ignore_case": True, "partitions": (FilePartition("kind"),)}),
+        ("stored", {"columns": WORDS[:1], "location": ["kind=a"], "on_error": "fail", "pattern": "nothing"}),
     ],
 )
-def test_stage_refuses_what_a_table_cannot_do(spark, changed):
-    spec = replace(FileSource("e", "t", "/a", "json", (FileColumn("a", "int"),)), **changed)
+def test_staged_sources_read_as_loaded(spark, raw_files, rows, name, declared):
+    declared = {"location": [""], "format": "csv", **declared}
+    kind = declared["format"]
+    declared["location"] = [f"{raw_files}/{kind}/{x}".rstrip("/") for x in declared["location"]]
+    spec = FileSource("views", name, **declared)
+    expected = load(spark, spec)
+    assert stage(spark, [spec]) == {f"views.{name}": "created"}
+    staged = spark.table(f"views.{name}")
+    assert staged.dtypes == expected.dtypes
+    text = lambda df: rows(df.select(*[F.col(c).cast("string") for c in df.columns]))
+    assert text(staged) == text(expected) and (name == "stored" or len(text(staged)) > 1)
+    assert stage(spark, [spec]) == {f"views.{name}": "refreshed"}
+
+
+def test_staged_views_see_new_files_and_change_with_their_declaration(spark, tmp_path, rows):
+    (tmp_path / "1.csv").write_text("1,a\n")
+    spec = FileSource("views", "grows", str(tmp_path), "csv", (FileColumn("n", "int", alias="k"), FileColumn("w")))
+    stage(spark, [spec])
+    (tmp_path / "2.csv").write_text("2,b\n")
+    stage(spark, [spec])
+    assert rows(spark.table("views.grows")) == [(1, "a"), (2, "b")]
+    plain = replace(spec, columns=(FileColumn("n", "int"), FileColumn("w")))
+    for declared, name in ((plain, "n"), (spec, "k")):
+        assert stage(spark, [declared], full_refresh=True) == {"views.grows": "created"}
+        assert spark.table("views.grows").columns == [name, "w"]
+
+
+def test_objects_back_to_back_are_not_staged(spark):
+    spec = FileSource("views", "objects", "/a", "json", (FileColumn("a", "int"),), json_layout="objects")
     with pytest.raises(ValueError, match="cannot be staged"):
         stage(spark, [spec])
 

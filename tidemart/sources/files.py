@@ -105,7 +105,7 @@ def _scan(spec: FileSource, reader, streaming: bool) -> DataFrame:
     return reader.load(spec.paths[0])
 
 
-def _declared(spec: FileSource) -> list[str]:
+def declared_names(spec: FileSource) -> list[str]:
     """Raw columns of a text format, in file order."""
     return [c.name for c in spec.columns if c.expression is None]
 
@@ -116,7 +116,7 @@ def raw_rows(
     """Rows as stored: text columns for CSV and JSON, file types for Parquet."""
     reader = _reader(spark, spec, streaming)
     if spec.format == "csv":
-        names = _declared(spec)
+        names = declared_names(spec)
         if not names:
             return _scan(spec, reader.format("csv"), streaming)
         schema = _text_schema([*names, CORRUPT])
@@ -144,10 +144,12 @@ def _objects(doc: Column) -> Column:
 
     The break took the closing brace of one record and the opening one of the
     next; they are put back. Text before or after the braces makes its record
-    malformed, so that ``on_error`` decides about it.
+    malformed, so that ``on_error`` decides about it. Strings are only told apart
+    in a piece with a closing brace, which may be its own, a nested one, or text.
     """
-    trimmed = F.regexp_replace(doc, r"^\s+|\s+$", "")
+    trimmed = F.btrim(doc, F.lit(" \t\n\x0b\f\r"))
     opened = F.when(trimmed.startswith("{"), trimmed).otherwise(F.concat(F.lit("{"), trimmed))
+    doubtful = opened.contains("}")
     bare = F.regexp_replace(opened, _STRING, "")
     braces = lambda b: F.length(F.regexp_replace(bare, rf"[^{b}]", ""))
     whole = F.when(braces("{") > braces("}"), F.concat(opened, F.lit("}"))).otherwise(opened)
@@ -156,7 +158,11 @@ def _objects(doc: Column) -> Column:
     parts = F.when(bare.rlike(r"\}\s*\{"), parts).otherwise(F.array(whole))
     clean = F.transform(parts, lambda x: F.regexp_replace(x, _MARK, ""))
     sound = lambda x: F.when(x.endswith("}"), x).otherwise(F.concat(F.lit("{"), x))
-    return F.when(trimmed == "", F.array()).otherwise(F.transform(clean, sound))
+    return (
+        F.when(trimmed == "", F.array())
+        .when(~doubtful, F.array(F.concat(opened, F.lit("}"))))
+        .otherwise(F.transform(clean, sound))
+    )
 
 
 def _json_rows(spec: FileSource, reader, streaming: bool) -> DataFrame:
@@ -168,7 +174,7 @@ def _json_rows(spec: FileSource, reader, streaming: bool) -> DataFrame:
         doc = F.col("value")
         lines = lines.withColumn("value", F.explode(_objects(doc)))
     lines = lines.filter(F.trim("value") != "")
-    names = _declared(spec)
+    names = declared_names(spec)
     if not names:
         return lines
     mode = "FAILFAST" if spec.on_error == "fail" else "PERMISSIVE"
