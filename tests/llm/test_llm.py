@@ -305,38 +305,71 @@ def test_moved_passages_are_found(spark, nothing):
     for i in range(2, 9):
         lines = texts[i].split("\n")
         gone = sum(c.length for c in found[i].removed)
-        assert gone >= 4 and all(set(lines[c.start : c.start + c.length]) <= set(passage) for c in found[i].removed)
+        assert gone >= 10 and all(set(lines[c.start : c.start + c.length]) <= set(passage) for c in found[i].removed)
         assert len(found[i].text.split("\n")) == len(lines) - gone
     assert line_dedup.remove_repeated_chunks(nothing).count() == 0
 
 
-@pytest.mark.parametrize("size", [1, 2, 3])
-def test_planted_short_passages(spark, size):
-    """What the rule of the SQL finds of them, by an own recount: nothing of single lines, little of the others."""
+def planted_passages(size, words, n=300):
+    """Passages in two documents each, between lines of their own."""
     rng, rows, planted = random.Random(9), [], {}
-    line = lambda: f"{rng.random()} " + "word " * 60
-    for i in range(0, 300, 2):
+    line = lambda: f"{rng.random()} " + "word " * words
+    for i in range(0, n, 2):
         passage = [line() for _ in range(size)]
         for doc in (i, i + 1):
             before = [line() for _ in range(rng.randint(2, 6))]
             rows.append((doc, "\n".join(before + passage + [line() for _ in range(4)])))
             planted[doc] = range(len(before), len(before) + size)
-    want, seen = {}, set()
-    for doc, text in rows:
-        lines, start, want[doc] = text.split("\n"), 0, set()
-        h = [0] + [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in lines]
-        for i in range(len(lines)):
-            if i == len(lines) - 1 or (h[i] % 1_000_003 * 257 + h[i + 1]) % 1_000_003 % 3 == 0:
-                chunk = tuple(lines[start : i + 1])
-                want[doc] |= set(range(start, i + 1)) if len(chunk) > 1 and chunk in seen else set()
-                seen.add(chunk)
-                start = i + 1
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    found = {r.doc_id: {c.start + k for c in r.removed for k in range(c.length)}
-             for r in line_dedup.remove_repeated_chunks(docs).collect()}
-    assert found == want
-    assert all(gone <= set(planted[doc]) and (doc % 2 or not gone) for doc, gone in found.items())
-    assert sum(map(len, found.values())) <= (0 if size == 1 else 0.2 * 150 * size)
+    return rows, planted
+
+
+def removed_lines(docs):
+    found = line_dedup.remove_repeated_chunks(docs).collect()
+    return {r.doc_id: sorted(c.start + k for c in r.removed for k in range(c.length)) for r in found}
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7])
+def test_planted_long_lines_are_all_found(spark, size):
+    rows, planted = planted_passages(size, 51)
+    found = removed_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert found == {doc: sorted(lines) if doc % 2 else [] for doc, lines in planted.items()}
+
+
+@pytest.mark.parametrize("size, least", [(2, 0), (3, 0.2), (6, 0.75), (12, 0.95)])
+def test_planted_short_lines_grow_to_the_whole_passage(spark, size, least):
+    rows, planted = planted_passages(size, 10)
+    found = removed_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert all(set(lines) <= set(planted[doc]) and (doc % 2 or not lines) for doc, lines in found.items())
+    assert sum(map(len, found.values())) >= least * 150 * size
+
+
+def test_growth_stops_at_repeated_chunks_and_keeps_what_stays(spark):
+    long = lambda c: c * 250
+    a, b, c = long("a"), long("b"), long("c")
+    rows = [
+        (1, f"x\n{a}\ny\n{b}\nz"),
+        (2, f"q\n{a}\ny\n{c}\nz"),  # y grows to the right of a
+        (3, f"x\n{a}\n{a}\ny"),  # twice in one text; x grows to the left, y to the right
+        (3, f"x\n{a}\n{a}\ny"),
+        (4, f"{b}"),
+        (5, "y\nz"),
+        (6, f"one text\n{a}"),
+        (6, f"two texts\n{a}\nof one id"),
+        (None, f"{a}"),
+    ]
+    found = line_dedup.remove_repeated_chunks(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = sorted((r.doc_id or 0, r.text) for r in found.collect())
+    assert got == [
+        (0, a), (1, rows[0][1]), (2, f"q\n{c}\nz"), (3, ""), (3, ""), (4, ""), (5, "y\nz"),
+        (6, "one text"), (6, "two texts\nof one id"),
+    ]
+
+
+def test_line_chunks_of_edge_cases(edges, nothing):
+    extra = edges.withColumns({x: F.lit("!") for x in ("lines", "chunks", "digests", "parts", "verdicts", "version", "start", "print")})
+    found = line_dedup.remove_repeated_chunks(extra).collect()
+    assert sorted(((r.doc_id, r.text) for r in found), key=repr) == sorted(EDGES[:-4] + EDGES[-4:], key=repr)
+    assert line_dedup.remove_repeated_chunks(nothing).count() == 0
 
 
 PAGE = (

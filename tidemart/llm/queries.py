@@ -167,23 +167,53 @@ WITH l AS (
   SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
 ), h AS (
   SELECT *, list_transform(lines, lambda x: CAST('0x' || substr(md5(x), 1, 7) AS BIGINT)) AS h FROM l
-), e AS (
-  SELECT *, list_filter(range(0, len(lines)), lambda i: i = len(lines) - 1
-    OR ((CASE WHEN i >= 1 THEN h[i] ELSE 0 END % 1000003 * 257 + h[i + 1]) % 1000003) % 3 = 0) AS ends
+), s AS (
+  SELECT *, list_filter(range(0, len(lines)), lambda i: i = 0 OR length(lines[i + 1]) >= 200 OR length(lines[i]) >= 200
+    OR ((h[i + 1] % 1000003 * 257 + coalesce(h[i + 2], 0)) % 1000003) % 2 = 0) AS starts
   FROM h
 ), c AS (
-  SELECT doc_id, unnest(range(1, len(ends) + 1)) AS k, ends, lines FROM e
+  SELECT doc_id, lines, unnest(range(1, len(starts) + 1)) AS k, starts FROM s
 ), chunks AS (
-  SELECT doc_id, k, s AS start, ends[k] - s + 1 AS length, array_to_string(lines[s + 1:ends[k] + 1], chr(10)) AS bytes
-  FROM (SELECT *, CASE WHEN k = 1 THEN 0 ELSE ends[k - 1] + 1 END AS s FROM c)
+  SELECT doc_id, k, starts[k] AS start, coalesce(starts[k + 1], len(lines)) - starts[k] AS length,
+    lines[starts[k] + 1:coalesce(starts[k + 1], len(lines))] AS part
+  FROM c
 ), judged AS (
-  SELECT *, length > 1 AND row_number() OVER (PARTITION BY length > 1, bytes ORDER BY doc_id, start) > 1 AS gone
-  FROM chunks
+  SELECT *, row_number() OVER same AS place, count(*) OVER (PARTITION BY wanted, bytes) AS n,
+    first_value(doc_id) OVER same AS first_doc, first_value(k) OVER same AS first_k
+  FROM (SELECT *, length > 1 OR length(part[1]) >= 200 AS counts, length > 1 OR length(part[1]) >= 40 AS wanted,
+               array_to_string(part, chr(10)) AS bytes FROM chunks)
+  WINDOW same AS (PARTITION BY wanted, bytes ORDER BY doc_id, start)
+), beside AS (
+  SELECT j.doc_id, j.k, coalesce(x.part, []) AS lines_before, coalesce(y.part, []) AS lines_after
+  FROM judged j LEFT JOIN judged x ON x.doc_id = j.doc_id AND x.k = j.k - 1
+  LEFT JOIN judged y ON y.doc_id = j.doc_id AND y.k = j.k + 1
+), reach AS (
+  SELECT j.doc_id, j.k, j.counts,
+    list_min(list_filter(range(0, least(len(a.lines_after), len(b.lines_after)) + 1), lambda i:
+      i = least(len(a.lines_after), len(b.lines_after)) OR a.lines_after[i + 1] <> b.lines_after[i + 1])) AS after,
+    list_min(list_filter(range(0, least(len(a.lines_before), len(b.lines_before)) + 1), lambda i:
+      i = least(len(a.lines_before), len(b.lines_before))
+      OR a.lines_before[len(a.lines_before) - i] <> b.lines_before[len(b.lines_before) - i])) AS before
+  FROM judged j JOIN beside a ON a.doc_id = j.doc_id AND a.k = j.k
+  JOIN beside b ON b.doc_id = j.first_doc AND b.k = j.first_k
+  WHERE j.wanted AND j.place > 1
+), grown AS (SELECT * FROM reach WHERE counts OR before + after > 0),
+ends AS (
+  SELECT j.*, CASE WHEN own.k IS NOT NULL THEN length WHEN j.counts AND n > 1 THEN 0
+      ELSE least(length, coalesce(x.after, 0)) END AS front,
+    CASE WHEN own.k IS NOT NULL OR j.counts AND n > 1 THEN 0 ELSE coalesce(y.before, 0) END AS tail
+  FROM judged j LEFT JOIN grown own ON own.doc_id = j.doc_id AND own.k = j.k
+  LEFT JOIN grown x ON x.doc_id = j.doc_id AND x.k = j.k - 1
+  LEFT JOIN grown y ON y.doc_id = j.doc_id AND y.k = j.k + 1
+), left_over AS (
+  SELECT doc_id, k, start, front, least(tail, length - front) AS back, length,
+    part[front + 1:length - least(tail, length - front)] AS rest
+  FROM ends
 )
 SELECT doc_id, CAST(any_value(n) AS INTEGER) AS n_lines, CAST(count(*) AS INTEGER) AS n_chunks,
-       CAST(coalesce(sum(length) FILTER (gone), 0) AS BIGINT) AS removed_lines,
-       sha256(coalesce(string_agg(bytes, chr(10) ORDER BY start) FILTER (NOT gone), '')) AS text_sha256
-FROM judged JOIN (SELECT doc_id, len(lines) AS n FROM l) USING (doc_id)
+       CAST(sum(front + back) AS BIGINT) AS removed_lines,
+       sha256(coalesce(string_agg(array_to_string(rest, chr(10)), chr(10) ORDER BY start) FILTER (len(rest) > 0), '')) AS text_sha256
+FROM left_over JOIN (SELECT doc_id, len(lines) AS n FROM l) USING (doc_id)
 GROUP BY doc_id
 """
 )
