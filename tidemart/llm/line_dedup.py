@@ -34,22 +34,33 @@ def _rolling(digests: Column, i: Column, window: int) -> Column:
     return value
 
 
-def _chunks(lines: Column, digests: Column, window: int, divisor: int) -> Column:
-    """``start, length, counts`` of the chunks, in lines from 0."""
-    is_long = lambda i: F.length(F.get(lines, i)) >= LONG
+def _with_chunks(texts: DataFrame, window: int, divisor: int) -> DataFrame:
+    """Adds ``lines``, their ``digests``, and ``chunks``: ``start, length, counts`` from 0."""
+    is_long = lambda i: F.length(F.get("lines", i)) >= LONG
     starts = F.filter(
-        F.sequence(F.lit(0), F.size(lines) - 1),
-        lambda i: (i == 0) | is_long(i) | is_long(i - 1) | (_rolling(digests, i, window) % divisor == 0),
+        F.sequence(F.lit(0), F.size("lines") - 1),
+        lambda i: (i == 0)
+        | is_long(i)
+        | is_long(i - 1)
+        | (_rolling(F.col("digests"), i, window) % divisor == 0),
     )
-    ends = F.concat(F.slice(starts, 2, F.greatest(F.size(starts) - 1, F.lit(0))), F.array(F.size(lines)))
-    return F.transform(
-        starts,
-        lambda s, k: F.struct(
-            s.alias("start"),
-            (F.get(ends, k) - s).alias("length"),
-            ((F.get(ends, k) - s > 1) | is_long(s)).alias("counts"),
+    # Columns of their own: inside a lambda they would be made anew for every chunk.
+    ends = F.concat(F.array_except("starts", F.array(F.lit(0))), F.array(F.size("lines")))
+    chunks = F.zip_with(
+        "starts",
+        "ends",
+        lambda s, e: F.struct(
+            s.alias("start"), (e - s).alias("length"), ((e - s > 1) | is_long(s)).alias("counts")
         ),
     )
+    return (
+        texts.withColumn("lines", F.split(F.coalesce("text", F.lit("")), "\n", -1))
+        .withColumn("digests", F.transform("lines", F.md5))
+        .withColumn("starts", starts)
+        .withColumn("ends", ends)
+        .withColumn("chunks", chunks)
+        .drop("starts", "ends")
+    )
 
 
 def _part(lines: Column, chunk: Column) -> Column:
@@ -94,40 +105,44 @@ def remove_repeated_chunks(
     of = ["doc_id", "version"]
 
     def cut(texts: DataFrame) -> DataFrame:
-        lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-        hashed = texts.withColumn("lines", lines).withColumn("digests", F.transform("lines", F.md5))
-        return hashed.withColumn("chunks", _chunks(F.col("lines"), F.col("digests"), window, divisor))
+        return _with_chunks(texts, window, divisor)
 
     def beside(k: Column, step: int) -> Column:
         found = F.get("chunks", k + step)
         digests = F.coalesce(_part(F.col("digests"), found), F.array().cast("array<string>"))
         return F.reverse(digests) if step < 0 else digests
 
-    def candidate(chunk: Column, k: Column) -> Column:
-        return F.when(
-            chunk["counts"] | (F.length(F.get("lines", chunk["start"])) >= SHORT),
-            F.struct(
-                chunk["counts"].alias("counts"),
-                chunk["start"].alias("start"),
-                F.array_join(_part(F.col("lines"), chunk), "\n").alias("bytes"),
-                beside(k, -1).alias("left"),
-                beside(k, 1).alias("right"),
-            ),
-        )
-
-    # Chunks of one document with the same bytes count each.
-    listed = F.filter(F.transform("chunks", candidate), lambda c: c.isNotNull())
-    each = cut(rows.where("doc_id IS NOT NULL")).select(*of, F.explode(listed).alias("c"))
+    def candidates(*wanted: str) -> DataFrame:
+        """Chunks to look for elsewhere, with what is wanted of them."""
+
+        def listed(chunk: Column, k: Column) -> Column:
+            told = {
+                "start": chunk["start"],
+                "counts": chunk["counts"],
+                "bytes": F.array_join(_part(F.col("lines"), chunk), "\n"),
+                "left": beside(k, -1),
+                "right": beside(k, 1),
+            }
+            there = chunk["counts"] | (F.length(F.get("lines", chunk["start"])) >= SHORT)
+            return F.when(there, F.struct(*[told[name].alias(name) for name in wanted]))
+
+        found = F.filter(F.transform("chunks", listed), lambda c: c.isNotNull())
+        texts = cut(rows.where("doc_id IS NOT NULL"))
+        return texts.select(*of, F.explode(found).alias("c")).select(*of, "c.*")
+
     # Here the bytes themselves are compared; tasks unite their equal chunks first.
     repeated = (
-        each.select("doc_id", "c.bytes")
+        candidates("bytes")
         .groupBy("bytes")
         .agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_doc"))
         .where("n > 1")
         .select(F.sha2("bytes", 256).alias("print"), "first_doc")
     )
     repeated = written(repeated, "chunks")
-    prints = each.select(*of, "c.start", "c.counts", F.sha2("c.bytes", 256).alias("print"), "c.left", "c.right")
+    # Never NULL, so that the join does not test it by hashing once more.
+    print_ = F.coalesce(F.sha2("bytes", 256), F.lit("")).alias("print")
+    prints = candidates("start", "counts", "bytes", "left", "right")
+    prints = prints.select(*of, "start", "counts", print_, "left", "right")
     found = written(prints.join(repeated, "print"), "found")
     firsts = found.where("doc_id = first_doc").groupBy("print")
     firsts = firsts.agg(F.min(F.struct("start", "left", "right")).alias("first"))
