@@ -235,6 +235,9 @@ def test_exchange_between_partitions(spark):
     assert sorted(r.doc_id for r in rows) == list(range(1500))
     bound = packing.lower_bound(np.array(lengths), 2048)
     assert bound <= gapless(rows) <= bound * 1.02 + 2
+    # Dealt over four partitions, the table needs no more than in a single one.
+    alone = packing.pack(pieces, few=10_000).collect()
+    assert gapless(packing.pack(pieces, few=100).collect()) <= gapless(alone) + 1
 
 
 def test_lower_bound_is_one():
@@ -442,10 +445,32 @@ def test_held_out_languages(spark, edges, nothing):
     found = {r.doc_id: r for r in langid.identify_languages(edges, model).collect()}
     assert len(found) == len({i for i, _ in EDGES})
     assert all(found[i].lang_pred == "und" and found[i].rejected and found[i].score == 0 for i in (4, 5, 6))
+    assert judged.where("rejected").count() <= 0.01 * judged.count()
+    assert langid.identify_languages(nothing, model).count() == 0
     empty = langid.fit(nothing.withColumn("lang", F.lit("en")))
     assert langid.identify_languages(edges, empty).where("lang_pred = 'und'").count() == len(EDGES)
 
 
+def test_unknown_languages_are_rejected(spark):
+    """A language left out of training, letters shuffled, and foreign scripts."""
+    docs = table(spark, "documents", "/root/testdata/sf0.1").where("doc_id % 3 = 0 AND length(text) > 100")
+    rows = docs.select("doc_id", "lang", "text").collect()
+    model = langid.fit(docs.where("lang <> 'fr'"))
+    known = [model.predict(r.text) for r in rows if r.lang != "fr"]
+    left_out = [model.predict(r.text) for r in rows if r.lang == "fr"]
+    assert sum(x[2] for x in known) <= 0.01 * len(known)
+    assert sum(x[2] for x in left_out) >= 0.9 * len(left_out)
+    rng, shuffled = random.Random(1), []
+    for r in rows[:400]:
+        letters = [c for c in r.text if not c.isspace()]
+        rng.shuffle(letters)
+        it = iter(letters)
+        shuffled.append(model.predict("".join(c if c.isspace() else next(it) for c in r.text)))
+    assert sum(x[2] for x in shuffled) >= 0.9 * len(shuffled)
+    for text in ("これは日本語の文章です。とても長い文章を書いています。", "Это предложение на русском языке, довольно длинное."):
+        assert model.predict(text)[2]
+
+
 def test_held_out_toxicity(spark, edges, nothing):
     sf = "/root/testdata/sf0.01"
     docs, labels = table(spark, "documents", sf), table(spark, "labels", sf)
@@ -561,6 +586,38 @@ def test_pipeline_stages(spark):
     gapless(rows)
 
 
+def test_pipeline_stages_of_edge_cases(spark, edges, nothing):
+    """Rows with one id or none, and names that the operators use inside."""
+    names = {"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.lit(1)}
+    extra = {c: F.lit("!") for c in ("bare", "fp", "points", "members", "bits", "id", "n")}
+    docs = edges.withColumns(names | extra)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), SF_DIR).count() == 0
+        out = stage(spark, docs, SF_DIR)
+        rows = out.collect()
+        if name != "best-fit packing":
+            assert out.columns == docs.columns
+        if name == "exact dedup":
+            # One of "a b c" and its like, of the empty ones, and of each other text.
+            assert sorted(((r.doc_id, r.text) for r in rows), key=repr) == sorted(
+                [(2, "a  b\tc"), (6, " \n"), *EDGES[7:9], EDGES[10]], key=repr
+            )
+        if name == "near dedup":
+            assert sorted(((r.doc_id, r.text) for r in rows), key=repr) == sorted(
+                [EDGES[0], EDGES[2], *EDGES[4:9], EDGES[10]], key=repr
+            )
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+def test_one_id_of_two_texts_and_copies_of_one_row(spark):
+    rows = [(1, "hello you"), (1, "hello you"), (None, "hello you"), (1, "other words"), (2, "hello  you")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for stage in (corpus_pipeline.distinct, corpus_pipeline.dissimilar):
+        kept = stage(spark, docs, SF_DIR).collect()
+        assert sorted("".join(r.text.split()) for r in kept) == ["helloyou", "otherwords"]
+
+
 def test_vocabularies_stay_outside_the_repository():
     assert not str(Path(WORDS).resolve()).startswith(str(Path(__file__).resolve().parents[2]))
     assert hashlib.sha256(Path(PIECES).read_bytes()).hexdigest()

@@ -2,8 +2,13 @@
 
 A text is the average of the embeddings of its words' hashed subwords, followed by
 a linear softmax. The model is trained here by stochastic gradient descent on a
-bounded sample; its confidence is scaled on a held-back part of that sample, and
-the threshold of rejection is a low quantile of the confidence there.
+bounded sample, and its confidence is scaled on a held-back part of that sample.
+
+A softmax is sure of itself on texts of no language that it knows, so rejection asks
+how usual a text's subwords are in the predicted language: their mean log frequency,
+against that of held-back documents of its length. The limit lies between these and
+texts made to be rejected: held-back documents in whose language they are not, with
+their letters shuffled, and with their own language withheld.
 """
 
 from __future__ import annotations
@@ -23,8 +28,9 @@ from tidemart.llm.common import first_by_hash, held_out, ship
 #: Labelled documents of each language that the model may see.
 PER_LANGUAGE = 800
 BUCKETS, DIMENSIONS, EPOCHS, RATE = 1 << 14, 16, 6, 0.5
-#: Share of right answers in the held-back part that rejection may cost.
-REJECTED = 0.0005
+#: Share of right answers in the held-back part that rejection may cost, and share of
+#: the texts made to be rejected that it aims at.
+REJECTED, CAUGHT = 0.002, 0.95
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _WORDS_KEPT, _GRAMS_KEPT = 100_000, 50_000
@@ -65,6 +71,12 @@ class Model:
     bias: np.ndarray
     scale: float = 1.0
     threshold: float = 0.0
+    # Log frequency of each bucket by language, its mean in a document, the variances
+    # of that mean among long documents and by subword, and the limit of deviations.
+    usual: np.ndarray | None = None
+    mean: np.ndarray | None = None
+    spread: np.ndarray | None = None
+    limit: float = np.inf
     _known: dict[str, int] = field(default_factory=dict, repr=False)
     _rows: np.ndarray | None = field(default=None, repr=False)
 
@@ -75,25 +87,37 @@ class Model:
         buckets, n = subwords(word), len(self._known)
         if n >= len(self._rows):
             self._rows = np.concatenate([self._rows, np.zeros_like(self._rows)])
-        self._rows[n, :-1] = self.logits[buckets].sum(axis=0)
+        known = len(self.languages)
+        self._rows[n, :known] = self.logits[buckets].sum(axis=0)
+        self._rows[n, known:-1] = self.usual[buckets].sum(axis=0)
         self._rows[n, -1] = len(buckets)
         self._known[word] = n
         return n
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """The language and its probability; ``und`` and 0 for texts without letters."""
+    def predict(self, text: str | None) -> tuple[str, float, bool]:
+        """The language, its probability, and whether the text is rejected.
+
+        Texts without letters are ``und`` with probability 0 and rejected.
+        """
         words = words_of(text)
         if not words or not self.languages:
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, True
+        size = len(self.languages)
         if self._rows is None or len(self._known) > _WORDS_KEPT:
             self._known.clear()
-            self._rows = np.zeros((1 << 12, len(self.languages) + 1), np.float32)
+            self._rows = np.zeros((1 << 12, 2 * size + 1), np.float32)
         known = self._known
         at = [known[w] if w in known else self._row(w) for w in words]
         total = self._rows[at].sum(axis=0, dtype=np.float64)
-        p = softmax(self.scale * (total[:-1] / total[-1] + self.bias))
+        n = total[-1]
+        p = softmax(self.scale * (total[:size] / n + self.bias))
         best = int(np.argmax(p))
-        return self.languages[best], float(p[best])
+        unusual = self.deviation(total[size:-1] / n, n)[best] > self.limit
+        return self.languages[best], float(p[best]), bool(unusual or p[best] < self.threshold)
+
+    def deviation(self, usual: np.ndarray, n) -> np.ndarray:
+        """How far texts of ``n`` subwords lie below a language's documents, in their spread."""
+        return (self.mean - usual) / np.sqrt(self.spread[0] + self.spread[1] / n)
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -126,24 +150,72 @@ def train(examples: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) ->
             embedded[buckets] -= rate * len(buckets) ** 0.5 * np.outer(weights, back_out)
             step += 1
     model = Model(languages, (embedded @ out).astype(np.float32), bias)
-    _calibrate(model, [examples[i] for i in (back if len(back) else fit)], number)
+    model.usual = _log_frequencies([examples[i] for i in fit], number)
+    _calibrate(model, [examples[i] for i in (back if len(back) else fit)], number, rng)
     return model
 
 
-def _calibrate(model: Model, held: list, number: dict[str, int]) -> None:
-    """Sets the scale that fits the held-back part best, then the threshold."""
+def _log_frequencies(examples: list, number: dict[str, int]) -> np.ndarray:
+    counts = np.full((BUCKETS, len(number)), 0.5)
+    for language, buckets, n in examples:
+        # A long document counts by the root of its length: it is one voice too.
+        counts[buckets, number[language]] += n / n.sum() ** 0.5
+    return np.log(counts / counts.sum(axis=0, keepdims=True)).astype(np.float32)
+
+
+def _calibrate(model: Model, held: list, number: dict[str, int], rng) -> None:
+    """Sets the scale that fits the held-back part best, then the limits of rejection."""
+    size = len(number)
+    model.mean, model.spread = np.zeros(size), np.ones((2, size))
     if not held:
         return
-    x = np.array([c @ model.logits[b] / c.sum() + model.bias for _, b, c in held])
+    logits = np.array([c @ model.logits[b] / c.sum() + model.bias for _, b, c in held])
+    usual = np.array([c @ model.usual[b] / c.sum() for _, b, c in held])
+    n = np.array([c.sum() for _, _, c in held], float)
     y = np.array([number[language] for language, _, _ in held])
     each = np.arange(len(y))
-    scales = np.geomspace(0.1, 10, 41)
-    losses = [-np.log(softmax(s * x)[each, y] + 1e-12).mean() for s in scales]
+    scales = np.geomspace(0.1, 1000, 81)
+    losses = [-np.log(softmax(s * logits)[each, y] + 1e-12).mean() for s in scales]
     model.scale = float(scales[int(np.argmin(losses))])
-    p = softmax(model.scale * x)
-    right = p.max(axis=1)[p.argmax(axis=1) == y]
-    if len(right):
-        model.threshold = min(float(np.quantile(right, REJECTED)), 0.5)
+    p = softmax(model.scale * logits)
+    right = p.argmax(axis=1) == y
+    if not right.any():
+        return
+    model.threshold = min(float(np.quantile(p.max(axis=1)[right], REJECTED)), 0.5)
+    for k in range(size):
+        own = usual[y == k, k]
+        if len(own):
+            model.mean[k] = np.median(own)
+            off, length = (own - model.mean[k]) ** 2, n[y == k]
+            long = length >= np.median(length)
+            model.spread[0, k] = max(np.median(off[long]), 1e-6) * 2.2
+            model.spread[1, k] = max(np.median((off * length)[~long]) if (~long).any() else 0, 1e-3) * 2.2
+    kept = model.deviation(usual[each, y][:, None], n[:, None])[each, y][right]
+    high = float(np.quantile(kept, 1 - REJECTED))
+    wrong = _made_up(model, held, logits, usual, n, y, rng)
+    low = float(np.quantile(wrong, 1 - CAUGHT)) if len(wrong) else high
+    model.limit = high if low <= high else (high + low) / 2
+
+
+def _made_up(model: Model, held: list, logits, usual, n, y, rng) -> np.ndarray:
+    """Deviations of texts of no known language.
+
+    Withholding its own language leaves a document the best of the others. Shuffled
+    letters keep their frequencies and lose their order: subwords of several letters
+    are those of other documents' letters, drawn by chance.
+    """
+    each, out = np.arange(len(y)), []
+    if len(model.languages) > 1:
+        others = logits.copy()
+        others[each, y] = -np.inf
+        best = others.argmax(axis=1)
+        out.append(model.deviation(usual[each, best][:, None], n[:, None])[each, best])
+    for _, _, counts in held:
+        buckets = rng.integers(0, BUCKETS, len(counts))
+        best = int((counts @ model.logits[buckets] + model.bias).argmax())
+        mixed = 0.3 * usual[:, best].max() + 0.7 * (counts @ model.usual[buckets, best] / counts.sum())
+        out.append(model.deviation(np.full(len(model.languages), mixed), counts.sum())[best : best + 1])
+    return np.concatenate(out)
 
 
 def _features(batches):
@@ -178,6 +250,7 @@ def fit(
     is held out (``common.held_out``). Rows without language, text or id are not
     learnt from; from an empty table comes a model that knows no language.
     """
+    ship(docs.sparkSession)
     named = docs.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     ).where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
@@ -195,19 +268,14 @@ def fit(
 
 def verdict(docs: DataFrame, model: Model, text: Column) -> Column:
     """``lang, score, rejected`` of a text column, from whole texts."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang string, score double, rejected boolean")
     def identify(texts: pd.Series) -> pd.DataFrame:
         m = shared.value
         found = [m.predict(t) for t in texts]
-        return pd.DataFrame(
-            {
-                "lang": [x for x, _ in found],
-                "score": [p for _, p in found],
-                "rejected": [x == UNKNOWN or p < m.threshold for x, p in found],
-            }
-        )
+        return pd.DataFrame(found, columns=["lang", "score", "rejected"])
 
     return identify(text)
 

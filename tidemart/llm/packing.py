@@ -19,12 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import written
+from tidemart.llm.common import ship, written
 from tidemart.llm.word_tokens import tokenizer
 
 CAPACITY = 2048
-#: Pieces that one task packs, about.
-PIECES_PER_PARTITION = 200_000
+#: Pieces that one task packs, about, and those that are not worth dealing out.
+PIECES_PER_PARTITION, FEW = 200_000, 4_000
 _END = np.zeros(1, "<u4").tobytes()
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -110,7 +110,7 @@ def pack(
     pieces: DataFrame,
     capacity: int = CAPACITY,
     per_partition: int = PIECES_PER_PARTITION,
-    rounds: int = 6,
+    few: int = FEW,
 ) -> DataFrame:
     """Adds ``sequence_id, offset`` to pieces of at most ``capacity`` tokens.
 
@@ -118,22 +118,35 @@ def pack(
     rows are packed one by one, NULL ids like others. ``bins`` and ``bound`` tell
     how many sequences the partition that packed the row made, and how many it
     must make at least. Ties go to the smaller id and piece.
+
+    Partitions whose bins exceed their bound put the pieces of all bins with room
+    together, deal them out anew and pack them again. That goes on while it saves
+    bins; a round that does not is dropped. Up to ``few`` pieces end in one partition,
+    more are dealt over four at least.
     """
-    done, current = [], written(pieces, "pieces")
-    for rnd in range(rounds):
+    ship(pieces.sparkSession)
+    done, rnd, before = [], 0, None
+    current = written(pieces, "pieces")
+    while True:
         n = current.count()
-        partitions = max(1, -(-n // per_partition))
+        partitions = max(-(-n // per_partition), 4 if n > few else 1)
         key = F.xxhash64("doc_id", "piece", "start", F.lit(rnd))
-        dealt = current.withColumn("partition", F.pmod(key, F.lit(partitions)).cast("int"))
+        dealt = current.select(*pieces.columns)
+        dealt = dealt.withColumn("partition", F.pmod(key, F.lit(partitions)).cast("int"))
         packed = written(
             dealt.groupBy("partition").applyInPandas(_pack(capacity, rnd), _PACKED), "packed"
         )
+        after = packed.select("sequence_id").distinct().count()
+        if before is not None and after >= before:
+            done.append(current)
+            break
         # One partition has seen all that is left: nothing remains to exchange with.
-        if partitions == 1 or rnd == rounds - 1:
+        if partitions == 1:
             done.append(packed)
             break
         done.append(packed.where("NOT open"))
-        current = packed.where("open").select(*current.columns)
+        current, rnd = packed.where("open"), rnd + 1
+        before = current.select("sequence_id").distinct().count()
     out = done[0]
     for more in done[1:]:
         out = out.union(more)

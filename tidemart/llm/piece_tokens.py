@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as proto
 
+from tidemart.llm.common import ship
+
 SPACE = "▁"
 _SPACE = SPACE.encode()
 #: Letters after blanks, other characters after blanks, blanks at the end.
@@ -296,6 +298,7 @@ def encode_documents(
     the two named are ignored.
     Returns ``doc_id, ids, begins, ends, decoded``.
     """
+    ship(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     kind = "doc_id long, ids array<int>, begins array<long>, ends array<long>, decoded string"
     return texts.mapInArrow(_encode(path), kind)

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import parallelism, written
+from tidemart.llm.common import parallelism, ship, written
 
 #: Rows of a block of candidates, of a block of queries, and queries scored at once.
 ROWS, QUERIES, AT_ONCE = 8192, 2048, 128
@@ -171,6 +171,7 @@ def exact_top_k(
     queries once. Columns besides the two named are ignored; without rows, or with
     a single one, there is no result.
     """
+    ship(vectors.sparkSession)
     spark = vectors.sparkSession
     rows = quantized(vectors, id_col, vector_col)
     asked = rows.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])

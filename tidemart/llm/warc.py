@@ -22,6 +22,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemart.llm.common import ship
+
 VERSION = b"WARC/1.1"
 DATE = "2024-01-01T00:00:00Z"
 _SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:tidemart:warc")
@@ -255,6 +257,7 @@ def derivatives(responses: DataFrame, id_col: str = "page_id", record_col: str =
     empty table gives no rows. ``record`` is the complete derivative;
     ``gzip.compress`` of each, joined, is a valid ``.warc.gz``.
     """
+    ship(responses.sparkSession)
     rows = responses.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(record_col).alias("record"))
     return rows.mapInArrow(_derivatives, _KIND)
 
