@@ -79,9 +79,8 @@ def salted_join(
     zero = F.lit(0).cast("bigint")
     # A function of the row and its partition: a repeated task gives the same salt,
     # and equal rows of different partitions get different ones.
-    row_salt = F.pmod(
-        _hash(left.columns) + F.spark_partition_id(), F.lit(salts).cast("bigint")
-    )
+    many = F.lit(salts).cast("bigint")
+    row_salt = F.pmod(F.pmod(_hash(left.columns), many) + F.spark_partition_id(), many)
     salted_left = left.withColumn(_SALT, F.when(is_hot, row_salt).otherwise(zero))
     copies = F.when(
         is_hot, F.sequence(zero, F.lit(salts - 1).cast("bigint"))
