@@ -15,10 +15,11 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ BUCKETS, DIMENSIONS, EPOCHS, RATE = 1 << 14, 16, 6, 0.5
 REJECTED, CAUGHT = 0.002, 0.95
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
-_WORDS_KEPT, _GRAMS_KEPT = 100_000, 50_000
+_WORDS_KEPT, _GRAMS_KEPT, _AT_ONCE = 80_000, 50_000, 500
 
 
 def words_of(text: str | None) -> list[str]:
@@ -54,12 +55,15 @@ class _Buckets(dict):
 _bucket = _Buckets()
 
 
-def subwords(word: str) -> np.ndarray:
-    """Buckets of a word's character n-grams of 1 to 3, with its ends marked."""
+def _grams(word: str) -> list[str]:
     m = f"<{word}>"
     n = len(m)
-    grams = [*word, *[m[i : i + 2] for i in range(n - 1)], *[m[i : i + 3] for i in range(n - 2)]]
-    return np.array([_bucket[g] for g in grams])
+    return [*word, *[m[i : i + 2] for i in range(n - 1)], *[m[i : i + 3] for i in range(n - 2)]]
+
+
+def subwords(word: str) -> np.ndarray:
+    """Buckets of a word's character n-grams of 1 to 3, with its ends marked."""
+    return np.array([_bucket[g] for g in _grams(word)])
 
 
 @dataclass
@@ -79,20 +83,26 @@ class Model:
     limit: float = np.inf
     _known: dict[str, int] = field(default_factory=dict, repr=False)
     _rows: np.ndarray | None = field(default=None, repr=False)
+    _table: np.ndarray | None = field(default=None, repr=False)
 
     def __getstate__(self):
-        return self.__dict__ | {"_known": {}, "_rows": None}
-
-    def _row(self, word: str) -> int:
-        buckets, n = subwords(word), len(self._known)
-        if n >= len(self._rows):
-            self._rows = np.concatenate([self._rows, np.zeros_like(self._rows)])
-        known = len(self.languages)
-        self._rows[n, :known] = self.logits[buckets].sum(axis=0)
-        self._rows[n, known:-1] = self.usual[buckets].sum(axis=0)
-        self._rows[n, -1] = len(buckets)
-        self._known[word] = n
-        return n
+        return self.__dict__ | {"_known": {}, "_rows": None, "_table": None}
+
+    def _learn(self, words: list[str]) -> None:
+        """Sums of logits, log frequencies and subwords of new words, looked up together."""
+        if self._rows is None:
+            ones = np.ones((BUCKETS, 1), np.float32)
+            self._table = np.concatenate([self.logits, self.usual, ones], axis=1)
+        first, kept = len(self._known), self._rows
+        if kept is None or first + len(words) > len(kept):
+            size = max(1 << 12, 2 * (first + len(words)))
+            self._rows = np.zeros((size, self._table.shape[1]), np.float32)
+            self._rows[:first] = kept[:first] if first else 0
+        grams = [_grams(w) for w in words]
+        ends = np.cumsum([0, *map(len, grams)])
+        flat = np.fromiter(map(_bucket.__getitem__, chain.from_iterable(grams)), np.int64, ends[-1])
+        self._rows[first : first + len(words)] = np.add.reduceat(self._table[flat], ends[:-1])
+        self._known.update(zip(words, range(first, first + len(words)), strict=True))
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """The language, its probability, and whether the text is rejected.
@@ -102,13 +112,17 @@ class Model:
         words = words_of(text)
         if not words or not self.languages:
             return UNKNOWN, 0.0, True
-        size = len(self.languages)
-        if self._rows is None or len(self._known) > _WORDS_KEPT:
-            self._known.clear()
-            self._rows = np.zeros((1 << 12, 2 * size + 1), np.float32)
-        known = self._known
-        at = [known[w] if w in known else self._row(w) for w in words]
-        total = self._rows[at].sum(axis=0, dtype=np.float64)
+        size, known = len(self.languages), self._known
+        counts = Counter(words)
+        new = [w for w in counts if w not in known]
+        if len(known) + len(new) > _WORDS_KEPT:
+            known.clear()
+            self._rows, new = None, list(counts)
+        if new:
+            self._learn(new)
+        at = np.fromiter(map(known.__getitem__, counts), np.int64, len(counts))
+        times = np.fromiter(counts.values(), np.float64, len(counts))
+        total = times @ self._rows[at]
         n = total[-1]
         p = softmax(self.scale * (total[:size] / n + self.bias))
         best = int(np.argmax(p))
@@ -271,11 +285,15 @@ def verdict(docs: DataFrame, model: Model, text: Column) -> Column:
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang string, score double, rejected boolean")
-    def identify(texts: pd.Series) -> pd.DataFrame:
-        m = shared.value
-        found = [m.predict(t) for t in texts]
-        return pd.DataFrame(found, columns=["lang", "score", "rejected"])
+    @F.arrow_udf("lang string, score double, rejected boolean")
+    def identify(texts: pa.Array) -> pa.Array:
+        found = []
+        for at in range(0, len(texts), _AT_ONCE):
+            found += map(shared.value.predict, texts.slice(at, _AT_ONCE).to_pylist())
+        columns = zip(*found, strict=True) if found else ([], [], [])
+        kinds = (pa.string(), pa.float64(), pa.bool_())
+        arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
+        return pa.StructArray.from_arrays(arrays, ["lang", "score", "rejected"])
 
     return identify(text)
 

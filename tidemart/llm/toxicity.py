@@ -37,9 +37,10 @@ CALIBRATION_FOLD = 3
 STEM = 5
 THRESHOLD = 0.3
 _WORDS = re.compile(r"[^\W_]+")
-_KEPT = 100_000
+#: Words that a worker remembers, and texts that it holds as Python strings.
+_KEPT, _AT_ONCE = 60_000, 500
 #: Pairs of words that a task holds before it passes them on.
-_PAIRS = 4_000_000
+_PAIRS = 1_000_000
 #: Bits of a pair's hash, and bytes of text whose pairs one owner merges.
 PAIR_BITS, OWNED_BYTES = 36, 4_000_000
 
@@ -202,6 +203,8 @@ def _continuations(words: np.ndarray, owners: int):
         if fresh:
             held = merged()
         yield _messages(held, starts << shift)
+        # The worker is used again, and Spark counts what it holds.
+        pa.default_memory_pool().release_unused()
 
     return pairs
 
@@ -387,9 +390,12 @@ def score(docs: DataFrame, model: Model, text: Column) -> Column:
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
-        return pd.Series(list(shared.value.scores(texts.tolist())), dtype="float64")
+    @F.arrow_udf("double")
+    def scored(texts: pa.Array) -> pa.Array:
+        out: list[float] = []
+        for at in range(0, len(texts), _AT_ONCE):
+            out += shared.value.scores(texts.slice(at, _AT_ONCE).to_pylist())
+        return pa.array(out, pa.float64())
 
     return scored(text)
 
