@@ -129,6 +129,54 @@ def test_near_duplicates_against_all_pairs(spark, shingle):
     assert {i: (r.n_shingles, r.component_id) for i, r in found.items()} == want
 
 
+def templates(n, shared, own, rng):
+    """Texts of one template, followed by words of their own."""
+    template = " ".join(f"t{i}" for i in range(shared))
+    return [(i, template + " " + " ".join(f"x{rng.randrange(10**9)}" for _ in range(own))) for i in range(n)]
+
+
+def test_texts_of_one_template_are_not_compared_with_each_other(spark, monkeypatch):
+    found = []
+    shared = near_dedup._shared
+    monkeypatch.setattr(near_dedup, "_shared", lambda *args: found.append((args[0], shared(*args))) or found[-1][1])
+    monkeypatch.setattr(near_dedup, "_remaining", None)
+    for n in (150, 600):
+        docs = spark.createDataFrame(templates(n, 120, 40, random.Random(n)), "doc_id long, text string")
+        assert near_dedup.near_duplicates(docs).where("kept").count() == n
+    # They meet in buckets, but hold no rare shingle in common.
+    assert [apart.count() > 0.9 * n for (apart, _), n in zip(found, (150, 600), strict=True)] == [True, True]
+    assert [rare.count() for _, rare in found] == [0, 0]
+
+
+@pytest.mark.parametrize(("shared", "own", "block"), [(120, 40, 512), (120, 22, 512), (120, 22, 7)])
+def test_near_duplicates_within_one_template_against_all_pairs(spark, monkeypatch, shared, own, block):
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    rng = random.Random(own)
+    rows = templates(60, shared, own, rng)
+    for i, text in rows[:40]:
+        for j in range(rng.randint(1, 3)):
+            words = text.split()
+            for _ in range(rng.randint(0, 3)):
+                words[rng.randrange(len(words))] = f"y{rng.randrange(50)}"
+            rows.append((1000 + 10 * (97 * i % 60) + j, " ".join(words)))
+    df = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = brute_components(rows, 5, 80)
+    assert len({root for _, root in want.values()}) > 15
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in df.collect()} == want
+
+
+def test_similar_sets_share_a_rare_shingle():
+    rng = np.random.default_rng(8)
+    for size in (1, 2, 4, 5, 9, 10, 99, 400):
+        for _ in range(30):
+            counts = rng.integers(2, 5, 1 << near_dedup.COUNTERS)
+            a = rng.integers(0, 2**63, size, np.uint64)
+            left = -(-80 * size // 100)
+            b, c = a[size - left :], np.concatenate([a, rng.integers(0, 2**63, size // 4, np.uint64)])
+            rare = [set(near_dedup._prefix(np.unique(x), counts, 80).tolist()) for x in (a, b, c)]
+            assert rare[0] & rare[1] and rare[0] & rare[2]
+
+
 def test_estimate_is_near_the_similarity():
     rng = np.random.default_rng(3)
     a = np.unique(rng.integers(0, 2**63, 2000, np.uint64))

@@ -6,9 +6,12 @@ count of equal bit groups, corrected for chance collisions, drops candidates far
 below the threshold; the others are confirmed on the full sets.
 
 Large groups are never expanded into all pairs. Equal sets are one class. In a
-bucket every class is first compared with the bucket's least id. Only members
-whose component still differs from that one's are then compared with the others,
-block by block, until they are linked to a component or all its members of a
+bucket every class is first compared with the bucket's least id. Of the members of
+buckets that this leaves in several components only the rarest shingles are looked
+at: in one common order two sets of the wanted similarity share one of them, so a
+member that shares none with another component is done, and those that share one are
+compared with the least id that has it. Only what is still apart then meets in its
+buckets, block by block, until it is linked to a component or all its members of a
 promising estimate are refuted. So each candidate pair is confirmed, refuted, or
 inside one component.
 """
@@ -34,6 +37,9 @@ HASHES = ROWS * BANDS
 DEVIATIONS = 4.5
 #: Members of a bucket that meet in one task.
 BLOCK = 512
+#: Counters, as a power of two, that order shingles from rare to frequent. Any order
+#: gives the same links; shared counters only leave more members to compare.
+COUNTERS = 20
 _WORDS_KEPT = 400_000
 _LOW = np.uint64(0x1111111111111111)
 
@@ -202,6 +208,48 @@ def _confirmed(percent: int):
     return confirm
 
 
+def _slots(members: np.ndarray) -> np.ndarray:
+    return (_mix(members * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - COUNTERS)).astype(np.int64)
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many sets of a task have a shingle on each counter."""
+    counts = np.zeros(1 << COUNTERS, np.int64)
+    for batch in batches:
+        for members in batch.column("members"):
+            np.add.at(counts, _slots(np.frombuffer(members.as_py(), np.uint64)), 1)
+    used = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["slot", "n"])
+
+
+def _prefix(members: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """The rarest shingles of a set, of which a similar set must share one.
+
+    Similar sets share at least ``percent`` of the larger one, so at most the rest of
+    either can come before their first common shingle. A counter of 1 belongs to a
+    shingle that no other set has.
+    """
+    length = len(members) + (-percent * len(members)) // 100 + 1
+    seen = counts[_slots(members)]
+    rarest = np.lexsort((members, seen))[:length]
+    return members[rarest[seen[rarest] > 1]]
+
+
+def _prefixes(counts, percent: int):
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                ids, comps = (part.column(name).to_numpy() for name in ("id", "comp"))
+                sets = [np.frombuffer(m.as_py(), np.uint64) for m in part.column("members")]
+                found = [_prefix(m, counts.value, percent) for m in sets]
+                times, sizes = [len(f) for f in found], np.array([len(m) for m in sets], np.int64)
+                columns = [np.concatenate(found).view(np.int64), *(np.repeat(c, times) for c in (ids, comps, sizes))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["shingle", "id", "comp", "size"])
+
+    return rarest
+
+
 def _across(cutoff: float, percent: int):
     """Links in one block from its odd members to each other component."""
 
@@ -274,8 +322,19 @@ def near_duplicates(
     checked = _checked(candidates, sets, percent)
     links = written(checked.where("linked").select("u", "v"), "links")
     roots = written(connected(links), "roots")
-    links = links.union(written(_remaining(members, bits, sets, roots, percent), "links"))
-    roots = written(connected(links), "roots")
+    apart = _apart(members, roots)
+    if not apart.isEmpty():
+        apart = written(sets.join(apart, "id"), "apart")
+        shared = written(_shared(apart, percent), "shared")
+        nearest = written(_estimated(_nearest(shared, percent), bits, least_estimate(percent)), "candidates")
+        linked = written(_checked(nearest, apart, percent).where("linked").select("u", "v"), "links")
+        if not linked.isEmpty():
+            links = links.union(linked)
+            roots = written(connected(links), "roots")
+        left = written(_contenders(shared, roots), "contenders")
+        if not left.isEmpty():
+            linked = written(_remaining(members, left, bits, apart, percent), "links")
+            roots = written(connected(links.union(linked)), "roots")
 
     named = signed.join(classes, same, "left").select("doc_id", "n_shingles", "id")
     named = named.join(roots, "id", "left")
@@ -300,32 +359,72 @@ def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(_confirmed(percent), "u long, v long, linked boolean")
 
 
-def _remaining(
-    members: DataFrame, bits: DataFrame, sets: DataFrame, roots: DataFrame, percent: int
-) -> DataFrame:
-    """Links in a bucket between components that the stars left apart.
+def _components(ids: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows with ``comp``, the component of ``id``."""
+    found = ids.join(roots.withColumnRenamed("root", "comp"), "id", "left")
+    return found.withColumn("comp", F.coalesce("comp", "id"))
 
-    Members outside the component of the bucket's least id are odd. Every odd one
-    meets every member, in blocks of ``BLOCK`` by ``BLOCK`` with their full sets;
-    buckets of two have been compared already.
+
+def _several(rows: DataFrame, by: str) -> DataFrame:
+    """The groups of several components: size, least id, and its component and size."""
+    some = F.min(F.struct("id", "comp", *[c for c in ("size",) if c in rows.columns])).alias("hub")
+    groups = rows.groupBy(by).agg(F.count("id").alias("n"), some, F.min("comp").alias("a"), F.max("comp").alias("b"))
+    return groups.where("a != b").select(by, "n", "hub")
+
+
+def _apart(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``id, comp`` of the members of buckets that the stars left in several components.
+
+    Buckets of two have been compared already.
     """
-    root = roots.select("id", F.col("root").alias("comp"))
-    hub_root = roots.select(F.col("id").alias("hub"), F.col("root").alias("hub_comp"))
-    placed = (
-        members.where("n > 2")
-        .join(root, "id", "left")
-        .join(hub_root, "hub", "left")
-        .select(
-            "key",
-            "id",
-            "n",
-            F.coalesce("comp", "id").alias("comp"),
-            (F.coalesce("comp", "id") != F.coalesce("hub_comp", "hub")).alias("odd"),
-        )
+    placed = written(_components(members.where("n > 2").select("key", "id"), roots), "placed")
+    mixed = placed.join(_several(placed, "key").select("key"), "key", "left_semi")
+    return written(mixed.select("id", "comp").distinct(), "mixed")
+
+
+def _shared(apart: DataFrame, percent: int) -> DataFrame:
+    """``shingle, id, comp, size, n, hub``: rare shingles that several components have.
+
+    The counters are of a fixed number; they alone come to the driver and go back.
+    """
+    spark = apart.sparkSession
+    totals = apart.select("members").mapInArrow(_counted, "slot long, n long")
+    totals = totals.groupBy("slot").agg(F.sum("n").alias("n")).where("n > 1").toPandas()
+    counts = np.ones(1 << COUNTERS, np.uint32)
+    counts[totals.slot.to_numpy(np.int64)] = np.minimum(totals.n.to_numpy(np.int64), np.iinfo(np.uint32).max)
+    rarest = apart.mapInArrow(
+        _prefixes(spark.sparkContext.broadcast(counts), percent), "shingle long, id long, comp long, size long"
     )
-    placed = written(placed, "placed")
+    rarest = written(rarest, "rarest")
+    return rarest.join(_several(rarest, "shingle"), "shingle")
+
+
+def _nearest(shared: DataFrame, percent: int) -> DataFrame:
+    """Members of a rare shingle beside the least id that has it, where they may be similar."""
+    small, large = F.least("size", "hub.size"), F.greatest("size", "hub.size")
+    near = shared.where((F.col("comp") != F.col("hub.comp")) & (100 * small >= percent * large))
+    return near.select(F.col("id").alias("u"), F.col("hub.id").alias("v")).distinct()
+
+
+def _contenders(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """``id, comp`` of what shares a rare shingle with another component, beyond two members."""
+    placed = written(_components(shared.where("n > 2").select("shingle", "id"), roots), "placed")
+    mixed = placed.join(_several(placed, "shingle").select("shingle"), "shingle", "left_semi")
+    return mixed.select("id", "comp").distinct()
+
+
+def _remaining(members: DataFrame, left: DataFrame, bits: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links in a bucket between components that no star has joined.
+
+    Members outside the component of the bucket's least id are odd. Every odd one
+    meets every member, in blocks of ``BLOCK`` by ``BLOCK`` with their full sets.
+    """
+    placed = written(members.select("key", "id").join(left, "id"), "placed")
+    placed = placed.join(_several(placed, "key"), "key")
+    placed = written(placed.select("key", "id", "n", "comp", (F.col("comp") != F.col("hub.comp")).alias("odd")), "odd")
     odd = placed.where("odd").groupBy("key").agg(F.count("id").alias("n_odd"))
-    split = placed.join(written(odd, "odd"), "key").join(bits, "id").join(sets, "id")
+    full = bits.join(sets.select("id", "members"), "id")
+    split = placed.join(odd, "key").join(full, "id")
     rows = F.ceil(F.col("n_odd") / BLOCK).cast("int")
     columns = F.ceil(F.col("n") / BLOCK).cast("int")
     up_to = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
