@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import shutil
 import tempfile
+from contextlib import suppress
 from functools import reduce
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +37,17 @@ def ship(spark: SparkSession) -> None:
 _shipped: set[str] = set()
 
 
+def give_back() -> None:
+    """Returns a Python worker's freed memory to the system.
+
+    Workers are used again, and Spark counts what they hold; the allocators of Arrow
+    and of the C library keep what a task has freed.
+    """
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # only glibc has the call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """The rows, written once to the shared folder and read back.
 

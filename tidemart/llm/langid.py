@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import first_by_hash, held_out, ship
+from tidemart.llm.common import first_by_hash, give_back, held_out, ship
 
 #: Labelled documents of each language that the model may see.
 PER_LANGUAGE = 800
@@ -249,6 +249,7 @@ def _features(batches):
                 ],
                 ["lang", "buckets", "counts"],
             )
+    give_back()
 
 
 def fit(
@@ -290,6 +291,7 @@ def verdict(docs: DataFrame, model: Model, text: Column) -> Column:
         found = []
         for at in range(0, len(texts), _AT_ONCE):
             found += map(shared.value.predict, texts.slice(at, _AT_ONCE).to_pylist())
+        give_back()
         columns = zip(*found, strict=True) if found else ([], [], [])
         kinds = (pa.string(), pa.float64(), pa.bool_())
         arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]

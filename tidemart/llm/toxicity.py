@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import first_by_hash, fold_of, held_out, parallelism, ship, written
+from tidemart.llm.common import first_by_hash, fold_of, give_back, held_out, parallelism, ship, written
 from tidemart.llm.exact_dedup import rice_decode, rice_encode
 
 #: Labelled documents of each class that the models may see.
@@ -165,6 +165,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             each = found.value_counts(sort=False).reset_index(name="n")
             n = each.groupby(["v", "w", "toxic"], as_index=False).agg(n=("n", "sum"), docs=("n", "size"))
             yield pa.RecordBatch.from_pandas(n.astype("int64"), preserve_index=False)
+            del keys, found, each, n
+            give_back()
 
 
 def _continuations(words: np.ndarray, owners: int):
@@ -203,8 +205,7 @@ def _continuations(words: np.ndarray, owners: int):
         if fresh:
             held = merged()
         yield _messages(held, starts << shift)
-        # The worker is used again, and Spark counts what it holds.
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     return pairs
 
@@ -395,6 +396,7 @@ def score(docs: DataFrame, model: Model, text: Column) -> Column:
         out: list[float] = []
         for at in range(0, len(texts), _AT_ONCE):
             out += shared.value.scores(texts.slice(at, _AT_ONCE).to_pylist())
+        give_back()
         return pa.array(out, pa.float64())
 
     return scored(text)
