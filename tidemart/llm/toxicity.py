@@ -39,6 +39,8 @@ THRESHOLD = 0.3
 _WORDS = re.compile(r"[^\W_]+")
 #: Words that a worker remembers, and texts that it holds as Python strings.
 _KEPT, _AT_ONCE = 60_000, 500
+#: Labelled texts whose words are counted together; Spark adds the counts up.
+_COUNTED = 100
 #: Pairs of words that a task holds before it passes them on.
 _PAIRS = 1_000_000
 #: Bits of a pair's hash, and bytes of text whose pairs one owner merges.
@@ -150,8 +152,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     Words have the previous word -1, stems -2.
     """
     for batch in batches:
-        for at in range(0, batch.num_rows, 500):
-            part = batch.slice(at, 500)
+        for at in range(0, batch.num_rows, _COUNTED):
+            part = batch.slice(at, _COUNTED)
             keys = []
             for i, (text, toxic) in enumerate(
                 zip(part.column(0), part.column(1).to_pylist(), strict=True)
