@@ -457,6 +457,34 @@ def test_coded_responses(charset):
     assert warc.derive(odd)[1][2] == "ä"
 
 
+@pytest.mark.parametrize(
+    "page, links, text",
+    [
+        ('<a data-href="x" href="y">t</a>', ["y"], "t"),
+        ('<a title="a>b" href="y">t</a>', ["y"], "t"),
+        ('<p title="a>b">z</p>', [], "z"),
+        ("<a\nHREF = 'u&amp;v' href=w>t</a><a href=/x/>q</a>", ["u&v", "/x/"], "tq"),
+        ("<a href=u title=it's>v</a> w's", ["u"], "v w's"),
+        ('<p title="a>z</p>y<abbr href="no">n</abbr>', [], "zyn"),
+        ('<img alt="<a href=x>"><a href>n</a>', [], "n"),
+        ('1 < 2 <br/>x<p/>y <a href="u" cut', [], '1 < 2\nx\ny <a href="u" cut'),
+    ],
+)
+def test_warc_quoted_attributes(page, links, text):
+    assert warc.links_of(page) == links and warc.text_of(page) == text
+
+
+@pytest.mark.parametrize("piece", ['<a b="', "<a ='", "<a b=1 ", "<", '<a"'])
+def test_warc_reads_unfinished_tags_once(piece):
+    page = piece * 50_001  # minutes, if every start were read to the end
+    assert warc.text_of(page) and not warc.links_of(page)
+
+
+def test_warc_derivatives_of_an_empty_table(spark):
+    none = spark.createDataFrame([], "page_id long, url string, html string")
+    assert warc.derivatives(warc.responses(none)).collect() == []
+
+
 def test_warc_derivatives(spark):
     pages = [(1, "http://a.example/é", PAGE), (2, None, None), (3, "http://b.example", "plain < text"), (None, "u", "")]
     df = spark.createDataFrame(pages, "page_id long, url string, html string")

@@ -28,12 +28,15 @@ VERSION = b"WARC/1.1"
 DATE = "2024-01-01T00:00:00Z"
 _SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:tidemart:warc")
 _HIDDEN = regex.compile(r"<!--.*?(?:-->|$)|<(script|style|template|noscript)\b.*?(?:</\1\s*>|$)", regex.S | regex.I)
-_BLOCK = regex.compile(
-    r"</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|li|main|nav|ol|p|pre|section|table|title|td|th|tr|ul)\b[^>]*>",
-    regex.I,
+_BLOCKS = frozenset(
+    "address article aside blockquote br dd div dl dt footer form h1 h2 h3 h4 h5 h6 head header hr li main nav ol p "
+    "pre section table title td th tr ul".split()
 )
-_TAG = regex.compile(r"<[a-zA-Z/!?][^>]*>")
-_LINK = regex.compile(r"""<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", regex.I)
+# One attribute: a quoted value may hold ">", and a quote that is never closed is part of an
+# unquoted value. A tag always ends, at the latest with the page, so none is scanned twice.
+_PAIR = r"""[\s/]*+{open}[^\s/>][^\s/>=]*+{close}(?:\s*+=\s*+(?:"{open}[^"]*{close}"|'{open}[^']*{close}'|{open}[^\s>]*+{close}))?+"""
+_ATTRIBUTE = regex.compile(_PAIR.format(open="(", close=")"))
+_TAG = regex.compile(r"<([a-zA-Z/!?][^\s/>]*+)((?:" + _PAIR.format(open="(?:", close=")") + r")*+[\s/]*+(?:>|\Z))")
 
 _HEX = regex.compile(rb"[0-9a-fA-F]{1,15}")
 _CHARSET = regex.compile(r"""charset\s*=\s*["']?\s*([\w.:-]+)""", regex.I)
@@ -70,17 +73,33 @@ def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
     return headers, rest[: int(headers.get("content-length", len(rest)))]
 
 
+def _shown(tag: regex.Match) -> str:
+    """What a tag leaves of itself; one that the page breaks off is text."""
+    if not tag[2].endswith(">"):
+        return tag[0]
+    return "\n" if tag[1].strip("/").lower() in _BLOCKS else ""
+
+
 def text_of(page: str) -> str:
     """The visible text of a page: a line for each block, blanks squeezed."""
-    shown = _TAG.sub("", _BLOCK.sub("\n", _HIDDEN.sub(" ", page)))
+    shown = _TAG.sub(_shown, _HIDDEN.sub(" ", page))
     lines = (" ".join(line.split()) for line in html.unescape(shown).split("\n"))
     return "\n".join(line for line in lines if line)
 
 
+def _target(attributes: str) -> str:
+    """The first ``href`` among a tag's attributes; empty if there is none."""
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        if name.lower() == "href":
+            return html.unescape("".join(values))
+    return ""
+
+
 def links_of(page: str) -> list[str]:
     """Targets of the page's links, in order, each once."""
-    found = (html.unescape(a or b or c).strip() for a, b, c in _LINK.findall(_HIDDEN.sub(" ", page)))
-    return list(dict.fromkeys(" ".join(x.split()) for x in found if x))
+    tags = _TAG.findall(_HIDDEN.sub(" ", page))
+    found = (" ".join(_target(inside).split()) for name, inside in tags if name in ("a", "A") and inside.endswith(">"))
+    return list(dict.fromkeys(x for x in found if x))
 
 
 def _name(*parts: str) -> str:
@@ -136,7 +155,8 @@ def page_of(http: list[str], payload: bytes) -> str:
     """The page of a response: codings of its headers undone, then the charset.
 
     Chunked bodies, gzip and deflate are undone; other codings are left. The charset is
-    that of the headers, else that of a ``meta`` tag at the page's start, else UTF-8.
+    that of the headers, else that of a ``meta`` tag in the first 1,024 bytes, where HTML
+    asks for it, else UTF-8.
     """
     values: dict[str, list[str]] = {}
     for line in http:
