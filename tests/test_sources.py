@@ -1,5 +1,6 @@
 """Files in each format, declared in each way, give the same people."""
 
+import gzip
 import json
 from dataclasses import replace
 from datetime import datetime
@@ -370,10 +371,27 @@ def test_row_numbers_across_splits(spark, tmp_path):
         numbered = numbered_rows(lines)
         assert numbered.count() == 5000
         assert numbered.filter(F.col("n") != F.col(FILE_ROW_NUMBER)).count() == 0
+        assert "Sort" not in numbered._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_row_numbers_of_several_files_in_a_task(spark, tmp_path):
+    for name, n in ("a", 30), ("b", 1), ("c", 700):
+        (tmp_path / f"{name}.txt").write_text("".join(f"{name} {i}\n" for i in range(1, n + 1)))
+    with gzip.open(tmp_path / "d.txt.gz", "wt") as f:
+        f.writelines(f"d {i}\n" for i in range(1, 3001))
+    lines = spark.read.text(str(tmp_path)).select(
+        F.split("value", " ")[1].cast("int").alias("n"),
+        F.col("_metadata.file_path").alias(FILE_NAME),
+        F.col("_metadata.file_block_start").alias("__split"),
+    )
+    numbered = numbered_rows(lines.coalesce(1))
+    assert numbered.count() == 3731
+    assert numbered.filter(F.col("n") != F.col(FILE_ROW_NUMBER)).count() == 0
+    assert numbered_rows(lines.limit(0)).count() == 0
+
+
 def test_workspace_is_the_shared_folder(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert new_folder(spark, "x") != new_folder(spark, "x")

@@ -11,38 +11,51 @@ from tidemart.constants import (
     FILE_NAME,
     FILE_ROW_NUMBER,
 )
+from tidemart.operators.small import fits_broadcast
 from tidemart.sources.files import FileSource, raw_rows, typed_columns, whole_row
+from tidemart.sources.filesystem import delete
+from tidemart.sources.workspace import new_folder
 
-_SPLIT, _SEEN, _IN_SPLIT = "__split", "__seen", "__in_split"
+_SPLIT, _SEEN = "__split", "__seen"
 
 
-def numbered_rows(rows: DataFrame) -> DataFrame:
+def numbered_rows(rows: DataFrame, folder: str | None = None) -> DataFrame:
     """Add the position of each row in its file, starting at 1.
 
-    ``rows`` come straight from a file scan, with the file and its split.
-    A split of a file is read in order by one task, so rows are ranked inside
-    their split, which has a bounded size, and moved by the number of rows in
-    the earlier splits of the file. No task ever holds a whole file.
+    ``rows`` come straight from a file scan, with the file and its split. A split is
+    read in order by one task, whose row ids rise by one from row to row: a row's
+    distance from the split's least id, moved by the rows in the earlier splits of the
+    file, is its position. No row is sorted or shuffled, and a compressed file, which
+    is one split however large, only passes through its task.
+
+    Rows and splits are written to ``folder`` once, because a second scan may cut the
+    files into other splits, for instance after executors came or went.
     """
-    rows = rows.withColumn(_SEEN, F.monotonically_increasing_id())
-    inside = Window.partitionBy(FILE_NAME, _SPLIT).orderBy(_SEEN)
-    ranked = rows.withColumn(_IN_SPLIT, F.row_number().over(inside))
-    sizes = rows.groupBy(FILE_NAME, _SPLIT).agg(F.count(F.lit(1)).alias("__n"))
+    spark = rows.sparkSession
+    folder = folder or new_folder(spark, "numbered")
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    seen = kept(rows.withColumn(_SEEN, F.monotonically_increasing_id()), "rows")
+    splits = seen.groupBy(FILE_NAME, _SPLIT).agg(
+        F.min(_SEEN).alias("__first"), F.count(F.lit(1)).alias("__n")
+    )
     earlier = (
         Window.partitionBy(FILE_NAME)
         .orderBy(_SPLIT)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    starts = sizes.select(
-        FILE_NAME,
-        _SPLIT,
-        F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"),
-    )
-    position = (F.col("__before") + F.col(_IN_SPLIT)).cast("bigint")
+    before = F.coalesce(F.sum("__n").over(earlier), F.lit(0))
+    # From a row's id to its position.
+    starts = splits.select(FILE_NAME, _SPLIT, (before - F.col("__first") + 1).alias("__shift"))
+    starts = kept(starts, "splits")
+    starts = F.broadcast(starts) if fits_broadcast(starts) else starts.hint("shuffle_hash")
     return (
-        ranked.join(starts, [FILE_NAME, _SPLIT])
-        .withColumn(FILE_ROW_NUMBER, position)
-        .drop(_SPLIT, _SEEN, _IN_SPLIT, "__before")
+        seen.join(starts, [FILE_NAME, _SPLIT])
+        .withColumn(FILE_ROW_NUMBER, (F.col(_SEEN) + F.col("__shift")).cast("bigint"))
+        .drop(_SPLIT, _SEEN, "__shift")
     )
 
 
@@ -85,7 +98,8 @@ def ingest_files(
     names = [c.output for c in spec.columns] or ["value"]
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        out = batch if FILE_ROW_NUMBER in batch.columns else numbered_rows(batch)
+        scratch = new_folder(spark, "numbered")
+        out = batch if FILE_ROW_NUMBER in batch.columns else numbered_rows(batch, scratch)
         if spec.on_error == "skip":
             out = out.filter("__sound")
         (
@@ -99,6 +113,7 @@ def ingest_files(
             .write.mode("overwrite")
             .parquet(f"{target}/batch={batch_id}")
         )
+        delete(spark, scratch)
 
     (
         stream.writeStream.foreachBatch(append)
