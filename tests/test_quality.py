@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemart.operators import quality as q
 from tidemart.operators import report as r
+from tidemart.operators.fingerprint import unequal_rows
 from tidemart.operators.report import RowCheck, Threshold, quality_report
+from tidemart.operators.reshape import difference
 
 
 def table(spark, ddl, *values):
@@ -55,6 +57,45 @@ def test_equality(spark, rows):
         q.equality(a, b, ["col_a"], ["col_b"])
 
 
+def plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_equal_tables_are_not_shuffled(spark):
+    a = spark.range(20_000).select("id", (F.col("id") % 7).cast("string").alias("v"))
+    same = q.equality(a, a.repartition(3))
+    assert same.count() == 0 and "Exchange" not in plan(same)
+    counts = q.cardinality_equality(a, "v", a.repartition(3), "v")
+    assert counts.count() == 0 and "Exchange" not in plan(counts)
+    # One changed row of 20,000: the rows of two buckets are left to compare.
+    changed = a.withColumn("v", F.when(F.col("id") == 777, "new").otherwise(F.col("v")))
+    both = a.withColumn("a", F.lit(1)).unionAll(changed.withColumn("a", F.lit(0)))
+    assert 2 <= unequal_rows(both, ["id", "v"], F.col("a") == 1).count() <= 60
+    assert sorted(q.equality(a, changed).collect()) == [("a_minus_b", 777, "0"), ("b_minus_a", 777, "new")]
+
+
+_VALUE = st.one_of(st.none(), st.sampled_from(["", "x", "y"]))
+_ROW = st.tuples(_VALUE, _VALUE, st.sampled_from([None, 0.0, -0.0, float("nan"), 1.5]))
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(_ROW, max_size=5), st.lists(_ROW, max_size=5))
+def test_fingerprints_lose_no_difference(spark, left, right):
+    ddl = "s string, t string, d double"
+    a, b = table(spark, ddl, *left), table(spark, ddl, *right)
+    expected = sorted(map(repr, difference(a, b).collect()))
+    assert sorted(map(repr, difference(a, b, alike=True).collect())) == expected
+
+
+def test_fingerprints_tell_where_a_null_stands(spark, rows):
+    a = table(spark, "s string, t string, l array<int>", (None, "x", [None, 1]))
+    b = table(spark, "s string, t string, l array<int>", ("x", None, [1, None]))
+    for names in (["s", "t"], ["l"], ["s", "t", "l"]):
+        assert q.equality(a, b, names).count() == 2
+        assert q.equality(a, a.unionAll(a), names).count() == 0
+
+
 def test_equality_with_precision(spark):
     a = table(spark, "id string, n double", ("x", 0.12345678), ("y", -7.00000011))
     b = table(spark, "id string, n double", ("x", 0.12345681), ("y", -7.00000014))

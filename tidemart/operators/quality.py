@@ -17,6 +17,7 @@ from pyspark.sql.types import DecimalType, DoubleType, FloatType
 from tidemart.functions.calendar import clock_time, date_add
 from tidemart.functions.scalar import ColumnOrName, column
 from tidemart.functions.text import slugify_name
+from tidemart.operators.fingerprint import unequal_rows
 from tidemart.operators.neighbours import COPIES, repeat_rows, with_neighbour
 from tidemart.operators.reshape import columns_except, difference
 
@@ -338,11 +339,14 @@ def mutually_exclusive_ranges(
 def cardinality_equality(
     df: DataFrame, name: str, to: DataFrame, field: str
 ) -> DataFrame:
-    """Values whose row counts differ between the columns, one row per side."""
+    """Values whose row counts differ between the columns, one row per side.
+
+    Only values of buckets whose fingerprints differ are counted.
+    """
     a = df.select(F.col(name).alias("value"), F.lit(1).alias("__a"), F.lit(0).alias("__b"))
     b = to.select(F.col(field).alias("value"), F.lit(0).alias("__a"), F.lit(1).alias("__b"))
     counts = (
-        a.unionAll(b)
+        unequal_rows(a.unionAll(b), ["value"], F.col("__a") == 1)
         .groupBy("value")
         .agg(F.sum("__a").alias("n_a"), F.sum("__b").alias("n_b"))
         .filter(F.col("n_a") != F.col("n_b"))
@@ -404,7 +408,10 @@ def equality(
     exclude_columns: Sequence[str] | None = None,
     precision: int | None = None,
 ) -> DataFrame:
-    """Rows of one table that the other lacks; duplicates do not count."""
+    """Rows of one table that the other lacks; duplicates do not count.
+
+    Fingerprints are compared first: tables that pass are not shuffled.
+    """
     if compare_columns and exclude_columns:
         raise ValueError("give compare_columns or exclude_columns, not both")
     if compare_columns:
@@ -429,7 +436,7 @@ def equality(
             ]
         )
 
-    return difference(shaped(df), shaped(compare), names)
+    return difference(shaped(df), shaped(compare), names, alike=True)
 
 
 def equality_failures(differences: DataFrame) -> DataFrame:

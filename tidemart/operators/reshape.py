@@ -13,6 +13,7 @@ from pyspark.sql.types import CharType, DataType, StringType, VarcharType
 from tidemart.constants import SOURCE_RELATION
 from tidemart.functions.scalar import ColumnOrName, column
 from tidemart.functions.text import slugify_name
+from tidemart.operators.fingerprint import unequal_rows
 
 _STRINGS = (StringType, VarcharType, CharType)
 
@@ -276,19 +277,26 @@ def tables_by_prefix(
 
 
 def difference(
-    a: DataFrame, b: DataFrame, names: Sequence[str] | None = None
+    a: DataFrame,
+    b: DataFrame,
+    names: Sequence[str] | None = None,
+    alike: bool = False,
 ) -> DataFrame:
     """Set difference both ways, tagged ``a_minus_b`` or ``b_minus_a``.
 
     One grouped pass over both sides instead of two EXCEPTs: duplicates fall
-    together before the exchange and each side is read once.
+    together before the exchange and each side is read once. For tables that are
+    ``alike``, fingerprints of buckets are compared first, and only rows of unequal
+    buckets are shuffled, at the price of another reading.
     """
     names = list(names or a.columns)
     left = a.select(*[_quoted(c) for c in names]).withColumn("__a", F.lit(1))
     right = b.select(*[_quoted(c) for c in names]).withColumn("__a", F.lit(0))
+    both = left.unionAll(right)
+    if alike:
+        both = unequal_rows(both, names, F.col("__a") == 1)
     return (
-        left.unionAll(right)
-        .groupBy(*[_quoted(c) for c in names])
+        both.groupBy(*[_quoted(c) for c in names])
         .agg(F.min("__a").alias("__lo"), F.max("__a").alias("__hi"))
         .filter(F.col("__lo") == F.col("__hi"))
         .select(
