@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import random
 import zlib
+from collections import Counter, defaultdict
 from pathlib import Path
 
 import duckdb
@@ -342,6 +343,28 @@ def test_shards_are_even_and_groups_whole(spark, edges, nothing):
     assert sharding.balanced_shards(nothing).count() == 0
 
 
+def test_shards_cut_few_links(spark):
+    # Groups of 2 to 40 copies, and one of a tenth of the rows, among lone texts.
+    texts = [f"group {g}" for g in range(40) for _ in range(g + 2)] + ["big"] * 200 + [f"lone {i}" for i in range(900)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    placed = sharding.balanced_shards(docs)
+    sizes = Counter(r.shard for r in placed.collect())
+    assert max(sizes.values()) - min(sizes.values()) <= 1 and len(sizes) == 16
+    shard = {r.doc_id: r.shard for r in placed.collect()}
+    members = defaultdict(list)
+    for i, t in enumerate(texts):
+        members[t].append(shard[i])
+    pairs = [(a, b) for m in members.values() for k, a in enumerate(m) for b in m[:k]]
+    counted = sharding.cut_links(placed, docs).first()
+    assert (counted.links, counted.cut) == (len(pairs), sum(a != b for a, b in pairs))
+    dealt = docs.select("doc_id", F.pmod(F.xxhash64("doc_id", "text"), F.lit(16)).alias("shard"))
+    # The largest group exceeds a shard: of its pairs about a third fit into two shards.
+    assert counted.cut < 0.6 * sharding.cut_links(dealt, docs).first().cut
+    small = docs.where("text <> 'big'")
+    assert sharding.cut_links(placed, small).first().cut < 0.15 * sharding.cut_links(dealt, small).first().cut
+    assert sharding.cut_links(placed, docs.limit(0)).first() == (0, 0)
+
+
 def test_moved_passages_are_found(spark, nothing):
     rng = random.Random(8)
     line = lambda: " ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(12)) + str(rng.random())

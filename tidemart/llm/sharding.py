@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from tidemart.llm.common import written
 
-SHARDS, ROUNDS = 16, 8
+SHARDS = 16
+#: Rounds without a gain after which a class of groups has settled.
+PATIENCE = 4
 #: Rows that one task numbers, about.
 NUMBERED = 20_000
 _FINE = 1 << 20
@@ -36,53 +38,102 @@ def _classes(capacity: int) -> tuple[int, int, int]:
     return max(3, capacity // 4), max(2, capacity // 64), 1
 
 
-def propagate(parcels: DataFrame, capacity: int, shards: int, rounds: int = ROUNDS) -> DataFrame:
-    """Moves ``hub, members, start, shard, n`` until no parcel gains or has room.
+def _votes(parcels: DataFrame) -> DataFrame:
+    return parcels.groupBy("hub", "shard").agg(F.sum("n").alias("votes"))
+
+
+def _standing(votes: DataFrame, capacity: int, shards: int) -> tuple[float, list[int]]:
+    """How well linked rows lie together, and the rows of each shard.
+
+    The first is the sum of squared votes, which grows with the pairs of linked rows on
+    one shard; of a shard that is too full, the rows beyond its quota do not count.
+    """
+    square = F.sum(F.col("votes").cast("double") * F.col("votes"))
+    found = {r[0]: r for r in votes.groupBy("shard").agg(F.sum("votes"), square).collect()}
+    load = [found[s][1] if s in found else 0 for s in range(shards)]
+    return sum(r[2] * min(1, capacity / r[1]) ** 2 for r in found.values()), load
+
+
+def propagate(parcels: DataFrame, capacity: int, shards: int) -> DataFrame:
+    """Moves ``hub, members, start, shard, n`` while that brings linked rows together.
 
     Large groups settle first, as if the smaller ones took no room; these then leave
-    the shards that are too full.
+    the shards that are too full. A class of groups has settled when no parcel wishes
+    to move, or when ``PATIENCE`` rounds brought no more linked rows together within the
+    quotas; the best of its rounds stands.
     """
-    state = parcels
-    sizes = _classes(capacity)
-    settled = set()
-    for rnd, least in enumerate(x for x in sizes for _ in range(rounds)):
-        if least in settled:
-            continue
-        larger = min([x for x in sizes if x > least], default=0)
-        counted = state.where(F.col("members") > least)
-        load = _by_shard(counted, shards)
-        room = [max(0, capacity - x) for x in load]
-        crowded = F.col("shard").isin([s for s in range(shards) if load[s] > capacity])
-        votes = counted.groupBy("hub", "shard").agg(F.sum("n").alias("votes"))
-        open_to = F.col("shard").isin([s for s in range(shards) if room[s]])
-        ordered = (-F.col("shard")).alias("order")
-        best = votes.where(open_to).groupBy("hub").agg(F.max(F.struct("votes", ordered)).alias("best"))
-        # Groups that settled before stay where they are.
-        leaves = crowded & (F.col("members") <= larger)
-        own = F.struct(F.when(leaves, F.lit(0)).otherwise(F.col("votes")).alias("votes"), ordered)
-        wishes = (
-            counted.join(votes, ["hub", "shard"])
-            .join(best, "hub")
-            .withColumn("target", (-F.col("best.order")).cast("int"))
-            .where((F.col("target") != F.col("shard")) & (F.col("best") > own))
-            .where(F.col("n") <= _nth(room, F.col("target")))
-            .select("hub", "start", "n", "target")
-        )
-        wishes = written(wishes, "wishes")
-        demand = _by_shard(wishes, shards, "target")
-        if not any(demand):
-            settled.add(least)
-            continue
-        # The share of the wishes that fits, by a hash of the parcel.
-        share = [_FINE if d <= r else _FINE * r // d for d, r in zip(demand, room, strict=True)]
-        drawn = F.pmod(F.xxhash64("hub", "start", F.lit(rnd)), F.lit(_FINE))
-        goes = wishes.where(drawn < _nth(share, F.col("target"))).select("hub", "start", "target")
-        moved = state.join(goes, ["hub", "start"], "left")
-        shard = F.coalesce("target", "shard").alias("shard")
-        state = written(moved.select("hub", "members", "start", shard, "n"), "parcels")
+    state, larger = parcels, 0
+    for least in dict.fromkeys(_classes(capacity)):
+        best, standing, rnd, tried = state, -1.0, 0, 0
+        while state is not None and tried < PATIENCE:
+            counted = state.where(F.col("members") > least)
+            votes = written(_votes(counted), "votes")
+            now, load = _standing(votes, capacity, shards)
+            tried += 1
+            if now > standing:
+                best, standing, tried = state, now, 0
+            state, rnd = _round(state, counted, votes, load, capacity, shards, larger, rnd), rnd + 1
+        state, larger = best, least
     return state
 
 
+def _round(
+    state: DataFrame,
+    counted: DataFrame,
+    votes: DataFrame,
+    load: list[int],
+    capacity: int,
+    shards: int,
+    larger: int,
+    rnd: int,
+) -> DataFrame | None:
+    """One round of moves; None if no parcel wishes to move."""
+    room = [max(0, capacity - x) for x in load]
+    crowded = F.col("shard").isin([s for s in range(shards) if load[s] > capacity])
+    open_to = F.col("shard").isin([s for s in range(shards) if room[s]])
+    ordered = (-F.col("shard")).alias("order")
+    best = votes.where(open_to).groupBy("hub").agg(F.max(F.struct("votes", ordered)).alias("best"))
+    # Groups that settled before stay where they are.
+    leaves = crowded & (F.col("members") <= larger if larger else F.lit(False))
+    own = F.struct(F.when(leaves, F.lit(0)).otherwise(F.col("votes")).alias("votes"), ordered)
+    wishes = (
+        counted.join(votes, ["hub", "shard"])
+        .join(best, "hub")
+        .withColumn("target", (-F.col("best.order")).cast("int"))
+        .where((F.col("target") != F.col("shard")) & (F.col("best") > own))
+        .where(F.col("n") <= _nth(room, F.col("target")))
+        .select("hub", "start", "n", "target")
+    )
+    wishes = written(wishes, "wishes")
+    demand = _by_shard(wishes, shards, "target")
+    if not any(demand):
+        return None
+    # The share of the wishes that fits, by a hash of the parcel.
+    share = [_FINE if d <= r else _FINE * r // d for d, r in zip(demand, room, strict=True)]
+    drawn = F.pmod(F.xxhash64("hub", "start", F.lit(rnd)), F.lit(_FINE))
+    goes = wishes.where(drawn < _nth(share, F.col("target"))).select("hub", "start", "target")
+    moved = state.join(goes, ["hub", "start"], "left")
+    shard = F.coalesce("target", "shard").alias("shard")
+    return written(moved.select("hub", "members", "start", shard, "n"), "parcels")
+
+
+def cut_links(placed: DataFrame, texts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row, ``links, cut``: pairs of documents with equal texts, and those lying apart.
+
+    ``placed`` has ``doc_id`` and ``shard`` of the documents of ``texts``. Pairs are counted
+    from the groups' sizes, not made. Rows with a NULL id are left out.
+    """
+    text = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")), F.lit("group")).alias("hub")
+    hubs = texts.select(F.col(id_col).cast("bigint").alias("doc_id"), text).distinct()
+    held = placed.select("doc_id", "shard").join(hubs, "doc_id")
+    held = held.groupBy("hub", "shard").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    n = F.col("n")
+    hub = held.groupBy("hub").agg(F.sum("n").alias("n"), F.sum(n * (n - 1) / 2).alias("together"))
+    pairs = n * (n - 1) / 2
+    whole = lambda c: F.coalesce(F.sum(c), F.lit(0.0)).cast("bigint")
+    return hub.agg(whole(pairs).alias("links"), whole(pairs - F.col("together")).alias("cut"))
+
+
 def balanced_shards(
     docs: DataFrame,
     shards: int = SHARDS,
@@ -117,11 +168,12 @@ def balanced_shards(
     large, middle, _ = _classes(capacity)
     members = F.col("members")
     order = F.when(members > large, 0).when(members > middle, 1).otherwise(2)
-    moved = moved.select("hub", "start", F.col("shard").alias("moved"), order.alias("order"))
+    moved = moved.select("hub", "start", "members", F.col("shard").alias("moved"), order.alias("order"))
     placed = base.join(moved, ["hub", "start"], "left").select(
         "doc_id", "size", "text_crc32", "hub", "row",
         F.coalesce("moved", "start").alias("at"),
         F.coalesce("order", F.lit(3)).alias("free"),
+        F.coalesce("members", F.lit(1)).alias("members"),
     )
     numbered, counts = _numbered(placed, total, shards)
     return _evened(numbered, counts, total, shards)
@@ -136,7 +188,8 @@ def _numbered(placed: DataFrame, total: int, shards: int) -> tuple[DataFrame, li
     """
     buckets = max(1, -(-total // (shards * NUMBERED)))
     lone = F.pmod("row", F.lit(buckets))
-    group = F.pmod(F.xxhash64("hub", F.pmod(F.shiftright("row", 20), F.lit(16))), F.lit(buckets))
+    spread = F.ceil(F.col("members") / NUMBERED).cast("bigint")
+    group = F.pmod(F.xxhash64("hub", F.pmod(F.shiftright("row", 20), spread)), F.lit(buckets))
     bucketed = placed.withColumn("bucket", F.when(F.col("free") == 3, lone).otherwise(group))
     bucketed = written(bucketed, "placed")
     sizes = bucketed.groupBy("at", "free", "bucket").agg(F.count(F.lit(1)).alias("n"))
