@@ -3,6 +3,8 @@
 import gzip
 import hashlib
 import random
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -250,6 +252,54 @@ def test_word_tokens_equal_the_library():
             assert np.frombuffer(ids, "<u4").tolist() == want
 
 
+#: Tasks over a batch of 25 MB and 300,000 words; prints by how many MB each left the process larger.
+TASKS = """
+import re
+import sys
+
+import pandas as pd
+import pyarrow as pa
+
+from tidemart.llm import near_dedup, packing
+
+def held():
+    with open("/proc/self/status") as f:
+        return int(re.search(r"RssAnon:\\s+(\\d+)", f.read())[1]) / 1024
+
+def batches(first):
+    words = "of the same old words as ever before, again and again in here"
+    lines = [[f"{number(i * 100 + j)} {words}" for j in range(100)] for i in range(first, first + 3000)]
+    texts = [" ".join(line) for line in lines]
+    yield pa.RecordBatch.from_arrays([pa.array(range(3000)), pa.array(texts)], ["doc_id", "text"])
+
+def number(n):
+    return "".join(chr(97 + n // 26**k % 26) for k in range(5))
+
+tasks = {
+    "near": [near_dedup._signatures(5), near_dedup._sets(5)],
+    "packing": [packing._cut(sys.argv[1], 2048)],
+}
+for task in tasks.values():
+    for t in task:
+        list(t(b.slice(0, 100) for b in batches(0)))
+before = held()
+for name, task in tasks.items():
+    for t in task:
+        for _ in t(batches(3000)):
+            pass
+    print(name, held() - before)
+"""
+
+
+def test_workers_keep_little_of_a_task():
+    run = [sys.executable, "-c", TASKS, WORDS]
+    found = subprocess.run(run, cwd=Path(corpus_pipeline.__file__).parent, capture_output=True, text=True, check=True)
+    for line in found.stdout.splitlines():
+        name, grown = line.split()
+        assert float(grown) < 25, name
+    assert len(found.stdout.splitlines()) == 2
+
+
 def test_packed_documents(edges, nothing):
     rows = packing.pack_documents(edges, WORDS).collect()
     library = Tokenizer.from_file(WORDS)

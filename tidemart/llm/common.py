@@ -37,15 +37,22 @@ def ship(spark: SparkSession) -> None:
 _shipped: set[str] = set()
 
 
+#: The parameter of ``mallopt``, and the bytes from which on a buffer is a mapping of its own.
+_MMAP_THRESHOLD, _LARGE = -3, 4 << 20
+
+
 def give_back() -> None:
     """Returns a Python worker's freed memory to the system.
 
     Workers are used again, and Spark counts what they hold; the allocators of Arrow
-    and of the C library keep what a task has freed.
+    and of the C library keep what a task has freed. Buffers as large as a batch of
+    texts, which is freed after its task's last line, go back by themselves from then on.
     """
     pa.default_memory_pool().release_unused()
-    with suppress(OSError, AttributeError):  # only glibc has the call
-        ctypes.CDLL(None).malloc_trim(0)
+    with suppress(OSError, AttributeError):  # only glibc has the calls
+        c = ctypes.CDLL(None)
+        c.mallopt(_MMAP_THRESHOLD, _LARGE)
+        c.malloc_trim(0)
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:

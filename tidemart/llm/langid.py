@@ -249,6 +249,7 @@ def _features(batches):
                 ],
                 ["lang", "buckets", "counts"],
             )
+    _bucket.clear()
     give_back()
 
 

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import ship, written
+from tidemart.llm.common import give_back, ship, written
 from tidemart.llm.components import connected
 
 ROWS, BANDS, BITS = 6, 42, 4
@@ -40,7 +40,8 @@ BLOCK = 512
 #: Counters, as a power of two, that order shingles from rare to frequent. Any order
 #: gives the same links; shared counters only leave more members to compare.
 COUNTERS = 20
-_WORDS_KEPT = 400_000
+#: Words that a worker remembers within a task.
+_WORDS_KEPT = 60_000
 _LOW = np.uint64(0x1111111111111111)
 
 
@@ -53,6 +54,14 @@ class _WordHashes(dict):
 
 
 _hashes = _WordHashes()
+
+
+def _forget() -> None:
+    """Leaves a worker, which later stages use again, without this stage's words."""
+    _hashes.clear()
+    give_back()
+
+
 _FACTORS = np.random.default_rng(20240101).integers(0, 2**63, HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -154,6 +163,7 @@ def _signatures(shingle: int):
                     [part.column(0), *arrays],
                     ["doc_id", "n_shingles", "set1", "set2", "bands", "bits"],
                 )
+        _forget()
 
     return sign
 
@@ -167,6 +177,7 @@ def _sets(shingle: int):
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(found, pa.binary())], ["id", "members"]
                 )
+        _forget()
 
     return sets
 
@@ -204,6 +215,7 @@ def _confirmed(percent: int):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(linked)], ["u", "v", "linked"]
             )
+        give_back()
 
     return confirm
 

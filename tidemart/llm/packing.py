@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import ship, written
+from tidemart.llm.common import give_back, ship, written
 from tidemart.llm.word_tokens import tokenizer
 
 CAPACITY = 2048
@@ -172,6 +172,8 @@ def _cut(path: str, capacity: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names
                 )
+        encoder.forget()
+        give_back()
 
     return cut
 

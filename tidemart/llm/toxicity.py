@@ -169,6 +169,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pandas(n.astype("int64"), preserve_index=False)
             del keys, found, each, n
             give_back()
+    _hash.clear()
+    give_back()
 
 
 def _continuations(words: np.ndarray, owners: int):
@@ -189,8 +191,9 @@ def _continuations(words: np.ndarray, owners: int):
             at = _places(words, names, hashes)
             before, after = (np.concatenate([x[k : len(x) - 1 + k] for x in fresh]) for k in (0, 1))
             key = (_pair_hashes(hashes[before], hashes[after]) << shift) | at[after]
-            key = np.sort(np.concatenate([held, key]))  # np.unique hashes, which takes far longer
-            return key[np.diff(key, prepend=-1) != 0]
+            key = np.concatenate([held, key])
+            key.sort()  # np.unique hashes, which takes far longer
+            return key[np.append(True, key[1:] != key[:-1])]
 
         for batch in batches:
             for text in batch.column(0):

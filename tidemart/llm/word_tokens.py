@@ -15,7 +15,8 @@ from functools import cache
 import numpy as np
 from tokenizers import Tokenizer
 
-_PIECES_KEPT = 600_000
+#: Pieces whose ids a worker remembers within a task.
+_PIECES_KEPT = 300_000
 #: Longer pieces are seldom words; their ids are not kept.
 _LONGEST_KEPT = 64
 _PIECES_AT_ONCE = 512
@@ -89,6 +90,10 @@ class WordTokenizer:
                 del known[p]
         return out
 
+    def forget(self) -> None:
+        """Lets go of all ids kept; they are encoded again where they are needed."""
+        self._known.clear()
+
 
 @cache
 def tokenizer(path: str) -> WordTokenizer:
