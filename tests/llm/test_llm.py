@@ -11,6 +11,7 @@ from pathlib import Path
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -33,7 +34,7 @@ from tidemart.llm import (
     toxicity,
     warc,
 )
-from tidemart.llm.common import first_by_hash
+from tidemart.llm.common import BATCH_BYTES, BATCH_SETTING, first_by_hash
 from tidemart.llm.components import connected
 from tidemart.llm.word_tokens import WordTokenizer
 
@@ -300,6 +301,26 @@ def test_workers_keep_little_of_a_task():
     assert len(found.stdout.splitlines()) == 2
 
 
+@pytest.mark.parametrize("stage", ["language", "clean", "dissimilar", "packed"])
+def test_workers_are_sent_few_bytes_at_once(spark, edges, tmp_path, stage):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["n", "bytes"])
+
+    docs = edges.select("doc_id", "text", F.lit("en").alias("lang"))
+    spark.createDataFrame([(7, 1)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    texts = spark.range(0, 800, 1, 1).select("id", F.expr("repeat('word ', 4000)").alias("text"))
+    spark.conf.unset(BATCH_SETTING)
+    getattr(corpus_pipeline, stage)(spark, docs, str(tmp_path))
+    sent = texts.mapInArrow(sizes, "n long, bytes long").collect()
+    assert sum(r.n for r in sent) == 800
+    assert max(r.bytes for r in sent) < 1.1 * BATCH_BYTES
+    spark.conf.set(BATCH_SETTING, "64m")
+    getattr(corpus_pipeline, stage)(spark, docs, str(tmp_path))
+    assert spark.conf.get(BATCH_SETTING) == "64m"
+    spark.conf.unset(BATCH_SETTING)
+
+
 def test_packed_documents(edges, nothing):
     rows = packing.pack_documents(edges, WORDS).collect()
     library = Tokenizer.from_file(WORDS)

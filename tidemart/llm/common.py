@@ -37,6 +37,21 @@ def ship(spark: SparkSession) -> None:
 _shipped: set[str] = set()
 
 
+#: Bytes of rows, about, that a Python worker is sent at once, and the setting that says so.
+BATCH_BYTES, BATCH_SETTING = 2 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Has whole texts sent to the Python workers in batches of few bytes.
+
+    Spark sends up to 10,000 rows or 64 MB at once, and both the executor and the worker
+    hold a batch several times over. The rows stay the same; a bound that the session
+    has set itself stays too.
+    """
+    if BATCH_SETTING not in spark.conf.getAll:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 #: The parameter of ``mallopt``, and the bytes from which on a buffer is a mapping of its own.
 _MMAP_THRESHOLD, _LARGE = -3, 4 << 20
 

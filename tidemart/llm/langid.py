@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import first_by_hash, give_back, held_out, ship
+from tidemart.llm.common import bound_batches, first_by_hash, give_back, held_out, ship
 
 #: Labelled documents of each language that the model may see.
 PER_LANGUAGE = 800
@@ -267,6 +267,7 @@ def fit(
     learnt from; from an empty table comes a model that knows no language.
     """
     ship(docs.sparkSession)
+    bound_batches(docs.sparkSession)
     named = docs.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     ).where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
@@ -285,6 +286,7 @@ def fit(
 def verdict(docs: DataFrame, model: Model, text: Column) -> Column:
     """``lang, score, rejected`` of a text column, from whole texts."""
     ship(docs.sparkSession)
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("lang string, score double, rejected boolean")

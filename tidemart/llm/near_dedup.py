@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import give_back, ship, written
+from tidemart.llm.common import bound_batches, give_back, ship, written
 from tidemart.llm.components import connected
 
 ROWS, BANDS, BITS = 6, 42, 4
@@ -308,6 +308,7 @@ def near_duplicates(
     Returns ``doc_id, n_shingles, component_id, kept``.
     """
     ship(docs.sparkSession)
+    bound_batches(docs.sparkSession)
     texts = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")
     )

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import give_back, ship, written
+from tidemart.llm.common import bound_batches, give_back, ship, written
 from tidemart.llm.word_tokens import tokenizer
 
 CAPACITY = 2048
@@ -193,5 +193,6 @@ def pack_documents(
     others, repeated rows each on their own; an empty table gives no rows.
     Returns the columns of ``PIECE``, ``sequence_id, offset, bins, bound``.
     """
+    bound_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     return pack(texts.mapInArrow(_cut(path, capacity), PIECE), capacity)

@@ -21,7 +21,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import first_by_hash, fold_of, give_back, held_out, parallelism, ship, written
+from tidemart.llm.common import (
+    bound_batches,
+    first_by_hash,
+    fold_of,
+    give_back,
+    held_out,
+    parallelism,
+    ship,
+    written,
+)
 from tidemart.llm.exact_dedup import rice_decode, rice_encode
 
 #: Labelled documents of each class that the models may see.
@@ -342,6 +351,7 @@ def fit(
     """
     spark = docs.sparkSession
     ship(spark)
+    bound_batches(spark)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     marked = labels.select(
         F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("toxic")
@@ -394,6 +404,7 @@ def _features(spark, model: Model, text: Column) -> Column:
 def score(docs: DataFrame, model: Model, text: Column) -> Column:
     """The score of a text column, from whole texts; NULL counts as empty."""
     ship(docs.sparkSession)
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
