@@ -157,6 +157,35 @@ def test_hard_negatives_in_many_blocks(spark, monkeypatch, seed):
     assert len(expected) > 300
 
 
+def test_blocks_of_vectors_are_not_broadcast(spark, monkeypatch):
+    # A copy of the anchors for every block of rows looks as small as the anchors.
+    monkeypatch.setattr(hard_negatives, "ROWS", 16)
+    monkeypatch.setattr(hard_negatives, "ANCHORS", 4)
+    plans, written = [], hard_negatives.written
+
+    def seen(df, purpose):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, purpose)
+
+    monkeypatch.setattr(hard_negatives, "written", seen)
+    rows = vectors(4)
+    found = hard_negatives.hard_negatives(spark.createDataFrame(rows, NO_VECTORS).repartition(5))
+    assert sorted(map(tuple, found.collect())) == plain_negatives(rows)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert any("MapInArrow" in p for p in plans)
+    assert not [p for p in plans if "Broadcast" in p or "Generate" in p]
+
+
+@pytest.mark.parametrize("few", [0, 32])
+def test_hard_negatives_of_one_hot_vector(spark, monkeypatch, few):
+    monkeypatch.setattr(hard_negatives, "ROWS", 64)
+    monkeypatch.setattr(hard_negatives, "ANCHORS", 4)
+    monkeypatch.setattr(hard_negatives, "LABELS", few)
+    rows = [(i, [1.5, 1.0, 0.5], i % 2) if i % 3 else r for i, r in zip(range(0, 1500, 5), vectors(5, 300))]
+    found = hard_negatives.hard_negatives(spark.createDataFrame(rows, NO_VECTORS).repartition(3))
+    assert sorted(map(tuple, found.collect())) == plain_negatives(rows)
+
+
 def test_hard_negatives_of_edge_cases(spark):
     nan, inf = float("nan"), float("inf")
     rows = [

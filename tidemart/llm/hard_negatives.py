@@ -1,11 +1,13 @@
 """Hard negatives by disjoint slots of scores.
 
-Anchors are scored against all rows, in blocks. A first pass finds every anchor's
-positives, the best rows of its label. The upper limits of their windows cut the scores
-into disjoint slots: one slot reaches from a limit down to the next smaller one. In a
-second pass combiners keep the best rows of other labels in every slot. What a window
-returns lies among the best rows below its limit, and those come from merging the slots
-from the last one up; its lower limit then only cuts the list.
+Anchors are scored against all rows, in blocks: tasks get some blocks of anchors each and
+read the blocks of rows one by one, a Cartesian product for which nothing is copied in
+advance or broadcast. A first pass finds every anchor's positives, the best rows of its label. The upper limits of
+their windows cut the scores into disjoint slots: one slot reaches from a limit down to
+the next smaller one, the last one to the least score that any window takes. In a second
+pass tasks keep the best rows of other labels in every slot. What a window returns lies
+among the best rows below its limit, and those come from merging the slots from the last
+one up; its lower limit then only cuts the list.
 """
 
 from __future__ import annotations
@@ -19,15 +21,22 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import parallelism, ship, written
+from tidemart.llm.common import bound_batches, parallelism, ship, written
 
 #: Rows of a block of candidates and of anchors, and anchors scored at once.
 ROWS, ANCHORS, AT_ONCE = 4096, 1024, 128
-#: Rows that a combiner holds before it reduces them.
-HELD = 500_000
+#: Labels that two blocks share, up to which each label is scored on its own.
+LABELS = 32
+#: Blocks of anchors whose best rows a task holds, at most.
+HELD = 32
 _BLOCK = "block long, n int, width int, largest long, kind string, ids binary, labels binary, matrix binary"
+_SIDE = ("width", "largest", "kind", "ids", "labels", "matrix")
+_ASKED = "q long, q_width int, q_largest long, q_kind string, q_ids binary, q_labels binary, q_matrix binary"
 _LIMIT = 2**62
-_FOUND = "q long, anchor int, slot int, vec_id long, score long"
+_LEAST, _MOST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
+#: The score of a place that no row has taken; its negative fits in 64 bits too.
+_ABSENT = _LEAST + 1
+_FOUND = "q long, anchor_id long, slot int, vec_id long, score long"
 _PAIRS = "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long"
 
 
@@ -47,22 +56,24 @@ def usable(vectors: DataFrame, id_col: str, label_col: str, vector_col: str) ->
 def _blocks(size: int):
     """Rows as blocks of a matrix, in the smallest integers, ordered by id."""
 
-    def pack(rows: list, number: int) -> pa.RecordBatch:
-        rows.sort(key=lambda r: r[0])
-        matrix = np.zeros((len(rows), max(len(v) for _, _, v in rows)), np.int64)
-        for i, (_, _, v) in enumerate(rows):
-            matrix[i, : len(v)] = v
+    def pack(rows: pa.Table, number: int) -> pa.RecordBatch:
+        ids, labels = (rows.column(k).to_numpy() for k in (0, 1))
+        order = np.argsort(ids, kind="stable")
+        vectors = rows.column(2).combine_chunks()
+        lengths = vectors.value_lengths().to_numpy()
+        matrix = np.zeros((len(ids), lengths.max()), np.int64)
+        matrix[np.arange(matrix.shape[1]) < lengths[:, None]] = vectors.flatten().to_numpy()
         ends = int(matrix.min(initial=0)), int(matrix.max(initial=0))
         kind = next(k for k in ("int16", "int32", "int64") if np.can_cast(np.min_scalar_type(min(ends[0], -1)), k) and np.iinfo(k).max >= ends[1])
         values = (
             number,
-            len(rows),
+            len(ids),
             matrix.shape[1],
             min(max(-ends[0], ends[1]), _LIMIT),
             kind,
-            np.array([r[0] for r in rows], np.int64).tobytes(),
-            np.array([r[1] for r in rows], np.int64).tobytes(),
-            matrix.astype(kind).tobytes(),
+            ids[order].astype(np.int64).tobytes(),
+            labels[order].astype(np.int64).tobytes(),
+            matrix.astype(kind)[order].tobytes(),
         )
         kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.string(), *[pa.binary()] * 3]
         names = [c.split()[0] for c in _BLOCK.split(", ")]
@@ -70,17 +81,18 @@ def _blocks(size: int):
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        rows: list = []
+        held: list = []
         for batch in batches:
-            column = batch.column(2)
-            flat, ends = column.flatten().to_numpy(), np.append(0, np.cumsum(column.value_lengths()))
-            for i, (vec_id, label) in enumerate(zip(*(batch.column(k).to_pylist() for k in (0, 1)), strict=True)):
-                rows.append((vec_id, label, flat[ends[i] : ends[i + 1]].copy()))
-                if len(rows) == size:
-                    yield pack(rows, number)
-                    rows, number = [], number + 1
-        if rows:
-            yield pack(rows, number)
+            held.append(batch)
+            if sum(x.num_rows for x in held) < size:
+                continue
+            rows = pa.Table.from_batches(held)
+            while rows.num_rows >= size:
+                yield pack(rows.slice(0, size), number)
+                rows, number = rows.slice(size), number + 1
+            held = rows.to_batches()
+        if any(x.num_rows for x in held):
+            yield pack(pa.Table.from_batches(held), number)
 
     return blocks
 
@@ -92,16 +104,17 @@ def _side(row: dict, side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _products(a: np.ndarray, b: np.ndarray, bound: int) -> np.ndarray:
-    """Inner products; past 62 bits they are cut to that range."""
-    if bound < 2**53:
-        return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
-    exact = a.astype(object) @ b.T.astype(object)
-    return np.clip(exact, -_LIMIT, _LIMIT).astype(np.int64)
+    """Inner products, in floats that hold them exactly; past 62 bits they are cut to that range."""
+    for kind, exact in ((np.float32, 2**24), (np.float64, 2**53)):
+        if bound < exact:
+            return a.astype(kind) @ b.T.astype(kind)
+    products = a.astype(object) @ b.T.astype(object)
+    return np.clip(products, -_LIMIT, _LIMIT).astype(np.int64)
 
 
 def best(scores: np.ndarray, among: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows and columns of each row's ``k`` best scores, ties by the smaller column."""
-    low = np.where(among, scores, np.iinfo(np.int64).min)
+    low = np.where(among, scores, scores.dtype.type(_LEAST))
     k = min(k, low.shape[1])
     kth = np.partition(low, -k, axis=1)[:, -k, None]
     above, equal = among & (low > kth), among & (low == kth)
@@ -109,58 +122,103 @@ def best(scores: np.ndarray, among: np.ndarray, k: int) -> tuple[np.ndarray, np.
     return np.nonzero(above | equal & (np.cumsum(equal, axis=1) <= left))
 
 
-def _reduced(rows: np.ndarray, k: int) -> np.ndarray:
-    """The ``k`` best of ``q, anchor, slot, vec_id, score`` for each of the first three."""
-    rows = rows[:, np.lexsort((rows[3], -rows[4], rows[2], rows[1], rows[0]))]
-    fresh = np.append(True, (np.diff(rows[:3], axis=1) != 0).any(axis=0))
-    start = np.flatnonzero(fresh)
-    place = np.arange(rows.shape[1]) - np.repeat(start, np.diff(np.append(start, rows.shape[1])))
-    return rows[:, place < k]
+def _few(among: np.ndarray) -> bool:
+    """Whether sorting the places takes less time than a pass over all scores."""
+    return np.count_nonzero(among) <= among.size // 16
 
 
-def _scored(k: int, negative: bool):
+def _hits(scores: np.ndarray, among: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places among which are each row's ``k`` best scores: all where they are few, or those."""
+    return np.divmod(np.flatnonzero(among), among.shape[1]) if _few(among) else best(scores, among, k)
+
+
+def _tiles(q_labels: np.ndarray, labels: np.ndarray, alike: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of anchors and rows to score with each other: all, or where labels are few those of one label."""
+    pairs = [(np.arange(len(q_labels)), np.arange(len(labels)))]
+    if alike and len(both := np.intersect1d(q_labels, labels)) <= LABELS:
+        pairs = [(np.flatnonzero(q_labels == x), np.flatnonzero(labels == x)) for x in both]
+    for anchors, rows in pairs:
+        for at in range(0, len(anchors), AT_ONCE):
+            yield anchors[at : at + AT_ONCE], rows
+
+
+class _Kept:
+    """The ``k`` best rows of each cell, an anchor and a slot, among those added so far."""
+
+    def __init__(self, cells: int, k: int):
+        self.scores, self.ids = np.full((cells, k), _ABSENT), np.full((cells, k), _MOST)
+
+    def floors(self, first: int) -> np.ndarray:
+        """The least score that can still enter each cell, with an id of ``first`` or more."""
+        return self.scores[:, -1] + (self.ids[:, -1] < first)
+
+    def add(self, cells: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        k, old = self.scores.shape[1], np.unique(cells)
+        cells = np.concatenate([np.repeat(old, k), cells])
+        ids = np.concatenate([self.ids[old].ravel(), ids])
+        scores = np.concatenate([self.scores[old].ravel(), scores])
+        order = np.lexsort((ids, -scores, cells))
+        cells = cells[order]
+        place = np.arange(len(cells)) - np.searchsorted(cells, cells)
+        first = place < k
+        at, order = (cells[first], place[first]), order[first]
+        self.scores[at], self.ids[at] = scores[order], ids[order]
+
+
+def _scored(k: int, slots: int, negative: bool):
     """Best rows of an anchor's label, or of other labels by slot, as far as a task sees them."""
 
-    def each(row: dict) -> Iterator[np.ndarray]:
+    def search(row: dict, kept: _Kept) -> None:
+        """Adds the rows of a block of candidates to those of a block of anchors."""
         ids, labels, matrix = _side(row, "c")
         q_ids, q_labels, q = _side(row, "q")
         width = min(matrix.shape[1], q.shape[1])
         bound = width * row["c_largest"] * row["q_largest"]
-        limits = np.frombuffer(row["limits"], np.int64).reshape(len(q_ids), -1) if negative else None
-        for at in range(0, len(q_ids), AT_ONCE):
-            part = slice(at, at + AT_ONCE)
-            scores = _products(q[part, :width], matrix[:, :width], bound)
-            alike = q_labels[part, None] == labels
-            if not negative:
-                slots = [alike & (q_ids[part, None] != ids)]
+        floors = kept.floors(ids.min()).reshape(-1, slots)
+        least = floors[:, 0]
+        if negative:
+            limits = np.frombuffer(row["limits"], np.int64).reshape(-1, slots)
+            below = np.append(limits[:, 1:], np.full((len(limits), 1), _LEAST), axis=1)
+            floors = np.where(limits > below, np.maximum(floors, below + 1), _MOST)
+            least = np.maximum(np.frombuffer(row["least"], np.int64), floors.min(axis=1))
+        for anchors, rows in _tiles(q_labels, labels, not negative):
+            scores = _products(q[anchors, :width], matrix[rows, :width], bound)
+            kind = scores.dtype
+            among = scores >= least[anchors, None].astype(kind)
+            if negative:
+                among &= scores <= limits[anchors, :1].astype(kind)
+                among &= q_labels[anchors, None] != labels[rows]
+            else:
+                among &= q_labels[anchors, None] == labels[rows]
+                among &= q_ids[anchors, None] != ids[rows]
+            if negative and not _few(among):
+                ends = ((x[anchors, s, None].astype(kind) for x in (floors, limits)) for s in range(slots))
+                found = [_hits(scores, among & (scores >= low) & (scores <= high), k) for low, high in ends]
             else:
-                below = [~alike & (scores <= limit[:, None]) for limit in limits[part].T]
-                slots = [a & ~b for a, b in zip(below, [*below[1:], np.zeros_like(alike)], strict=True)]
-            for slot, among in enumerate(slots):
-                i, j = best(scores, among, k)
-                yield np.stack([np.full(len(i), row["q"]), i + at, np.full(len(i), slot), ids[j], scores[i, j]])
+                found = [_hits(scores, among, k)]
+            i, j = (np.concatenate(x) for x in zip(*found, strict=True))
+            if len(i):
+                anchor, score, slot = anchors[i], scores[i, j].astype(np.int64), np.zeros(len(i), np.int64)
+                if negative:
+                    slot = (score[:, None] <= limits[anchor]).sum(axis=1) - 1
+                enters = score >= floors[anchor, slot]
+                kept.add((anchor * slots + slot)[enters], ids[rows[j]][enters], score[enters])
 
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [np.zeros((5, 0), np.int64)], 0
-        names = [c.split()[0] for c in _FOUND.split(", ")]
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
-
-        def out(rows: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c).cast(t) for c, t in zip(rows, kinds, strict=True)], names)
-
+        held: dict = {}
         for batch in batches:
             for i in range(batch.num_rows):
-                for found in each(batch.slice(i, 1).to_pylist()[0]):
-                    held.append(found)
-                    size += found.shape[1]
-                if size > HELD:
-                    held = [_reduced(np.concatenate(held, axis=1), k)]
-                    size = held[0].shape[1]
-                    if size > HELD // 2:
-                        yield out(held[0])
-                        held, size = [np.zeros((5, 0), np.int64)], 0
-        if size:
-            yield out(_reduced(np.concatenate(held, axis=1), k))
+                row = batch.slice(i, 1).to_pylist()[0]
+                if row["q"] not in held:
+                    anchors = np.frombuffer(row["q_ids"], np.int64)
+                    held[row["q"]] = anchors, _Kept(len(anchors) * slots, k)
+                search(row, held[row["q"]][1])
+        names = [c.split()[0] for c in _FOUND.split(", ")]
+        for q, (anchors, kept) in held.items():
+            cell, place = np.nonzero(kept.scores > _ABSENT)
+            slot = (cell % slots).astype(np.int32)
+            rows = [np.full(len(cell), q), anchors[cell // slots], slot, kept.ids[cell, place], kept.scores[cell, place]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in rows], names)
 
     return combine
 
@@ -170,15 +228,18 @@ def share(p: np.ndarray, percent: int) -> np.ndarray:
     return p // 100 * percent + p % 100 * percent // 100
 
 
-def _limits(positives: int, high: int):
-    """Upper limits of an anchor's slots, descending, for all anchors of a block."""
+def _limits(positives: int, low: int, high: int):
+    """Blocks of anchors with the upper limits of their slots, descending, and their least scores."""
 
-    def limits(found: pd.DataFrame) -> pd.DataFrame:
-        n = int(found.n.iloc[0])
-        out = np.full((n, positives), np.iinfo(np.int64).min)
-        for row in found.itertuples():
-            out[row.anchor, row.rank - 1] = share(np.int64(row.score), high)
-        return pd.DataFrame({"q": [found.q.iloc[0]], "limits": [out.tobytes()]})
+    def limits(key, asked: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        if not (len(asked) and len(found)):
+            return pd.DataFrame(columns=[*asked.columns, "limits", "least"])
+        ids = np.frombuffer(asked.q_ids.iloc[0], np.int64)
+        out, least = np.full((len(ids), positives), _LEAST), np.full(len(ids), _MOST)
+        at, score = np.searchsorted(ids, found.anchor_id.to_numpy()), found.score.to_numpy()
+        out[at, found["rank"].to_numpy() - 1] = share(score, high)
+        np.minimum.at(least, at, -share(-score, low))
+        return asked.assign(limits=[out.tobytes()], least=[least.tobytes()])
 
     return limits
 
@@ -189,14 +250,13 @@ def _merged(positives: int, negatives: int, low: int, high: int):
     def merge(key, pairs: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         if not len(pairs):
             return pd.DataFrame(columns=[c.split()[0] for c in _PAIRS.split(", ")])
-        anchors = int(pairs.anchor.max()) + 1
-        shape = (anchors, positives, negatives)
-        absent = np.iinfo(np.int64).min
-        scores, ids = np.full(shape, absent), np.full(shape, np.iinfo(np.int64).max)
-        found = found[found.anchor < anchors]
-        at = tuple(found[c].to_numpy(np.int64) for c in ("anchor", "slot")) + (found["rank"].to_numpy(np.int64) - 1,)
+        anchors, anchor = np.unique(pairs.anchor_id.to_numpy(np.int64), return_inverse=True)
+        shape = (len(anchors), positives, negatives)
+        scores, ids = np.full(shape, _ABSENT), np.full(shape, _MOST)
+        at = np.searchsorted(anchors, found.anchor_id.to_numpy(np.int64))
+        at = at, found.slot.to_numpy(np.int64), found["rank"].to_numpy(np.int64) - 1
         scores[at], ids[at] = found.score, found.vec_id
-        there = scores > absent
+        there = scores > _ABSENT
         # From the last slot up: the best rows of a slot and of all below it.
         for slot in range(positives - 2, -1, -1):
             s, v, t = (np.concatenate([x[:, slot], x[:, slot + 1]], axis=1) for x in (scores, ids, there))
@@ -204,8 +264,8 @@ def _merged(positives: int, negatives: int, low: int, high: int):
             for x, y in ((scores, s), (ids, v), (there, t)):
                 x[:, slot] = np.take_along_axis(y, order, axis=1)
         p, slot = pairs.score.to_numpy(np.int64), pairs["rank"].to_numpy(np.int64) - 1
-        s, v = scores[pairs.anchor, slot], ids[pairs.anchor, slot]
-        fits = there[pairs.anchor, slot] & (s >= -share(-p, low)[:, None]) & (s <= share(p, high)[:, None])
+        s, v = scores[anchor, slot], ids[anchor, slot]
+        fits = there[anchor, slot] & (s >= -share(-p, low)[:, None]) & (s <= share(p, high)[:, None])
         i, j = np.nonzero(fits)
         return pd.DataFrame(
             {
@@ -250,48 +310,43 @@ def hard_negatives(
     """
     spark = vectors.sparkSession
     ship(spark)
+    bound_batches(spark)
     rows = usable(vectors, id_col, label_col, vector_col)
-    asked = rows.where(F.col("vec_id") % every == 0)
+    asked = usable(vectors.where(F.col(id_col).cast("bigint") % every == 0), id_col, label_col, vector_col)
     asked = asked.groupBy("vec_id").agg(F.min(F.struct("label", "vector")).alias("least"))
-    asked = asked.select("vec_id", "least.label", "least.vector")
-    candidates = written(rows.mapInArrow(_blocks(ROWS), _BLOCK), "candidates")
-    anchors = written(asked.mapInArrow(_blocks(ANCHORS), _BLOCK), "anchors")
-    n_blocks = candidates.count()
-
-    # Every block of candidates gets a slot, and every block of anchors one copy a slot.
-    places = min(max(n_blocks, 1), 16 * parallelism(spark))
-    names = ["width", "largest", "kind", "ids", "labels", "matrix"]
-    c_side = candidates.select(
-        F.pmod(F.xxhash64("block"), F.lit(places)).alias("place"),
-        *[F.col(x).alias(f"c_{x}") for x in names],
-    )
-    q_side = anchors.select(F.col("block").alias("q"), *[F.col(x).alias(f"q_{x}") for x in names])
-    place = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(places - 1).cast("bigint")))
-
-    def searched(asked: DataFrame, k: int, negative: bool) -> DataFrame:
+    asked = written(asked.select("vec_id", "least.label", "least.vector"), "asked")
+
+    def blocks(rows: DataFrame, n: int, size: int, purpose: str) -> tuple[DataFrame, int]:
+        """The rows in blocks, whole ones as far as they come, and the number of blocks."""
+        out = written(rows.coalesce(-(-n // size) or 1).mapInArrow(_blocks(size), _BLOCK), purpose)
+        return out, out.count()
+
+    candidates, n_candidates = blocks(rows, vectors.count(), ROWS, "candidates")
+    anchors, n_anchors = blocks(asked, asked.count(), ANCHORS, "anchors")
+    c_side = candidates.select(*[F.col(x).alias(f"c_{x}") for x in _SIDE])
+    q_side = anchors.select(F.col("block").alias("q"), *[F.col(x).alias(f"q_{x}") for x in _SIDE])
+
+    # A task reads its blocks of candidates one by one and holds its blocks of anchors. As
+    # few tasks as may be share an anchor, because each of them sends its best rows on.
+    tasks = 2 * parallelism(spark)
+    parts = max(min(n_anchors, tasks), -(-n_anchors // HELD), 1)
+    splits = max(min(n_candidates, -(-tasks // parts)), 1)
+    few = candidates.rdd.getNumPartitions() < splits
+    c_side = c_side.repartition(splits) if few else c_side.coalesce(splits)
+
+    def searched(asked: DataFrame, k: int, slots: int, negative: bool) -> DataFrame:
         """The best ``k`` rows of each anchor and slot, with their ``rank``."""
-        pairs = c_side.join(asked.withColumn("place", place), "place")
-        found = pairs.mapInArrow(_scored(k, negative), _FOUND)
-        group = Window.partitionBy("q", "anchor", "slot").orderBy(F.desc("score"), "vec_id")
+        # The hint keeps a table that only looks small from being broadcast.
+        pairs = c_side.crossJoin(asked.repartition(parts).hint("shuffle_replicate_nl"))
+        found = pairs.mapInArrow(_scored(k, slots, negative), _FOUND)
+        group = Window.partitionBy("q", "anchor_id", "slot").orderBy(F.desc("score"), "vec_id")
         ranked = found.withColumn("rank", F.row_number().over(group))
         return ranked.where(F.col("rank") <= k)
 
-    near = written(searched(q_side, positives, False), "positives")
-    limits = near.join(anchors.select(F.col("block").alias("q"), "n"), "q").groupBy("q")
-    limits = limits.applyInPandas(_limits(positives, high), "q long, limits binary")
-    far = written(searched(q_side.join(limits, "q"), negatives, True), "negatives")
-    ids = anchors.select(F.col("block").alias("q"), "n", "ids").mapInArrow(_listed, "q long, anchor int, anchor_id long")
-    named = near.join(ids, ["q", "anchor"])
+    near = written(searched(q_side, positives, 1, False), "positives")
+    # Groups that meet are shuffled on both sides, whatever the planner takes their sizes for.
+    limits = q_side.groupBy("q").cogroup(near.groupBy("q"))
+    limits = limits.applyInPandas(_limits(positives, low, high), f"{_ASKED}, limits binary, least binary")
+    far = written(searched(limits, negatives, positives, True), "negatives")
     merge = _merged(positives, negatives, low, high)
-    return named.groupBy("q").cogroup(far.groupBy("q")).applyInPandas(merge, _PAIRS)
-
-
-def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ids of the anchors of a block, by their place in it."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            ids = np.frombuffer(row["ids"], np.int64)
-            places = pa.array(np.arange(len(ids), dtype=np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(ids), row["q"])), places, pa.array(ids)], ["q", "anchor", "anchor_id"]
-            )
+    return near.groupBy("q").cogroup(far.groupBy("q")).applyInPandas(merge, _PAIRS)
